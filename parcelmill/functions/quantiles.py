@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from parcelmill.session import stage
 
 # Largest group that one percentile buffer may hold.
-GROUP_ROWS = 1_000_000
+GROUP_ROWS = 100_000
 # Largest number of rows in one bin before it is split again.
 BIN_ROWS = 1_000_000
 # Largest bin table that is broadcast; beyond it the join shuffles.

@@ -220,10 +220,10 @@ def list_price_comparison(df: DataFrame) -> DataFrame:
     close, asked = F.col("ClosePrice"), F.col("ListPrice")
     row = df.agg(
         F.count_if(close > asked).alias("above"), F.count_if(close < asked).alias("below"),
-        F.count_if(close == asked).alias("at"),
+        F.count_if(close == asked).alias("level"),
         F.count_if(F.col("ListingContractDate") > F.col("CloseDate")).alias("date_issues"),
     )
-    total = F.col("above") + F.col("below") + F.col("at")
+    total = F.col("above") + F.col("below") + F.col("level")
     return row.withColumns({
-        f"{c}_pct": F.try_divide(F.col(c), total) * 100 for c in ("above", "below", "at")
+        f"{c}_pct": F.try_divide(F.col(c), total) * 100 for c in ("above", "below", "level")
     })

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelmill.constants import FENCE, QUALITY_FLAGS
@@ -31,12 +31,17 @@ def fences(df: DataFrame, fields: Sequence[str], exact: bool = True,
 def add_outlier_flags(df: DataFrame, fields: dict[str, str], bounds: DataFrame | None = None) -> DataFrame:
     """Flag values strictly outside their fence; ``fields`` maps field to flag.
 
-    The fences are one row, attached as a scalar subquery: no join."""
+    The fences are one row. It is read once and its values become constants of
+    the plan, so later passes over the table neither join nor compute it again
+    and the clean filter reaches the scan."""
     present = {f: name for f, name in fields.items() if f in df.columns}
-    row = bounds if bounds is not None else fences(df, list(present))
-    at = row.select(F.struct(*row.columns)).scalar()
+    row = (bounds if bounds is not None else fences(df, list(present))).first()
+
+    def end(name: str) -> Column:
+        return F.lit(row[name]).cast("double")
+
     flagged = df.withColumns({
-        name: flag((F.col(f) < at[f"{f}|lower"]) | (F.col(f) > at[f"{f}|upper"]))
+        name: flag((F.col(f) < end(f"{f}|lower")) | (F.col(f) > end(f"{f}|upper")))
         for f, name in present.items()
     })
     return flagged.withColumn("outlier_any_flag", _worst(list(present.values())))
