@@ -77,9 +77,11 @@ def summarise(
         return base.join(found, keys, "left")
     if not measures:
         return found
-    row = found.select(F.struct(*[q.alias for q in quantiles])).scalar()
-    base = df.agg(*measures)
-    return base.select("*", *[row[q.alias].alias(q.alias) for q in quantiles])
+    # One row of numbers; as constants they keep the plan of the measures small.
+    row = found.first()
+    return df.agg(*measures).select(
+        "*", *[F.lit(row[q.alias]).cast("double").alias(q.alias) for q in quantiles]
+    )
 
 
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:

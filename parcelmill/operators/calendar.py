@@ -12,111 +12,116 @@ from pyspark.sql import functions as F
 from parcelmill.functions.scalar import month_index, month_start, percent_change
 
 
-def with_past(kpi: DataFrame, columns: list[str], months: int, suffix: str,
-              market: str = "market") -> DataFrame:
-    """The figures of ``months`` calendar months earlier as ``<column><suffix>``
-    and whether that month exists as ``has<suffix>``. A gap in the months gives
-    null, not the row before."""
-    at = Window.partitionBy(market).orderBy("_month").rangeBetween(-months, -months)
-    past = {f"{c}{suffix}": F.first(c).over(at) for c in columns}
-    past[f"has{suffix}"] = F.count(F.lit(1)).over(at) > 0
-    return kpi.withColumn("_month", month_index("yr_mo")).withColumns(past).drop("_month")
+_CHANGES = {
+    "mom_price": ("median_close_price", 1), "mom_sales": ("closed_sales", 1), "mom_dom": ("median_dom", 1),
+    "yoy_price": ("median_close_price", 12), "yoy_sales": ("closed_sales", 12),
+}
+
+
+def with_changes(kpi: DataFrame, market: str = "market") -> DataFrame:
+    """``kpi`` with month-over-month changes of price, sales and days,
+    year-over-year changes of price and sales (percent, one decimal), and
+    ``has_prior_year``. The earlier month is found by calendar distance, so a
+    gap in the months gives null and never the row before."""
+    def months_ago(n: int):
+        return Window.partitionBy(market).orderBy("_month").rangeBetween(-n, -n)
+
+    past = {f"_{c}_{n}": F.first(c).over(months_ago(n)) for c, n in _CHANGES.values()}
+    past["has_prior_year"] = F.count(F.lit(1)).over(months_ago(12)) > 0
+    rows = kpi.withColumn("_month", month_index("yr_mo")).withColumns(past)
+    changes = {
+        name: percent_change(F.col(c), F.col(f"_{c}_{n}")) for name, (c, n) in _CHANGES.items()
+    }
+    return rows.withColumns(changes).drop("_month", *[f"_{c}_{n}" for c, n in _CHANGES.values()])
 
 
 def mom_yoy(kpi: DataFrame, market: str = "market") -> DataFrame:
-    """Month-over-month change of price, sales and days, year-over-year change
-    of price and sales, in percent with one decimal, for every month."""
-    past = with_past(kpi, ["median_close_price", "closed_sales", "median_dom"], 1, "_m1", market)
-    past = with_past(past, ["median_close_price", "closed_sales"], 12, "_m12", market)
-
-    def change(column: str, suffix: str) -> Column:
-        return percent_change(F.col(column), F.col(column + suffix))
-
-    return past.select(
-        market, "yr_mo",
-        change("median_close_price", "_m1").alias("mom_price"),
-        change("closed_sales", "_m1").alias("mom_sales"),
-        change("median_dom", "_m1").alias("mom_dom"),
-        change("median_close_price", "_m12").alias("yoy_price"),
-        change("closed_sales", "_m12").alias("yoy_sales"),
-        F.col("has_m12").alias("has_prior_year"),
-    )
+    """The changes of every market and month."""
+    return with_changes(kpi, market).select(market, "yr_mo", *_CHANGES, "has_prior_year")
 
 
 def _best(function, sign: int) -> Column:
     """Month and value of the highest or lowest price; the earliest of equals."""
     price = F.col("median_close_price")
-    order = F.when(price.isNotNull(), F.struct(price.alias("v"), (F.col("_month") * sign).alias("m")))
+    order = F.when(
+        price.isNotNull(), F.struct(price.alias("v"), (month_index("yr_mo") * sign).alias("m"))
+    )
     return function(F.struct(F.col("yr_mo").alias("month"), price.alias("value")), order)
 
 
+def _summary(rows: DataFrame, market: str) -> DataFrame:
+    """One row per market: coverage, the row of the latest month as ``last``,
+    peak and trough of the median price."""
+    rest = [c for c in rows.columns if c != market]
+    return rows.groupBy(market).agg(
+        F.min("yr_mo").alias("first_month"), F.max("yr_mo").alias("last_month"),
+        F.count(F.lit(1)).alias("n_months"),
+        F.max_by(F.struct(*rest), month_index("yr_mo")).alias("last"),
+        _best(F.max_by, -1).alias("peak"), _best(F.min_by, 1).alias("trough"),
+    )
+
+
 def peak_trough(kpi: DataFrame, market: str = "market") -> DataFrame:
     """Peak and trough month of the median price per market, and how far the
     latest month is from the peak."""
-    rows = kpi.withColumn("_month", month_index("yr_mo"))
-    found = rows.groupBy(market).agg(
-        _best(F.max_by, -1).alias("peak"), _best(F.min_by, 1).alias("trough"),
-        F.max_by("median_close_price", "_month").alias("latest"),
-    )
-    return found.select(
+    return _summary(kpi, market).select(
         market,
         F.col("peak.month").alias("peak_month"), F.col("peak.value").alias("peak_price"),
         F.col("trough.month").alias("trough_month"), F.col("trough.value").alias("trough_price"),
-        percent_change(F.col("latest"), F.col("peak.value")).alias("latest_vs_peak_pct"),
+        percent_change(F.col("last.median_close_price"), F.col("peak.value")).alias("latest_vs_peak_pct"),
     )
 
 
 def latest_month(kpi: DataFrame, market: str = "market") -> DataFrame:
     """The row of the latest month of each market."""
-    rest = [c for c in kpi.columns if c != market]
-    last = F.max_by(F.struct(*rest), month_index("yr_mo")).alias("_last")
-    return kpi.groupBy(market).agg(last).select(market, "_last.*")
+    return _summary(kpi, market).select(market, "last.*")
 
 
 def market_metrics(kpi: DataFrame, new_listings: DataFrame, market: str = "market") -> DataFrame:
     """One nested record per market: coverage, latest month, changes, series
-    peaks and supply against demand."""
-    changes = mom_yoy(kpi, market)
-    coverage = kpi.groupBy(market).agg(
-        F.min("yr_mo").alias("first_month"), F.max("yr_mo").alias("last_month"),
-        F.count(F.lit(1)).alias("n_months"),
+    peaks and supply against demand.
+
+    The window and the grouping share one shuffle by market; the listings of
+    the latest month come by a left join."""
+    found = _summary(with_changes(kpi, market), market)
+    fresh = new_listings.select(
+        F.col(market), F.col("yr_mo").alias("last_month"),
+        F.col("new_listings").cast("long").alias("new_listings"),
     )
-    latest = latest_month(kpi, market)
-    fresh = new_listings.select(market, "yr_mo", F.col("new_listings").cast("long").alias("new_listings"))
-    whole = (
-        latest.join(coverage, market)
-        .join(peak_trough(kpi, market), market)
-        .join(changes, [market, "yr_mo"])
-        .join(fresh, [market, "yr_mo"], "left")
-    )
-    supply = F.round(F.try_divide(F.col("new_listings").cast("double"), F.col("closed_sales").cast("double")), 2)
+    whole = found.join(fresh, [market, "last_month"], "left")
+    last = F.col("last")
+    supply = F.try_divide(F.col("new_listings").cast("double"), last["closed_sales"].cast("double"))
+
+    def whole_number(c: Column) -> Column:
+        return F.round(c).cast("long")
+
+    def place(c: str) -> Column:
+        return F.struct(F.col(f"{c}.month").alias("month"), whole_number(F.col(f"{c}.value")).alias("value"))
+
     return whole.select(
         market,
         F.struct("first_month", "last_month", "n_months").alias("coverage"),
         F.struct(
-            F.col("yr_mo").alias("month"),
-            F.round("median_close_price").cast("long").alias("median_close_price"),
-            "closed_sales",
-            F.round("median_dom", 1).alias("median_dom"),
-            F.round("median_price_per_sqft", 1).alias("median_price_per_sqft"),
-            F.round("avg_close_to_orig_ratio", 4).alias("avg_close_to_orig_ratio"),
+            F.col("last_month").alias("month"),
+            whole_number(last["median_close_price"]).alias("median_close_price"),
+            last["closed_sales"].alias("closed_sales"),
+            F.round(last["median_dom"], 1).alias("median_dom"),
+            F.round(last["median_price_per_sqft"], 1).alias("median_price_per_sqft"),
+            F.round(last["avg_close_to_orig_ratio"], 4).alias("avg_close_to_orig_ratio"),
             "new_listings",
         ).alias("latest"),
         F.struct(
-            F.col("mom_price").alias("median_close_price"), F.col("mom_sales").alias("closed_sales"),
-            F.col("mom_dom").alias("median_dom"),
+            last["mom_price"].alias("median_close_price"), last["mom_sales"].alias("closed_sales"),
+            last["mom_dom"].alias("median_dom"),
         ).alias("mom_change_pct"),
-        F.when(F.col("has_prior_year"), F.struct(
-            F.col("yoy_price").alias("median_close_price"), F.col("yoy_sales").alias("closed_sales"),
+        F.when(last["has_prior_year"], F.struct(
+            last["yoy_price"].alias("median_close_price"), last["yoy_sales"].alias("closed_sales"),
         )).alias("yoy_change_pct"),
         F.struct(
-            F.struct(F.col("peak_month").alias("month"),
-                     F.round("peak_price").cast("long").alias("value")).alias("peak_median_price"),
-            F.struct(F.col("trough_month").alias("month"),
-                     F.round("trough_price").cast("long").alias("value")).alias("trough_median_price"),
-            "latest_vs_peak_pct",
+            place("peak").alias("peak_median_price"), place("trough").alias("trough_median_price"),
+            percent_change(last["median_close_price"], F.col("peak.value")).alias("latest_vs_peak_pct"),
         ).alias("series"),
-        F.struct(supply.alias("new_listings_to_sales_ratio")).alias("supply_demand"),
+        F.struct(F.round(supply, 2).alias("new_listings_to_sales_ratio")).alias("supply_demand"),
     )
 
 

@@ -81,9 +81,10 @@ def fill_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace nulls of each column by its exact median."""
     columns = [c for c in columns if c in df.columns]
     numbers = cast_numbers(df, columns)
-    row = summarise(numbers, (), (), [median(c, c) for c in columns])
-    middle = row.select(F.struct(*columns)).scalar()
-    return numbers.withColumns({c: F.coalesce(F.col(c), middle[c]) for c in columns})
+    middle = summarise(numbers, (), (), [median(c, c) for c in columns]).first()
+    return numbers.withColumns({
+        c: F.coalesce(F.col(c), F.lit(middle[c]).cast("double")) for c in columns
+    })
 
 
 def coerce_flags(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -135,8 +135,8 @@ def isolation_scores(df: DataFrame, features: list[str] | None = None, trees: in
 
 
 def label_anomalies(scored: DataFrame, share: float = FOREST_SHARE) -> DataFrame:
-    cut = summarise(scored, (), (), [Quantile("anomaly_score", share, "cut")]).scalar()
-    return scored.withColumn("is_anomaly", F.col("anomaly_score") < cut)
+    cut = summarise(scored, (), (), [Quantile("anomaly_score", share, "cut")]).first()["cut"]
+    return scored.withColumn("is_anomaly", F.col("anomaly_score") < F.lit(cut))
 
 
 def novel_anomalies(scored: DataFrame) -> DataFrame:

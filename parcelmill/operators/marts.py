@@ -96,10 +96,9 @@ def month_parity(sold_months: DataFrame, listed_months: DataFrame) -> DataFrame:
     def ends(df, name):
         return df.agg(F.min("yr_mo").alias(f"{name}_first"), F.max("yr_mo").alias(f"{name}_last"))
 
-    other = ends(listed_months, "listed").select(F.struct("listed_first", "listed_last")).scalar()
-    both = ends(sold_months, "sold").select(
-        "*", other["listed_first"].alias("listed_first"), other["listed_last"].alias("listed_last")
-    )
+    other = ends(listed_months, "listed").first()
+    both = ends(sold_months, "sold").select("*", *[F.lit(v).cast("string").alias(n)
+                                                   for n, v in other.asDict().items()])
     same = (F.col("sold_first") == F.col("listed_first")) & (F.col("sold_last") == F.col("listed_last"))
     return both.withColumn("same", same)
 

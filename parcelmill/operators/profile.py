@@ -154,8 +154,8 @@ def trimmed(df: DataFrame, column: str, low: float | None = None, strict: bool =
     bounded = known
     if low is not None:
         bounded = known.filter(F.col(column) > low if strict else F.col(column) >= low)
-    top = summarise(known, (), (), [Quantile(column, p, "top")]).scalar()
-    return bounded.filter(F.col(column) <= top)
+    top = summarise(known, (), (), [Quantile(column, p, "top")]).first()["top"]
+    return bounded.filter(F.col(column) <= F.lit(top))
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
@@ -163,28 +163,21 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     maximum belongs to the last bin; empty bins are listed with 0."""
     v = F.col(column).cast("double")
     known = df.filter(v.isNotNull())
-    ends = known.agg(F.min(v).alias("a"), F.max(v).alias("b"))
-    # One repeated value gets a bin range of width 1 around it.
-    flat = F.col("a") == F.col("b")
-    ends = ends.select(
-        F.struct(
-            F.when(flat, F.col("a") - 0.5).otherwise(F.col("a")).alias("low"),
-            F.when(flat, F.col("b") + 0.5).otherwise(F.col("b")).alias("high"),
-        ).alias("ends")
-    )
-    at = ends.scalar()
-    place = F.floor((v - at["low"]) / (at["high"] - at["low"]) * bins)
+    low, high = known.agg(F.min(v), F.max(v)).first()
+    if low is None:
+        return df.sparkSession.createDataFrame([], "bin int, low double, high double, rows bigint")
+    if low == high:
+        # One repeated value gets a range of width 1 around it.
+        low, high = low - 0.5, high + 0.5
+    width = (high - low) / bins
+    place = F.floor((v - low) / (high - low) * bins)
     counts = known.groupBy(F.least(place, F.lit(bins - 1)).cast("int").alias("bin")).agg(
         F.count(F.lit(1)).alias("rows")
     )
-    width = (F.col("ends.high") - F.col("ends.low")) / bins
-    grid = ends.filter(F.col("ends.low").isNotNull()).select(
-        "ends", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
-    )
+    grid = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     return grid.join(counts, "bin", "left").select(
-        "bin",
-        (F.col("ends.low") + width * F.col("bin")).alias("low"),
-        (F.col("ends.low") + width * (F.col("bin") + 1)).alias("high"),
+        "bin", (F.lit(low) + F.lit(width) * F.col("bin")).alias("low"),
+        (F.lit(low) + F.lit(width) * (F.col("bin") + 1)).alias("high"),
         F.coalesce("rows", F.lit(0)).alias("rows"),
     )
 

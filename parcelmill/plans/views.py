@@ -11,13 +11,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parcelmill.session import spread
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def sold_rows(spark: SparkSession, folder: str) -> DataFrame:
-    lines = table(spark, folder, "lineitem")
+    lines = spread(table(spark, folder, "lineitem"))
     orders = table(spark, folder, "orders")
     customers = table(spark, folder, "customer")
     nations = table(spark, folder, "nation")
