@@ -14,6 +14,8 @@ the weights of past shocks in the forecast.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -27,6 +29,9 @@ from parcelmill.operators.calendar import holdout_split
 
 FORECAST_SCHEMA = "step int, month date, mean double, lo double, hi double"
 MIN_RESIDUALS = 5
+# A series that repeats exactly leaves no residual; its interval is still not
+# narrower than this share of its usual monthly change.
+LEAST_SPREAD = 1e-6
 
 
 def _lagged(w: np.ndarray, lag: int) -> np.ndarray:
@@ -116,6 +121,8 @@ def forecast_values(y: np.ndarray, steps: int, z: float = FORECAST_NORMAL_QUANTI
         reply = np.array([1.0 if h == 0 else (a + b) * a ** (h - 1) for h in range(steps)])
         for h in range(steps):
             past.append(a * past[-1] + (b * shock if h == 0 else 0.0))
+    usual = math.sqrt(float(np.nanmean(w**2))) if np.isfinite(w).any() else 0.0
+    variance = max(variance, (LEAST_SPREAD * usual) ** 2)
     mean = filled[-1] + np.cumsum(past[-steps:])
     spread = z * np.sqrt(variance * np.cumsum(np.cumsum(reply) ** 2))
     return mean, mean - spread, mean + spread
