@@ -151,16 +151,11 @@ def narrowed_quantiles(
         "_before", F.sum("_n").over(upto) - F.col("_n")
     )
     columns_kept = [*series, "_bin", "_lo", "_hi", "_n", "_before", "_total"]
-    targets = stage(_holding_ranks(bins, points).select(*columns_kept), "quantile-bins")
+    targets, count, largest = _settle(_holding_ranks(bins, points).select(*columns_kept), keys)
 
     while True:
-        size = targets.agg(
-            F.max(F.when(F.col("_lo") < F.col("_hi"), F.col("_n"))).alias("rows"),
-            F.count(F.lit(1)).alias("bins"),
-        ).first()
-        small = size["bins"] <= broadcast_rows
-        inside = _rows_inside(values, targets, series, small)
-        if (size["rows"] or 0) <= bin_rows:
+        inside = _rows_inside(values, targets, series, count <= broadcast_rows)
+        if largest <= bin_rows:
             break
         piece = F.when(F.col("_lo") == F.col("_hi"), F.lit(0)).otherwise(
             F.least(
@@ -179,7 +174,7 @@ def narrowed_quantiles(
         )
         split = split.withColumn("_start", F.sum("_n").over(upto) - F.col("_n") + F.col("_before"))
         split = split.drop("_before").withColumnRenamed("_start", "_before")
-        targets = stage(_holding_ranks(split, points).select(*columns_kept), "quantile-bins")
+        targets, count, largest = _settle(_holding_ranks(split, points).select(*columns_kept), keys)
 
     parent = [*series, "_bin", "_before", "_total"]
     counted = inside.groupBy(*parent, "_v").agg(F.sum("_copies").alias("_c"))
@@ -241,6 +236,25 @@ def _holding_ranks(bins: DataFrame, points: Column) -> DataFrame:
     return bins.filter(F.exists(_ranks(points), lambda r: (r >= F.col("_before")) & (r < end)))
 
 
+def _settle(targets: DataFrame, keys: list[str]) -> tuple[DataFrame, int, int]:
+    """(target bins computed once, their number, rows of the largest one that
+    is not a single value).
+
+    Without keys there are at most two bins per wanted quantile; these few rows
+    become constants. With keys there may be very many, and they are staged."""
+    if not keys:
+        rows = targets.collect()
+        sizes = [r["_n"] for r in rows if r["_lo"] < r["_hi"]]
+        fixed = targets.sparkSession.createDataFrame(rows, targets.schema)
+        return fixed, len(rows), max(sizes, default=0)
+    staged = stage(targets, "quantile-bins")
+    size = staged.agg(
+        F.count(F.lit(1)).alias("bins"),
+        F.max(F.when(F.col("_lo") < F.col("_hi"), F.col("_n"))).alias("rows"),
+    ).first()
+    return staged, size["bins"], size["rows"] or 0
+
+
 def _rows_inside(values, targets, series, small: bool) -> DataFrame:
     """Rows that fall into a target bin. The bin number is part of the key, so
     the rows of a large group spread over tasks in the shuffled form too."""

@@ -325,7 +325,7 @@ def top_agents_filtered(spark, folder):
 
 
 @query("top_agents_per_county", """
-SELECT CountyOrParish, name, volume, units, place FROM (
+SELECT CountyOrParish, name, volume, units, cast(place AS int) AS place FROM (
   SELECT *, row_number() OVER (PARTITION BY CountyOrParish ORDER BY volume DESC NULLS LAST, name) AS place FROM (
     SELECT CountyOrParish, ListAgentFullName AS name,
       cast(sum(cast(round(ClosePrice, 4) AS decimal(18, 4))) AS double) AS volume, count(*) AS units

@@ -152,7 +152,7 @@ def avm_score(spark, folder):
 def avm_drivers(spark, folder):
     model, test = fitted(spark, folder)
     features = [*VALUE_NUMERIC, *VALUE_BOOLEAN, *VALUE_CATEGORY]
-    return valuation.sampled_shapley(model, test, features, sample=200, draws=5)
+    return valuation.sampled_shapley(model, test, features, draws=5)
 
 
 @query("regression_metrics", """

@@ -38,7 +38,7 @@ SELECT concat(l_orderkey, '-', l_linenumber) AS ListingKey,
   CASE WHEN l_orderkey % 20 = 0 THEN p_retailprice * 5 / 43560 END AS LotSizeAcres,
   p_retailprice * 5 AS LotSizeSquareFeet,
   p_size % 6 - 1 AS BedroomsTotal, (p_size + 1) % 5 - 1 AS BathroomsTotalInteger,
-  CASE WHEN dom0 % 89 = 0 THEN dom0 * 8 ELSE dom0 END AS DaysOnMarket,
+  cast(CASE WHEN dom0 % 89 = 0 THEN dom0 * 8 ELSE dom0 END AS int) AS DaysOnMarket,
   cast(nullif(1950 + p_partkey % 70, 1983) AS int) AS YearBuilt, p_size % 4 AS GarageSpaces,
   CASE l_linenumber % 3 WHEN 0 THEN true WHEN 1 THEN false END AS PoolPrivateYN,
   l_quantity > 25 AS FireplaceYN, l_discount > cast(0.05 AS double) AS ViewYN, l_tax = 0 AS NewConstructionYN,
@@ -53,23 +53,23 @@ _step("sold", ["home"], """
 SELECT *, ClosePrice / nullif(ListPrice, 0) AS price_ratio,
   ClosePrice / nullif(OriginalListPrice, 0) AS close_to_original_list_ratio,
   ClosePrice / nullif(LivingArea, 0) AS price_per_sqft,
-  year(CloseDate) AS close_year, month(CloseDate) AS close_month, strftime(CloseDate, '%Y-%m') AS yr_mo,
+  cast(year(CloseDate) AS int) AS close_year, cast(month(CloseDate) AS int) AS close_month, strftime(CloseDate, '%Y-%m') AS yr_mo,
   CASE WHEN PurchaseContractDate >= ListingContractDate
-    THEN date_diff('day', ListingContractDate, PurchaseContractDate) END AS listing_to_contract_days,
+    THEN cast(date_diff('day', ListingContractDate, PurchaseContractDate) AS int) END AS listing_to_contract_days,
   CASE WHEN CloseDate >= PurchaseContractDate
-    THEN date_diff('day', PurchaseContractDate, CloseDate) END AS contract_to_close_days
+    THEN cast(date_diff('day', PurchaseContractDate, CloseDate) AS int) END AS contract_to_close_days
 FROM home""")
 
 _step("listed", ["home"], """
 SELECT *, ListPrice / nullif(LivingArea, 0) AS list_price_per_sqft,
   ListPrice / nullif(OriginalListPrice, 0) AS price_reduction_ratio,
   ClosePrice / nullif(ListPrice, 0) AS close_to_list_ratio,
-  year(ListingContractDate) AS list_year, month(ListingContractDate) AS list_month,
+  cast(year(ListingContractDate) AS int) AS list_year, cast(month(ListingContractDate) AS int) AS list_month,
   strftime(ListingContractDate, '%Y-%m') AS yr_mo,
   CASE WHEN PurchaseContractDate >= ListingContractDate
-    THEN date_diff('day', ListingContractDate, PurchaseContractDate) END AS listing_to_contract_days,
+    THEN cast(date_diff('day', ListingContractDate, PurchaseContractDate) AS int) END AS listing_to_contract_days,
   CASE WHEN CloseDate >= PurchaseContractDate
-    THEN date_diff('day', PurchaseContractDate, CloseDate) END AS contract_to_close_days
+    THEN cast(date_diff('day', PurchaseContractDate, CloseDate) AS int) END AS contract_to_close_days
 FROM home""")
 
 

@@ -136,7 +136,7 @@ def drop_sparse_columns(spark, folder):
 
 
 @query("dtype_tally", """
-SELECT 'string' AS dtype, 2 AS columns, count(CountyOrParish) + count(City) AS values FROM home
+SELECT 'string' AS dtype, cast(2 AS bigint) AS columns, count(CountyOrParish) + count(City) AS values FROM home
 UNION ALL SELECT 'double', 3, count(ClosePrice) + count(LivingArea) + count(LotSizeAcres) FROM home
 UNION ALL SELECT 'date', 2, count(CloseDate) + count(PurchaseContractDate) FROM home
 UNION ALL SELECT 'int', 1, count(YearBuilt) FROM home

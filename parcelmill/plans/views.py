@@ -19,7 +19,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def sold_rows(spark: SparkSession, folder: str) -> DataFrame:
-    lines = spread(table(spark, folder, "lineitem"))
+    lines = spread(table(spark, folder, "lineitem"), "l_orderkey")
     orders = table(spark, folder, "orders")
     customers = table(spark, folder, "customer")
     nations = table(spark, folder, "nation")

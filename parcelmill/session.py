@@ -65,11 +65,11 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """``df`` in at least as many pieces as there are cores.
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """``df`` in at least as many pieces as there are cores, by hash of ``key``.
 
     A table that arrives in fewer pieces, such as one Parquet row group, would
     keep all but one core idle through every join that follows. A large table
     has more pieces than cores and is returned as it is, without a shuffle."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import io
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,9 +46,12 @@ def _by_header(spark: SparkSession, paths: Sequence[str] | str) -> dict[tuple, l
         paths = list_files(spark, paths)
     if not paths:
         raise FileNotFoundError("no file matches")
+    # Each header is a job of one short task; many run at once.
+    with ThreadPoolExecutor(16) as pool:
+        headers = list(pool.map(lambda path: tuple(header_of(spark, path)), paths))
     groups: dict[tuple, list[str]] = {}
-    for path in paths:
-        groups.setdefault(tuple(header_of(spark, path)), []).append(path)
+    for path, header in zip(paths, headers):
+        groups.setdefault(header, []).append(path)
     return groups
 
 
