@@ -148,7 +148,8 @@ FROM {source} s LEFT JOIN rates_monthly r ON strftime(s.{day}, '%Y-%m') = r.yr_m
 
 
 def _enrich(df, day, spark, folder):
-    small = df.select(day)
+    # Staged, so that counting the rows before the join does not redo the input.
+    small = stage(df.select(day), "enrich")
     report = rates.enrich_report(small, rates.enrich(small, day, rate_rows(spark, folder)))
     return report.withColumnsRenamed({"min_rate": "min_rate_", "max_rate": "max_rate_"}).withColumns({
         c: F.round(c, 4) for c in ("min_rate_", "max_rate_")})
