@@ -64,7 +64,7 @@ def within(value: Column | str, low: float, high: float) -> Column:
 
 def exact_sum(value: Column | str, scale: int = 4) -> Column:
     """Sum through decimal, so the result does not depend on row order."""
-    return F.sum(F.round(_col(value), scale).cast(f"decimal(18,{scale})")).cast("double")
+    return F.sum(F.round(_col(value), scale).cast(f"decimal(28,{scale})")).cast("double")
 
 
 # --- flags -----------------------------------------------------------------
