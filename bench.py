@@ -14,7 +14,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from parcelmill.plans.catalogue import QUERIES  # noqa: E402
-from parcelmill.session import build_session  # noqa: E402
+from parcelmill.session import build_session, drop_staged  # noqa: E402
 
 HEADLINE = [
     "type_frequency", "missing_profile", "numeric_describe", "price_histogram", "keep_last_per_key",
@@ -46,6 +46,7 @@ def main() -> None:
         start = time.time()
         QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.time() - start, 3)
+    drop_staged(spark)
     spark.stop()
     print(json.dumps({
         "metric": "headline_queries_total", "value": round(sum(seconds.values()), 3), "unit": "sec",

@@ -60,11 +60,22 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     as a join of large tables. Select the needed columns first.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/staged/{name}-{uuid.uuid4().hex}"
+    path = f"{_staged_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _staged_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/staged/{spark.sparkContext.applicationId}"
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete what this application has staged. Call it when all results are
+    written; DataFrames that still read a staged table stop working."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_staged_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """``df`` in at least as many pieces as there are cores, by hash of ``key``.
 
