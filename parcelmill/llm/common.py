@@ -15,7 +15,7 @@ from parcelmill.session import shared_folder
 
 #: A record batch sent to Python ends at either bound, so that very long texts
 #: do not pile up in one batch.
-BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
 
 
 def prepare(spark: SparkSession) -> None:

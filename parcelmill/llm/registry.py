@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelmill.llm import chat, exactdup, secrets, sharding, tokencount
-from parcelmill.llm.common import table
+from parcelmill.llm import chat, exactdup, quality, secrets, sharding, tokencount, toxicity
+from parcelmill.llm.common import held_out, learn_row, table
 from parcelmill.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,19 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+#: Labels of these ids are held out: crc32 of the id as text, divided, leaves this.
+QUALITY_FOLD, TOXIC_FOLD = (3, 1), (5, 0)
+
+
+@query("op1_quality_rules")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), "quality", learn_row("doc_id", *QUALITY_FOLD))
+    return quality.score(docs, model).select(
+        "doc_id", held_out("doc_id", *QUALITY_FOLD).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query("op3_shard_bytes")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"), 16)
@@ -66,6 +79,15 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.expand(rows.unionByName(tricky)))
 
 
+@query("op5_toxicity")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), "toxic", learn_row("doc_id", *TOXIC_FOLD))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out("doc_id", *TOXIC_FOLD).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 _LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
