@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelmill.llm import chat, exactdup, quality, secrets, sharding, tokencount, toxicity
+from parcelmill.llm import chat, exactdup, pieces, quality, secrets, sharding, tokencount, toxicity
 from parcelmill.llm.common import held_out, learn_row, table
 from parcelmill.session import shared_folder
 
@@ -112,6 +112,19 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op9_pieces")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = pieces.decode(pieces.encode(docs, model), model)
+    return rows.select(
+        "doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+
+
 @query("op10_token_counts")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers

@@ -29,6 +29,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -105,6 +106,12 @@ class Counter:
         return [counts[i] for i in range(len(texts))]
 
 
+@lru_cache(maxsize=2)
+def counter_of(path: str) -> Counter:
+    """Kept by a Python worker from task to task."""
+    return Counter(path)
+
+
 def count_tokens(docs: DataFrame, tokenizer: str, cache: str, doc_id: str = "doc_id", text: str = "text",
                  limit: int = 512) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``n_tokens`` and ``over_limit`` per row.
@@ -126,7 +133,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str, doc_id: str = "doc
     texts = texts.join(owners, "owner", "left_semi").select("digest", "content")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter, seen = Counter(tokenizer), set()
+        counter, seen = counter_of(tokenizer), set()
         for batch in batches:
             # Rows that repeat with their id arrive in one task.
             new = {d: t for d, t in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))) if d not in seen}
