@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelmill.llm import chat, exactdup, pieces, quality, secrets, sharding, tokencount, toxicity
+from parcelmill.llm import chat, exactdup, neardup, pieces, quality, secrets, sharding, tokencount, toxicity
 from parcelmill.llm.common import held_out, learn_row, table
 from parcelmill.session import shared_folder
 
@@ -101,6 +101,30 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+_NEAR_SQL = f"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, [x FOR x IN regexp_split_to_array({_LOWER_SQL}, '[\\x20\\x09-\\x0D]+') IF x <> ''] AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM split WHERE len(w) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+met AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM met JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)
+), reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) AS component_id,
+  d.doc_id = least(d.doc_id, coalesce(m, d.doc_id)) AS kept
+FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS m FROM reach GROUP BY a) USING (doc_id)
+"""
+
+
+@query("op6_near_dedup", _NEAR_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_groups(table(spark, sf_dir, "documents"))
+
+
 @query("op8_secret_scan")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_spans(table(spark, sf_dir, "documents"))
