@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelmill.llm import chat, exactdup, neardup, pieces, quality, secrets, sharding, tokencount, toxicity
+from parcelmill.llm import chat, decontam, exactdup, neardup, pieces, quality, secrets, sharding, tokencount, toxicity
 from parcelmill.llm.common import held_out, learn_row, table
 from parcelmill.session import shared_folder
 
@@ -39,6 +39,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@query("op2_decontaminate")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op3_shard_bytes")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"), 16)
