@@ -400,7 +400,8 @@ class _Block:
                 near = near[~(answer["bands"][near, :at] == ask["bands"][i, :at]).any(axis=1)]
             if not len(near):
                 continue
-            ones = np.bitwise_count(answer["sketch"][near] ^ ask["sketch"][i]).sum(axis=1)
+            # As unsigned numbers: numpy counts the ones of a magnitude.
+            ones = np.bitwise_count((answer["sketch"][near] ^ ask["sketch"][i]).view(np.uint64)).sum(axis=1)
             near = near[ones <= self.most]
             if not self.exact:
                 if len(near):
