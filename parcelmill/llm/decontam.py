@@ -1,10 +1,11 @@
 """Benchmark decontamination by rare seeds and alignment (operator 2).
 
 1. All documents are read once to count in how many of them each word trigram
-   of the test items occurs.
-2. The rarer half of each item's trigrams are its seeds. The measure is relative
-   to the item: an item that leaked into a third of all documents keeps as many
-   seeds as one that never did.
+   of the test items occurs by chance, that is without another trigram of the
+   same item near it. Copies of an item, however many, do not count: they would
+   make the trigrams that survive in them look common.
+2. The rarer half of each item's trigrams, with ties, are its seeds. The measure
+   is relative to the item, so every item has seeds.
 3. Documents meet items through these seeds. Where seeds of one item lie close
    together, the passage around them is aligned with the whole item by
    Smith-Waterman over words, so edited, cut and reordered copies score as well
@@ -72,12 +73,13 @@ class Items:
             whole &= padded[i:i + n] > 0
         return np.where(whole, key, -1)
 
-    def found(self, keys: np.ndarray) -> np.ndarray:
-        """Numbers of the trigrams among ``keys`` that the items have."""
+    def found(self, keys: np.ndarray) -> list[tuple[int, int]]:
+        """(place, trigram) of the keys that the items have."""
         if not len(self.grams):
-            return np.zeros(0, np.int64)
+            return []
         where = np.minimum(np.searchsorted(self.grams, keys), len(self.grams) - 1)
-        return where[self.grams[where] == keys]
+        places = np.flatnonzero(self.grams[where] == keys)
+        return list(zip(places.tolist(), where[places].tolist()))
 
     def numbers(self, text: str) -> np.ndarray:
         get = self.names.get
@@ -107,15 +109,17 @@ def read_items(rows: list[tuple]) -> Items:
 
 
 def choose_seeds(items: Items, counts: np.ndarray) -> None:
-    """Mark the rarer half of each item's trigrams; ties go to the earlier one."""
+    """Mark the rarer half of each item's trigrams, at least eight, with all ties."""
     of_item: list[list[tuple[int, int, int]]] = [[] for _ in items.ids]
     for g, owners in enumerate(items.owners):
         for k, at in owners:
             of_item[k].append((int(counts[g]), at, g))
     for k, grams in enumerate(of_item):
-        for _, at, g in sorted(grams)[:max(8, (len(grams) + 1) // 2)]:
-            items.seeds[g] = True
-            items.seed_owners[g].append((k, at))
+        most = sorted(grams)[:max(8, (len(grams) + 1) // 2)][-1:]
+        for n, at, g in grams:
+            if n <= most[0][0]:
+                items.seeds[g] = True
+                items.seed_owners[g].append((k, at))
 
 
 def align(text: np.ndarray, item: np.ndarray) -> tuple[float, int, int]:
@@ -138,18 +142,15 @@ def match(text: str, items: Items, least: float = LEAST) -> list[tuple]:
     """(item number, score, first and last place among the words) of each item
     found in a text, its best passage."""
     words = items.numbers(text)
-    keys = items.keys(words)
     hits: dict[int, list[int]] = {}
-    if len(items.grams):
-        where = np.searchsorted(items.grams, keys)
-        where[where == len(items.grams)] = 0
-        for p in np.flatnonzero((items.grams[where] == keys) & items.seeds[where]).tolist():
-            for k, at in items.seed_owners[where[p]]:
+    for p, g in items.found(items.keys(words)):
+        if items.seeds[g]:
+            for k, at in items.seed_owners[g]:
                 hits.setdefault(k, []).append(p - at)
     found = []
     for k, starts in sorted(hits.items()):
         item = items.words[k]
-        slack = len(item) // 2 + 4
+        slack = _slack(item)
         starts.sort()
         best = None
         for group in _close(starts, slack):
@@ -173,6 +174,27 @@ def match(text: str, items: Items, least: float = LEAST) -> list[tuple]:
     return found
 
 
+def _slack(item: np.ndarray) -> int:
+    """How far a copy may shift a seed against the others."""
+    return len(item) // 2 + 4
+
+
+def by_chance(text: str, items: Items) -> set[int]:
+    """Trigrams that a text holds without another one of the same item near."""
+    places: dict[int, list[tuple[int, int]]] = {}
+    for p, g in items.found(items.keys(items.numbers(text))):
+        for k, at in items.owners[g]:
+            places.setdefault(k, []).append((p - at, g))
+    alone = set()
+    for k, hits in places.items():
+        hits.sort()
+        slack = _slack(items.words[k])
+        for i, (start, g) in enumerate(hits):
+            if (i == 0 or start - hits[i - 1][0] > slack) and (i + 1 == len(hits) or hits[i + 1][0] - start > slack):
+                alone.add(g)
+    return alone
+
+
 def _close(starts: list[int], slack: int) -> Iterator[list[int]]:
     """Runs of sorted numbers whose neighbours are at most ``slack`` apart."""
     run = [starts[0]]
@@ -206,7 +228,7 @@ def prepare_items(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
 
 
 def _document_counts(texts: DataFrame, items: Items) -> np.ndarray:
-    """In how many texts each trigram of the items occurs."""
+    """In how many texts each trigram of the items occurs by chance."""
     shared = texts.sparkSession.sparkContext.broadcast(items)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,7 +236,7 @@ def _document_counts(texts: DataFrame, items: Items) -> np.ndarray:
         counts = np.zeros(len(known.grams), np.int64)
         for batch in batches:
             for text in texts_of(batch.column(0)):
-                counts[known.found(np.unique(known.keys(known.numbers(text))))] += 1
+                counts[np.fromiter(by_chance(text, known), np.int64)] += 1
         some = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], names=["gram", "n"])
 
