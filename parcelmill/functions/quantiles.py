@@ -200,7 +200,8 @@ def narrowed_quantiles(
         low = F.try_element_at("_at", F.floor(place))
         high = F.try_element_at("_at", F.ceil(place))
         rest = place - F.floor(place)
-        return low * (1 - rest) + high * rest
+        # Equal neighbours and whole ranks are read off: infinity times 0 is no number.
+        return F.when((rest == 0) | (low == high), low).otherwise(low * (1 - rest) + high * rest)
 
     found = per_series.select(*series, F.transform(points, between_ranks).alias("_found"))
     wide = found.groupBy(*keys).agg(*[

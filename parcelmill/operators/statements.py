@@ -16,15 +16,20 @@ from parcelmill.operators.profile import missing_profile
 # One scan from the left takes quoted names, literals and comments in turn, so
 # a quote in a comment or a comment mark in a literal cannot hide what follows.
 # A quoted name stays, a literal leaves its quote mark, a comment leaves a space.
+# Spark nests bracketed comments and ends a line comment at a carriage return, but
+# not at an escaped line break. A comment with another one inside leaves its mark,
+# which is forbidden, as does one that is never closed.
 TOKENS = (
     r"(`[^`]*`)"
     r"|\b[rR](')[^']*'|\b[rR](\")[^\"]*\""
     r"|(')[^'\\]*(?:\\[\s\S][^'\\]*)*'|(\")[^\"\\]*(?:\\[\s\S][^\"\\]*)*\""
-    r"|--[^\n]*|/\*[\s\S]*?\*/"
+    r"|--(?:\\\n|[^\r\n])*|(/\*(?:(?!\*/)[\s\S])+?/\*)|/\*[\s\S]*?\*/"
 )
+KEPT, KEPT_JAVA = r"\1\2\3\4\5\6 ", "$1$2$3$4$5$6 "
 STARTS_READING = r"(?i)^\s*(?:with|select)\b"
 FORBIDDEN = [
     r";",
+    r"/\*",
     r"(?i)\b(?:" + "|".join(BLOCKED_WORDS) + r")\b",
     r"(?i)\b(?:" + "|".join(BLOCKED_FILE_CALLS + BLOCKED_SPARK_CALLS) + r")`?\s*\(",
     # A relation that is a path: csv.`/some/file`
@@ -35,7 +40,7 @@ FORBIDDEN = [
 
 
 def strip_statement(statement: str) -> str:
-    text = re.sub(TOKENS, r"\1\2\3\4\5 ", statement)
+    text = re.sub(TOKENS, KEPT, statement)
     return re.sub(r"[\s;]+$", "", text)
 
 
@@ -51,7 +56,7 @@ def is_read_only(statement: str) -> bool:
 def read_only_column(statement: Column | str) -> Column:
     """``is_read_only`` as a column expression, for a table of statements."""
     c = F.col(statement) if isinstance(statement, str) else statement
-    text = F.regexp_replace(c, TOKENS, "$1$2$3$4$5 ")
+    text = F.regexp_replace(c, TOKENS, KEPT_JAVA)
     text = F.regexp_replace(text, r"[\s;]+$", "")
     ok = text.rlike(STARTS_READING)
     for pattern in FORBIDDEN:
@@ -64,23 +69,58 @@ def audit_statements(df: DataFrame, column: str = "statement") -> DataFrame:
     return df.withColumn("allowed", read_only_column(column))
 
 
+#: What an analysed plan may not hold, whatever the text looked like: calls into
+#: the host, programs, functions of users, and anything that writes or commands.
+PLAN_BLOCKED = re.compile(
+    r"CallMethodViaReflection|TryReflect|ScriptTransformation|PythonUDF|ScalaUDF|HiveUDF|HiveSimpleUDF|HiveGenericUDF|JavaUDF|"
+    r"Command$|^(?:Insert|Create|Drop|Alter|Replace|Overwrite|Append|Delete|Update|Merge|Truncate|Load|Set|Cache)[A-Z]\w*(?:Table|Data|View|Into\w*|Statement|Command)$"
+)
+
+
 @dataclass
 class Answer:
+    """``df`` holds at most ``max_rows`` rows; ``whole`` is the uncut result."""
+
     sql: str | None
     df: DataFrame | None
     error: str | None
+    whole: DataFrame | None = None
+    max_rows: int = QUERY_ROW_CAP
+
+    def truncated(self) -> bool:
+        """Whether the cap cut rows off. Looks at one row more than the cap."""
+        return self.whole is not None and self.whole.limit(self.max_rows + 1).count() > self.max_rows
+
+
+def blocked_in_plan(df: DataFrame) -> list[str]:
+    """Names of the forbidden parts of an analysed statement."""
+    told = df._jdf.queryExecution().analyzed().toJSON()
+    names = {name.rsplit(".", 1)[-1] for name in re.findall(r'"class"\s*:\s*"([^"]+)"', told)}
+    return sorted(n for n in names if PLAN_BLOCKED.search(n))
 
 
 def guarded_sql(spark: SparkSession, statement: str, max_rows: int = QUERY_ROW_CAP) -> Answer:
-    """Test, analyse and cap a statement. Errors come back in the answer."""
+    """Test, analyse and cap a statement. Errors come back in the answer.
+
+    The text is tested first, then the analysed plan. Files named as relations
+    stay closed while the statement is analysed, whatever the session allows.
+    A statement without an order has no defined first rows; ``truncated`` tells
+    when the cap has cut some off."""
     if not is_read_only(statement):
         return Answer(statement, None, "rejected: only one read-only SELECT is allowed")
+    setting = "spark.sql.runSQLOnFiles"
+    before = spark.conf.get(setting, "true")
+    spark.conf.set(setting, "false")
     try:
-        df = spark.sql(re.sub(r"[\s;]+$", "", statement)).limit(max_rows)
-        df.schema  # analysis errors surface here
-        return Answer(statement, df, None)
+        whole = spark.sql(re.sub(r"[\s;]+$", "", statement))  # analysis errors surface here
+        blocked = blocked_in_plan(whole)
     except Exception as problem:  # noqa: BLE001 - reported, not raised
         return Answer(statement, None, str(problem))
+    finally:
+        spark.conf.set(setting, before)
+    if blocked:
+        return Answer(statement, None, f"rejected: {', '.join(blocked)}")
+    return Answer(statement, whole.limit(max_rows), None, whole, max_rows)
 
 
 def with_notes(df: DataFrame, notes: dict[str, str]) -> DataFrame:

@@ -12,23 +12,27 @@ from parcelmill.plans import stages
 from parcelmill.plans.registry import query
 from parcelmill.plans.views import sold_rows, table
 
-# Notes of the sold table, shown next to its columns.
+#: What a reader of the sold table cannot see from names and types: unit or
+#: form, and which values occur.
+_MONEY, _SHARE, _DAYS = "US dollars, above 0", "a ratio, 1 means equal", "whole days, 0 or more"
 SOLD_NOTES = {
-    "CountyOrParish": "county", "City": "city", "PostalCode": "postal code",
-    "MLSAreaMajor": "listing service area", "PropertyType": "property kind, all Residential",
-    "PropertySubType": "property subtype", "ListOfficeName": "listing office",
-    "BuyerOfficeName": "buyer's office", "ListAgentFullName": "listing agent",
-    "CloseDate": "closing date", "yr_mo": "closing month as text YYYY-MM",
-    "close_year": "closing year, integer", "close_month": "closing month, 1 to 12",
-    "ClosePrice": "close price, USD", "ListPrice": "list price, USD",
-    "OriginalListPrice": "first list price, USD", "LivingArea": "living area, square feet",
-    "BedroomsTotal": "bedrooms", "BathroomsTotalInteger": "bathrooms",
-    "DaysOnMarket": "days on market", "price_ratio": "close price / list price",
-    "close_to_original_list_ratio": "close price / first list price",
-    "price_per_sqft": "close price per square foot, USD",
-    "listing_to_contract_days": "days from listing to contract",
-    "contract_to_close_days": "days from contract to closing",
-    "Latitude": "latitude", "Longitude": "longitude",
+    **dict.fromkeys(("ClosePrice", "ListPrice", "OriginalListPrice"), _MONEY),
+    **dict.fromkeys(("price_ratio", "close_to_original_list_ratio"), _SHARE),
+    **dict.fromkeys(("DaysOnMarket", "listing_to_contract_days", "contract_to_close_days"), _DAYS),
+    "price_per_sqft": "US dollars for one square foot",
+    "LivingArea": "square feet, above 0",
+    "BedroomsTotal": "count, 0 or more",
+    "BathroomsTotalInteger": "count, 0 or more",
+    "CloseDate": "day, ISO form",
+    "yr_mo": "month of CloseDate as text, like 2024-05",
+    "close_year": "year of CloseDate",
+    "close_month": "month of CloseDate, 1 = January",
+    "Latitude": "degrees north",
+    "Longitude": "degrees east, so below 0",
+    "CountyOrParish": "name without the word County",
+    "City": "name, spelled as delivered",
+    "PostalCode": "text, keeps leading zeros",
+    "PropertyType": "one value only after the type filter",
 }
 
 

@@ -439,9 +439,9 @@ def top_market_metrics(spark, folder):
 
 
 _PCT = """coalesce(CASE WHEN {c} >= 0 THEN '+' ELSE '' END
-  || regexp_replace(cast({c} AS varchar), '\\.0$', '') || '%', 'not enough data')"""
-_DIGITS = """coalesce(ltrim(format('{{:,}}', cast({c} AS bigint))), 'not enough data')"""
-_TEXT = """coalesce(cast({c} AS varchar), 'not enough data')"""
+  || regexp_replace(cast({c} AS varchar), '\\.0$', '') || '%', 'n/a')"""
+_DIGITS = """coalesce(ltrim(format('{{:,}}', cast({c} AS bigint))), 'n/a')"""
+_TEXT = """coalesce(cast({c} AS varchar), 'n/a')"""
 
 
 def _p(c):
@@ -456,35 +456,42 @@ def _t(c):
     return _TEXT.format(c=c)
 
 
+def _trend(c):
+    return f"CASE WHEN {c} IS NULL THEN 'unknown' WHEN {c} > 1 THEN 'up' WHEN {c} < -1 THEN 'down' ELSE 'flat' END"
+
+
 @query("market_fact_sheet", f"""
-SELECT market, concat_ws(chr(10),
-  'Coverage: ' || first_month || ' to ' || last_month || ', ' || n_months || ' months',
-  'Latest month: ' || last_month,
-  'Median close price: $' || {_d('median_close_price')} || ' (month ' || {_p('mom_price')} || '; year '
-    || {_p('yoy_price')} || ')',
-  'Closed sales: ' || {_d('closed_sales')} || ' (month ' || {_p('mom_sales')} || '; year ' || {_p('yoy_sales')} || ')',
-  'Median days on market: ' || {_t('median_dom')} || ' (month ' || {_p('mom_dom')} || ')',
-  'Median price per square foot: $' || {_t('median_price_per_sqft')},
-  'Close to original list ratio: ' || {_t('avg_close_to_orig_ratio')},
-  'New listings: ' || {_d('new_listings')} || '; per closed sale: ' || {_t('new_listings_to_sales_ratio')},
-  'Peak median price: ' || {_t('peak_month')} || ' at $' || {_d('peak_price')} || '; now ' || {_p('latest_vs_peak_pct')},
-  'Lowest median price: ' || {_t('trough_month')} || ' at $' || {_d('trough_price')}) AS facts
+SELECT market,
+  'PRICE | median ' || {_d('median_close_price')} || ', 1m ' || {_p('mom_price')} || ', 12m ' || {_p('yoy_price')}
+    || ', per sqft ' || {_t('median_price_per_sqft')} || ', of first ask ' || {_t('avg_close_to_orig_ratio')} || chr(10)
+  || 'PACE | median days ' || {_t('median_dom')} || ', 1m ' || {_p('mom_dom')} || chr(10)
+  || 'VOLUME | closed ' || {_d('closed_sales')} || ', 1m ' || {_p('mom_sales')} || ', 12m ' || {_p('yoy_sales')}
+    || ', listed ' || {_d('new_listings')} || ', listed per closed ' || {_t('new_listings_to_sales_ratio')} || chr(10)
+  || 'RANGE | high ' || {_d('peak_price')} || ', in ' || {_t('peak_month')} || ', low ' || {_d('trough_price')}
+    || ', in ' || {_t('trough_month')} || ', off high ' || {_p('latest_vs_peak_pct')} || chr(10)
+  || 'DATA | from ' || {_t('first_month')} || ', to ' || {_t('last_month')} || ', months ' || {_t('n_months')} AS facts
 FROM metrics""", needs=("county_kpi", "county_new"), **_METRIC_STEPS, metrics=_METRICS_SQL)
 def market_fact_sheet(spark, folder):
     return facts.fact_sheet(calendar.flat_metrics(county_metrics(spark, folder)))
 
 
 @query("market_summary_text", f"""
-SELECT market, last_month || ' market snapshot' AS headline,
-  'As of ' || last_month || ' the median close price is $' || {_d('median_close_price')} || ' (month '
-    || {_p('mom_price').replace('not enough data', '-')} || ', year '
-    || {_p('yoy_price').replace('not enough data', '-')} || '), with ' || {_d('closed_sales')}
-    || ' closed sales and a median of ' || {_t('median_dom')} || ' days on market.' || chr(10) || chr(10)
-    || 'The close to original list ratio is ' || {_t('avg_close_to_orig_ratio')}
-    || '; new listings per closed sale are ' || {_t('new_listings_to_sales_ratio')} || '.' AS summary
+SELECT market, market || ' in ' || last_month || ': price ' || {_trend('mom_price')} || ', sales '
+    || {_trend('mom_sales')} AS headline,
+  'Within a year price ' || {_trend('yoy_price')} || ' (' || {_p('yoy_price')} || '), sales ' || {_trend('yoy_sales')}
+    || ' (' || {_p('yoy_sales')} || '). Half of the ' || {_d('closed_sales')} || ' homes sold below '
+    || {_d('median_close_price')} || ' and within ' || {_t('median_dom')} || ' days.' AS summary,
+  concat_ws('; ', CASE WHEN yoy_price > 10 THEN 'price jump within a year' END,
+    CASE WHEN yoy_price < -10 THEN 'price fall within a year' END,
+    CASE WHEN new_listings_to_sales_ratio > 1.25 THEN 'more listed than sold' END,
+    CASE WHEN new_listings_to_sales_ratio < 0.75 THEN 'less listed than sold' END,
+    CASE WHEN mom_dom > 10 THEN 'homes sell more slowly' END,
+    CASE WHEN latest_vs_peak_pct < -15 THEN 'far below the high' END,
+    CASE WHEN n_months < 13 THEN 'short history' END) AS watch
 FROM metrics""", needs=("county_kpi", "county_new"), **_METRIC_STEPS, metrics=_METRICS_SQL)
 def market_summary_text(spark, folder):
-    return facts.template_summary(calendar.flat_metrics(county_metrics(spark, folder))).drop("watch")
+    told = facts.template_summary(calendar.flat_metrics(county_metrics(spark, folder)))
+    return told.withColumn("watch", F.concat_ws("; ", "watch"))
 
 
 # Whole years are taken out so that the series has gaps to fill.

@@ -7,12 +7,19 @@ costs more than the tasks it was running.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: One process on one machine; ``local-cluster`` is a cluster.
+LOCAL = re.compile(r"local(\[.*)?$")
+
+
 def build_session(name: str = "parcelmill", master: str | None = None, **conf: str) -> SparkSession:
     """A session with adaptive execution on. Pass extra settings as
     ``build_session(**{"spark.sql.shuffle.partitions": "4000"})``."""
@@ -44,7 +51,7 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
+        if not LOCAL.match(context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="parcelmill-"))
         folder = context.getCheckpointDir()
@@ -53,6 +60,22 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Drop at the end of the block what was staged inside it. For work that
+    writes its results; DataFrames that still read a staged table stop working."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and return a scan of it.
 
@@ -62,6 +85,11 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{_staged_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    # What nobody drops earlier goes when the application ends.
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    if _scopes:
+        _scopes[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -76,11 +104,18 @@ def drop_staged(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """``df`` in at least as many pieces as there are cores, by hash of ``key``.
+#: A table above this size is never spread; it has pieces enough.
+SPREAD_BYTES = 512 << 20
 
-    A table that arrives in fewer pieces, such as one Parquet row group, would
-    keep all but one core idle through every join that follows. A large table
-    has more pieces than cores and is returned as it is, without a shuffle."""
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """A small ``df`` in at least as many pieces as there are cores, by hash of
+    ``key``, so that one Parquet row group does not keep all but one core idle.
+
+    The bytes of the scan decide first: a table above ``SPREAD_BYTES`` is
+    returned as it is and never shuffled, however many cores there are."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(size)) > SPREAD_BYTES:
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

@@ -106,7 +106,8 @@ def test_fact_sheet_text(spark):
     kpi, new = frames(spark, ["2025-01", "2025-02"], [1000000.0, 1100000.0], [10, 5])
     flat = calendar.flat_metrics(calendar.market_metrics(kpi, new))
     text = facts.fact_sheet(flat).first()["facts"]
-    assert "Median close price: $1,100,000 (month +10%; year not enough data)" in text
-    assert "Closed sales: 5 (month -50%; year not enough data)" in text
+    assert text.splitlines()[0].startswith("PRICE | median 1,100,000, 1m +10%, 12m n/a, per sqft ")
+    assert "VOLUME | closed 5, 1m -50%, 12m n/a" in text and "DATA | from 2025-01, to 2025-02, months 2" in text
     summary = facts.template_summary(flat).first()
-    assert summary["headline"] == "2025-02 market snapshot" and len(summary["watch"]) == 3
+    assert summary["headline"].endswith(" in 2025-02: price up, sales down")
+    assert "price unknown (n/a)" in summary["summary"] and "short history" in summary["watch"]

@@ -14,6 +14,8 @@ ALLOWED = [
     r"SELECT 'it\'s; drop' FROM sold",
     "SELECT a.x FROM a JOIN b USING (x)",
     "SELECT transform(array(1), v -> v + 1)",
+    # The line comment goes on after the escaped line break, so nothing is called.
+    "SELECT 1 -- ' \\\n ', reflect('x', 'y') -- '\n",
 ]
 BLOCKED = [
     "DROP TABLE sold", "DELETE FROM sold", "INSERT INTO sold VALUES (1)", "UPDATE sold SET ClosePrice = 0",
@@ -27,6 +29,10 @@ BLOCKED = [
     # Nothing may hide behind a quote or a comment mark.
     "SELECT '--'; DROP TABLE sold", "SELECT `a'`, reflect('x') FROM sold", r"SELECT r'\'; DROP TABLE sold --'",
     "SELECT 'a' /* ' */ ; DROP TABLE sold",
+    # Spark nests comments, and ends line comments at a carriage return.
+    "SELECT /* /* */ ' */ reflect('java.lang.System', 'getProperty', 'java.version') AS x -- '",
+    "SELECT /* a /* b */ ' */ java_method('x', 'y') AS x -- '", "SELECT /* /* */ \" */ reflect('x', 'y') -- \"",
+    "SELECT 1 /*/* */ ` */, reflect('x', 'y') -- `", "SELECT 1 -- \r, reflect('x', 'y')", "SELECT 1 /* open ' */ /* '",
 ]
 
 
@@ -54,6 +60,27 @@ def test_guarded_run_caps_and_reports(spark):
     assert broken.df is None and "nothing" in broken.error
 
 
+def test_plan_is_tested_after_the_text(spark, tmp_path):
+    plain = spark.sql("SELECT reflect('java.lang.System', 'getProperty', 'java.version') AS x")
+    assert statements.blocked_in_plan(plain) == ["CallMethodViaReflection"]
+    assert statements.blocked_in_plan(spark.sql("SELECT upper('x') AS x, sum(id) AS s FROM range(3) GROUP BY 1")) == []
+    spark.range(3).write.parquet(str(tmp_path / "t"))
+    before = spark.conf.get("spark.sql.runSQLOnFiles")
+    spark.conf.set("spark.sql.runSQLOnFiles", "true")
+    try:
+        assert statements.guarded_sql(spark, f"SELECT * FROM delta.`{tmp_path}/t`").df is None
+        assert statements.guarded_sql(spark, f"SELECT * FROM `parquet`.`{tmp_path}/t`").df is None
+        assert spark.conf.get("spark.sql.runSQLOnFiles") == "true"
+    finally:
+        spark.conf.set("spark.sql.runSQLOnFiles", before)
+
+
+def test_answer_tells_when_it_is_cut(spark):
+    spark.range(100).createOrReplaceTempView("sold")
+    assert statements.guarded_sql(spark, "SELECT id FROM sold", 99).truncated()
+    assert not statements.guarded_sql(spark, "SELECT id FROM sold", 100).truncated()
+
+
 def test_description_carries_notes(spark):
     df = statements.with_notes(spark.createDataFrame([("x", 1), (None, 2)], "City string, n int"), {"City": "city"})
     got = [tuple(r) for r in statements.describe_table(df).collect()]
