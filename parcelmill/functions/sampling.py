@@ -2,21 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelmill.session import stage
 
 
-def random_rows(df: DataFrame, n: int, seed: int, name: str = "sample") -> DataFrame:
+def random_rows(df: DataFrame, n: int, seed: int, name: str = "sample", key: Sequence[str] = ()) -> DataFrame:
     """``n`` rows (all when there are fewer) drawn without replacement, staged,
     with a number ``_row`` from 0 in random order.
 
+    The draw is a hash of the seed and the ``key`` columns (all columns without
+    a key), so it does not depend on how the rows are laid out. Rows that agree
+    in them share their draw; give a key that is unique.
+
     Rows are thinned to about three times the size where they are read, so the
     sort that picks exactly ``n`` stays small for a table of any size."""
     rows = df.count()
     share = min(1.0, 3 * (n + 100) / max(rows, 1))
-    thin = df.withColumn("_draw", F.rand(seed)).filter(F.col("_draw") < share)
+    drawn = [F.col(c) for c in (key or df.columns)]
+    thin = df.withColumn("_draw", F.xxhash64(F.lit(seed), *drawn)).filter(
+        F.pmod(F.xxhash64("_draw"), F.lit(1 << 30)) < int(share * (1 << 30)))
     picked = thin.orderBy("_draw").limit(n)
     # At most n rows, so the numbering may be one task.
     numbered = picked.withColumn("_row", F.row_number().over(Window.orderBy("_draw")) - 1)

@@ -7,9 +7,11 @@ monthly differences, (1,1,0)(1,0,0,12):
     w(t) = y(t) - y(t-1)
     w(t) = a w(t-1) + s w(t-12) - a s w(t-13) + e(t)
 
-fitted by least squares on the months that have all their lags. Series too
-short for it, or whose fit does not settle, use (1,1,1). Intervals come from
-the weights of past shocks in the forecast.
+fitted by least squares on the months that have all their lags. Series with
+fewer than five such months, whose fit does not settle, or whose fit explodes
+(a coefficient beyond 1.5) use (1,1,1). The column ``model`` tells which was
+used: seasonal, plain, or none for a series too short for either. Intervals
+come from the weights of past shocks in the forecast.
 """
 
 from __future__ import annotations
@@ -26,9 +28,11 @@ from parcelmill.constants import (
 )
 from parcelmill.functions.scalar import percent_change
 from parcelmill.operators.calendar import holdout_split
+from parcelmill.packaging import ship
 
-FORECAST_SCHEMA = "step int, month date, mean double, lo double, hi double"
+FORECAST_SCHEMA = "step int, month date, mean double, lo double, hi double, model string"
 MIN_RESIDUALS = 5
+MAX_COEFFICIENT = 1.5
 # A series that repeats exactly leaves no residual; its interval is still not
 # narrower than this share of its usual monthly change.
 LEAST_SPREAD = 1e-6
@@ -62,9 +66,11 @@ def fit_seasonal(w: np.ndarray) -> tuple[float, float, float] | None:
         a, s = a_next, s_next
         if moved < 1e-10:
             break
+    else:
+        return None
     shocks = now - a * one - s * season + a * s * both
     variance = float(shocks @ shocks) / len(shocks)
-    if not np.isfinite([a, s, variance]).all() or max(abs(a), abs(s)) > 1.5:
+    if not np.isfinite([a, s, variance]).all() or max(abs(a), abs(s)) > MAX_COEFFICIENT:
         return None
     return a, s, variance
 
@@ -91,8 +97,8 @@ def fit_plain(w: np.ndarray) -> tuple[float, float, float, float] | None:
 
 
 def forecast_values(y: np.ndarray, steps: int, z: float = FORECAST_NORMAL_QUANTILE):
-    """(mean, lo, hi) arrays of the next ``steps`` values, or None when the
-    series is too short. Gaps in ``y`` are NaN."""
+    """(mean, lo, hi) arrays of the next ``steps`` values and the model, or None
+    when the series is too short. Gaps in ``y`` are NaN."""
     known = np.flatnonzero(~np.isnan(y))
     if len(known) < 4:
         return None
@@ -125,30 +131,31 @@ def forecast_values(y: np.ndarray, steps: int, z: float = FORECAST_NORMAL_QUANTI
     variance = max(variance, (LEAST_SPREAD * usual) ** 2)
     mean = filled[-1] + np.cumsum(past[-steps:])
     spread = z * np.sqrt(variance * np.cumsum(np.cumsum(reply) ** 2))
-    return mean, mean - spread, mean + spread
+    return mean, mean - spread, mean + spread, "plain" if seasonal is None else "seasonal"
 
 
 def forecast(series: DataFrame, keys: list[str], steps: int = FORECAST_STEPS) -> DataFrame:
-    """(keys, step, month, mean, lo, hi) for every series of (month, value).
+    """(keys, step, month, mean, lo, hi, model) for every series of (month, value).
 
     Months must be complete, see ``as_series``. A series too short to fit has
     null figures."""
+    ship(series.sparkSession)
     types = dict(series.dtypes)
     schema = ", ".join(f"{k} {types[k]}" for k in keys) + ", " + FORECAST_SCHEMA
 
     def one(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("month")
         found = forecast_values(rows["value"].to_numpy(dtype=float), steps)
-        mean, lo, hi = found if found is not None else [np.full(steps, np.nan)] * 3
+        mean, lo, hi, model = found if found is not None else [*[np.full(steps, np.nan)] * 3, "none"]
         start = pd.Timestamp(rows["month"].iloc[-1])
         months = [(start + pd.DateOffset(months=h + 1)).date() for h in range(steps)]
         out = pd.DataFrame({
             "step": np.arange(1, steps + 1, dtype=np.int32), "month": months,
-            "mean": mean, "lo": lo, "hi": hi,
+            "mean": mean, "lo": lo, "hi": hi, "model": model,
         })
         for k, value in zip(keys, key):
             out[k] = value
-        return out[[*keys, "step", "month", "mean", "lo", "hi"]]
+        return out[[*keys, "step", "month", "mean", "lo", "hi", "model"]]
 
     fitted = series.select(*keys, "month", "value").groupBy(*keys).applyInPandas(one, schema)
     return fitted.withColumns({
@@ -173,7 +180,8 @@ def backtest(series: DataFrame, keys: list[str], points: int = FORECAST_HOLDOUT)
 
 def latest_alert(series: DataFrame, keys: list[str]) -> DataFrame:
     """The latest month against its forecast from the months before, with
-    ``alert`` where it is outside the interval."""
+    ``alert`` where it is outside the interval. A month without an expected
+    value raises none."""
     marked = holdout_split(series, keys, 1)
     made = forecast(marked.filter(~F.col("held_out")), keys, 1)
     held = marked.filter("held_out").select(*keys, "month", F.col("value").alias("actual"))
@@ -181,5 +189,5 @@ def latest_alert(series: DataFrame, keys: list[str]) -> DataFrame:
     return both.select(
         *keys, "month", "actual", F.col("mean").alias("expected"), "lo", "hi",
         percent_change(F.col("actual"), F.col("mean")).alias("deviation_pct"),
-        (~F.col("actual").between(F.col("lo"), F.col("hi"))).alias("alert"),
+        F.coalesce(~F.col("actual").between(F.col("lo"), F.col("hi")), F.lit(False)).alias("alert"), "model",
     )

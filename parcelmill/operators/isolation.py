@@ -8,6 +8,7 @@ depends on the number of trees and the bag size, never on the table.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -20,6 +21,7 @@ from parcelmill.constants import (
 from parcelmill.functions.quantiles import Quantile, summarise
 from parcelmill.functions.sampling import random_rows
 from parcelmill.operators.clean import fill_medians
+from parcelmill.packaging import ship
 from parcelmill.session import stage
 
 NODE_SCHEMA = "tree int, node int, feature int, threshold double, length double"
@@ -54,10 +56,10 @@ def grow_tree(x: np.ndarray, rng: np.random.Generator) -> list[tuple[int, int, f
     return nodes
 
 
-def draw_bags(df: DataFrame, trees: int, bag: int, seed: int) -> DataFrame:
-    """Rows with a ``tree`` number, ``bag`` distinct rows per tree. The trees
+def draw_bags(df: DataFrame, trees: int, bag: int, seed: int, key: Sequence[str] = ()) -> DataFrame:
+    """Rows, drawn by a hash of ``key``, with a ``tree`` number, ``bag`` distinct rows per tree. The trees
     take turns through a random row order, from the start again at its end."""
-    pool = random_rows(df, trees * bag, seed, "forest-pool")
+    pool = random_rows(df, trees * bag, seed, "forest-pool", key)
     size = pool.count()
     bag = min(bag, size)
     turns = F.sequence(F.col("_row"), F.lit(trees * bag - 1), F.lit(size))
@@ -67,12 +69,14 @@ def draw_bags(df: DataFrame, trees: int, bag: int, seed: int) -> DataFrame:
 
 
 def grow_forest(df: DataFrame, features: list[str], trees: int = FOREST_TREES,
-                bag: int = FOREST_BAG, seed: int = FOREST_SEED) -> DataFrame:
+                bag: int = FOREST_BAG, seed: int = FOREST_SEED, key: Sequence[str] = ()) -> DataFrame:
     """The node table of the forest."""
-    bags = draw_bags(df.select(*[F.col(f).cast("double").alias(f) for f in features]), trees, bag, seed)
+    ship(df.sparkSession)
+    rows = df.select(*key, *[F.col(f).cast("double").alias(f) for f in features])
+    bags = draw_bags(rows, trees, bag, seed, key)
 
     def one(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("_slot")
+        rows = rows.sort_values(["_slot", *features])
         tree = int(rows["tree"].iloc[0])
         nodes = grow_tree(rows[features].to_numpy(), np.random.default_rng([seed, tree]))
         out = pd.DataFrame(nodes, columns=["node", "feature", "threshold", "length"])
@@ -84,6 +88,7 @@ def grow_forest(df: DataFrame, features: list[str], trees: int = FOREST_TREES,
 
 def score_column(nodes: DataFrame, features: list[str], bag: int) -> Column:
     """Anomaly score of a row, -1 (most anomalous) to 0."""
+    ship(nodes.sparkSession)
     # Bounded by trees x 2 x bag, whatever the size of the scored table.
     table = nodes.toPandas()
     width = int(table["node"].max()) + 1
@@ -120,16 +125,17 @@ def score_column(nodes: DataFrame, features: list[str], bag: int) -> Column:
 
 def isolation_scores(df: DataFrame, features: list[str] | None = None, trees: int = FOREST_TREES,
                      bag: int = FOREST_BAG, share: float = FOREST_SHARE,
-                     seed: int = FOREST_SEED) -> DataFrame:
+                     seed: int = FOREST_SEED, key: Sequence[str] = ()) -> DataFrame:
     """``df`` with ``anomaly_score`` and ``is_anomaly``: the rows whose score is
     below the ``share`` quantile of all scores. Gaps in the features are filled
-    with the median for scoring; the columns of ``df`` stay as they are."""
+    with the median for scoring; the columns of ``df`` stay as they are. With a
+    unique ``key`` the same rows always give the same forest."""
     features = [f for f in (features or FOREST_FEATURES) if f in df.columns]
     hidden = {f"_x_{f}": F.col(f) for f in features}
     inputs = list(hidden)
     filled = stage(fill_medians(df.withColumns(hidden), inputs), "forest-rows")
     bag = min(bag, max(filled.count(), 1))
-    nodes = grow_forest(filled, inputs, trees, bag, seed)
+    nodes = stage(grow_forest(filled, inputs, trees, bag, seed, key), "forest-nodes")
     scored = filled.withColumn("anomaly_score", score_column(nodes, inputs, bag)).drop(*inputs)
     return label_anomalies(stage(scored, "forest-scores"), share)
 

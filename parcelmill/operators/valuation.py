@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,16 +43,23 @@ def feature_rows(df: DataFrame, numeric: Sequence[str] = tuple(VALUE_NUMERIC),
     )
 
 
-def feature_stages(numeric: Sequence[str] = tuple(VALUE_NUMERIC),
+def feature_medians(rows: DataFrame, numbers: Sequence[str] = (*VALUE_NUMERIC, *VALUE_BOOLEAN)) -> dict[str, float]:
+    """Exact medians of the numbers, one value each; 0 where all are missing."""
+    row = summarise(rows, (), (), [median(c, c) for c in numbers]).first()
+    return {c: 0.0 if row is None or row[c] is None else float(row[c]) for c in numbers}
+
+
+def feature_stages(medians: dict[str, float], numeric: Sequence[str] = tuple(VALUE_NUMERIC),
                    boolean: Sequence[str] = tuple(VALUE_BOOLEAN),
                    category: Sequence[str] = tuple(VALUE_CATEGORY)) -> list:
-    """Filled numbers with a marker for what was missing, and one column per
-    category value; a missing category is all zeros."""
+    """Numbers filled with ``medians``, which become constants of the model,
+    with a marker for what was missing, and one column per category value; a
+    missing category is all zeros."""
     numbers = [*numeric, *boolean]
-    markers = ", ".join(f"cast({c} IS NULL AS double) AS {c}_missing" for c in numbers)
+    filled = ", ".join(
+        f"cast({c} IS NULL AS double) AS {c}_missing, coalesce({c}, {medians[c]!r}D) AS {c}_filled" for c in numbers)
     return [
-        SQLTransformer(statement=f"SELECT *, {markers} FROM __THIS__"),
-        Imputer(inputCols=numbers, outputCols=[f"{c}_filled" for c in numbers], strategy="median"),
+        SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"),
         StringIndexer(inputCols=list(category), outputCols=[f"{c}_index" for c in category],
                       handleInvalid="keep"),
         OneHotEncoder(inputCols=[f"{c}_index" for c in category],
@@ -85,7 +92,7 @@ def fit_value_model(train: DataFrame, **trees) -> PipelineModel:
     shared_folder(train.sparkSession)  # the trees are checkpointed while they grow
     settings = {**VALUE_TREES, "checkpointInterval": 10, **trees}
     return Pipeline(stages=[
-        *feature_stages(), GBTRegressor(featuresCol="features", labelCol="label", **settings),
+        *feature_stages(feature_medians(train)), GBTRegressor(featuresCol="features", labelCol="label", **settings),
     ]).fit(train)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from parcelmill.constants import FOREST_FEATURES, VALUE_BOOLEAN, VALUE_CATEGORY, VALUE_NUMERIC
@@ -41,6 +42,39 @@ def forecast(spark, folder):
     return fc.forecast(county_series(spark, folder), _KEYS)
 
 
+# What the length and the gaps of a series decide: its months, whether it gets
+# figures, whether they are in order, and that the seasonal model has its lags.
+@query("forecast_shape", """
+SELECT market, metric, step, strftime(last + to_months(step::int), '%Y-%m-%d') AS month,
+  known >= 4 AND (lagged >= 5 OR steps >= 3) AS has_figures, true AS in_order, true AS model_fits
+FROM (SELECT market, metric, max(month) AS last, count(v) AS known, count(w) AS steps,
+    count(*) FILTER (w IS NOT NULL AND w1 IS NOT NULL AND w12 IS NOT NULL AND w13 IS NOT NULL) AS lagged
+  FROM (SELECT *, lag(w, 1) OVER s AS w1, lag(w, 12) OVER s AS w12, lag(w, 13) OVER s AS w13
+    FROM (SELECT *, v - lag(v) OVER (PARTITION BY market, metric ORDER BY month) AS w FROM series) d
+    WINDOW s AS (PARTITION BY market, metric ORDER BY month)) l GROUP BY 1, 2) t
+CROSS JOIN (SELECT unnest([1, 2, 3]) AS step) n""", needs=("county_kpi",), series="""
+SELECT g.market, metric, month, CASE metric WHEN 'closed_sales' THEN k.closed_sales ELSE k.median_close_price END AS v
+FROM (SELECT market, unnest(generate_series(a, z, INTERVAL 1 month)) AS month
+  FROM (SELECT market, min(cast(yr_mo || '-01' AS date)) AS a, max(cast(yr_mo || '-01' AS date)) AS z
+    FROM county_kpi GROUP BY market) s) g
+CROSS JOIN (SELECT unnest(['median_close_price', 'closed_sales']) AS metric) m
+LEFT JOIN county_kpi k ON k.market = g.market AND k.yr_mo = strftime(month, '%Y-%m')""")
+def forecast_shape(spark, folder):
+    series = county_series(spark, folder)
+    by = Window.partitionBy(*_KEYS).orderBy("month")
+    steps = series.withColumn("w", F.col("value") - F.lag("value").over(by))
+    lagged = steps.withColumn("full", F.col("w").isNotNull() & F.lag("w", 1).over(by).isNotNull()
+                              & F.lag("w", 12).over(by).isNotNull() & F.lag("w", 13).over(by).isNotNull())
+    usable = lagged.groupBy(*_KEYS).agg(F.count_if("full").alias("lagged"))
+    made = fc.forecast(series, _KEYS).join(usable, _KEYS)
+    has = F.col("mean").isNotNull()
+    return made.select(
+        *_KEYS, "step", "month", has.alias("has_figures"),
+        F.coalesce((F.col("lo") <= F.col("mean")) & (F.col("mean") <= F.col("hi")), ~has).alias("in_order"),
+        (((F.col("model") == "seasonal") & (F.col("lagged") >= fc.MIN_RESIDUALS)) | (F.col("model") == "plain") & has
+         | (F.col("model") == "none") & ~has).alias("model_fits"))
+
+
 @query("forecast_backtest")
 def forecast_backtest(spark, folder):
     return fc.backtest(county_series(spark, folder), _KEYS)
@@ -65,7 +99,7 @@ def forecast_error(spark, folder):
 def scored_sales(spark, folder):
     rows = stages.sold_flagged(
         spark, folder, ["ListingKey", "City", "CountyOrParish", "PropertySubType", *FOREST_FEATURES])
-    return isolation.isolation_scores(rows)
+    return isolation.isolation_scores(rows, key=["ListingKey"])
 
 
 @query("isolation_scores")
@@ -125,13 +159,22 @@ def avm_feature_rows(spark, folder):
         F.avg("rate_30yr_fixed").alias("mean_rate"))
 
 
-@query("avm_feature_build")
+_NUMBERS = len(VALUE_NUMERIC) + len(VALUE_BOOLEAN)
+
+
+# A filled value and a marker per number, a column per category value.
+@query("avm_feature_build", f"""
+SELECT month_index, round(actual, 4) AS actual, round(label, 4) AS label, width FROM (
+  SELECT close_year * 12 + close_month AS month_index, ClosePrice AS actual, ln(1 + ClosePrice) AS label
+  FROM sold_clean WHERE ClosePrice > 0) t
+CROSS JOIN (SELECT {2 * _NUMBERS} + {' + '.join(f'count(DISTINCT {c})' for c in VALUE_CATEGORY)} AS width
+  FROM sold_clean WHERE ClosePrice > 0) w""", needs=("sold_clean",))
 def avm_feature_build(spark, folder):
     from pyspark.ml import Pipeline
     from pyspark.ml.functions import vector_to_array
 
     rows = value_rows(spark, folder)
-    built = Pipeline(stages=valuation.feature_stages()).fit(rows).transform(rows)
+    built = Pipeline(stages=valuation.feature_stages(valuation.feature_medians(rows))).fit(rows).transform(rows)
     return built.select("month_index", "actual", "label",
                         F.size(vector_to_array("features")).alias("width"))
 

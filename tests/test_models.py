@@ -55,7 +55,8 @@ def test_seasonal_forecast_follows_the_recursion():
     w = seasonal_differences(120, -0.4, 0.5, 2)
     y = 50 + np.concatenate([[0], np.cumsum(w)])
     a, s, variance = forecast.fit_seasonal(w)
-    mean, lo, hi = forecast.forecast_values(y, 14)
+    mean, lo, hi, model = forecast.forecast_values(y, 14)
+    assert model == "seasonal"
     # By hand: extend the levels, and let many noisy futures give the spread.
     path = list(y)
     for _ in range(14):
@@ -82,12 +83,13 @@ def test_short_series_fall_back_and_tiny_ones_are_null(spark):
     got = forecast.forecast(df, ["k"]).collect()
     assert all(r["hi"] > r["lo"] for r in got if r["k"] == "short")
     assert all(r["mean"] is None for r in got if r["k"] == "tiny")
+    assert {(r["k"], r["model"]) for r in got} == {("short", "plain"), ("tiny", "none")}
 
 
 def test_gaps_do_not_stop_a_fit():
     y = np.concatenate([[0], np.cumsum(seasonal_differences(80, 0.3, 0.4, 6))]) + 100
     y[20] = np.nan
-    mean, lo, hi = forecast.forecast_values(y, 3)
+    mean, lo, hi, model = forecast.forecast_values(y, 3)
     assert np.isfinite(mean).all() and (hi > lo).all()
 
 
@@ -221,6 +223,6 @@ def test_model_learns_and_ranks_its_drivers(spark, homes, tmp_path):
 def test_missing_category_has_no_column(spark, homes):
     from pyspark.ml import Pipeline
 
-    built = Pipeline(stages=valuation.feature_stages()).fit(homes).transform(homes)
+    built = Pipeline(stages=valuation.feature_stages(valuation.feature_medians(homes))).fit(homes).transform(homes)
     row = built.filter(F.col("PropertySubType").isNull()).first()
     assert row["PropertySubType_hot"].numNonzeros() == 0 and row["LivingArea_missing"] == 1.0
