@@ -44,7 +44,7 @@ def flag_feed(rows: DataFrame, price: str, outliers: dict[str, str]) -> DataFram
 
 
 def build_tables(spark: SparkSession, sold: Sequence[str] | str, listed: Sequence[str] | str,
-                 rates: Sequence[str], out: str, multiline: bool = True) -> dict[str, DataFrame]:
+                 rates: Sequence[str], out: str) -> dict[str, DataFrame]:
     """Write all tables below ``out`` and return them as scans."""
     with staging(spark):
         series = first_readable(spark, rates)
@@ -55,13 +55,13 @@ def build_tables(spark: SparkSession, sold: Sequence[str] | str, listed: Sequenc
             done[name] = spark.read.parquet(f"{out}/{name}")
             return done[name]
 
-        sales = _cleaned(ingest(spark, sold, multiline), "CloseDate", series, "sold-feed")
+        sales = _cleaned(ingest(spark, sold), "CloseDate", series, "sold-feed")
         flagged = put("sold_flagged", flag_feed(sold_features(sales), "ClosePrice", SOLD_OUTLIERS), "yr_mo")
         kept = guard_ratio(clean_iqr(flagged))
         put("sold_extract", sold_extract(kept), "yr_mo")
         put("monthly_market", marts.monthly_market(kept))
 
-        offers = _cleaned(ingest(spark, listed, multiline), "ListingContractDate", series, "listed-feed")
+        offers = _cleaned(ingest(spark, listed), "ListingContractDate", series, "listed-feed")
         flagged = put("listed_flagged", flag_feed(listed_features(offers), "ListPrice", LISTED_OUTLIERS), "yr_mo")
         kept = clean_iqr(flagged)
         put("listed_extract", listed_extract(kept), "yr_mo")

@@ -1,31 +1,34 @@
-"""Monthly CSV feeds: columns that drift, repeated headers, quoted newlines."""
+"""Monthly CSV feeds: columns that drift, repeated headers, quoted newlines.
+
+Files are read in two passes, both spread over their splits:
+
+1. A survey looks at the lines and notes, per split, the first line, the number
+   of lines and of quote marks.
+2. Files whose records are single lines are read by Spark's CSV source in
+   splits. In the others a line belongs to the record before it when the number
+   of quote marks before it in its file is odd; the survey tells that number at
+   the start of each split, so these files are split as well.
+
+The driver sees the different headers, never the list of files.
+"""
 
 from __future__ import annotations
 
 import csv
 import io
-from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CSV_OPTIONS = {"multiLine": "true", "escape": '"', "quote": '"', "mode": "PERMISSIVE"}
-
-
-def list_files(spark: SparkSession, pattern: str) -> list[str]:
-    """Sorted paths that match the pattern, on any file system Spark reads."""
-    found = (
-        spark.read.format("binaryFile").load(pattern).select("path").distinct().orderBy("path")
-    )
-    return [r["path"] for r in found.collect()]
-
+from parcelmill.packaging import ship
+from parcelmill.session import stage
 
-def header_of(spark: SparkSession, path: str) -> list[str]:
-    """Column names of the first line."""
-    first = spark.read.text(path).limit(1).collect()
-    return next(csv.reader(io.StringIO(first[0]["value"].lstrip("\ufeff")))) if first else []
+CSV_OPTIONS = {"escape": '"', "quote": '"', "mode": "PERMISSIVE"}
+_PLACE = "path string, start long, first string, lines long, quotes long, uneven boolean"
 
 
 def distinct_header(names: Sequence[str]) -> list[str | None]:
@@ -41,57 +44,137 @@ def distinct_header(names: Sequence[str]) -> list[str | None]:
     return kept
 
 
-def _by_header(spark: SparkSession, paths: Sequence[str] | str) -> dict[tuple, list[str]]:
-    if isinstance(paths, str):
-        paths = list_files(spark, paths)
-    if not paths:
-        raise FileNotFoundError("no file matches")
-    # Each header is a job of one short task; many run at once.
-    with ThreadPoolExecutor(16) as pool:
-        headers = list(pool.map(lambda path: tuple(header_of(spark, path)), paths))
-    groups: dict[tuple, list[str]] = {}
-    for path, header in zip(paths, headers):
-        groups.setdefault(header, []).append(path)
-    return groups
+def _lines(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
+    """(path, start of the split, at, value): every line, ``at`` rising within a split."""
+    read = spark.read.text(paths if isinstance(paths, str) else list(paths))
+    return read.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
+                       F.monotonically_increasing_id().alias("at"), "value")
 
 
-def _positional(spark: SparkSession, paths: Sequence[str], width: int, multiline: bool) -> DataFrame:
+def survey(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
+    """A row per split: its first line, lines, quote marks, and whether a line
+    has an odd number of quote marks."""
+    if not paths:
+        raise FileNotFoundError("no file matches")
+    ship(spark)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["path", "start", "first", "lines", "quotes", "uneven"]
+        types = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.bool_()]
+        held: dict[tuple, list] = {}
+        for batch in batches:
+            marks = pc.count_substring(batch.column(2), '"')
+            keys = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            cut = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
+            for i, j in zip(cut, cut[1:]) if keys else ():
+                found = held.setdefault(keys[i], [batch.column(2)[i].as_py(), 0, 0, False])
+                part = marks.slice(i, j - i)
+                found[1] += j - i
+                found[2] += pc.sum(part).as_py()
+                found[3] |= pc.any(pc.equal(pc.bit_wise_and(part, 1), 1)).as_py()
+        rows = [(*k, *v) for k, v in held.items()]  # a task has few splits
+        columns = zip(*rows) if rows else [()] * len(names)
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names=names)
+
+    lines = _lines(spark, paths).select("path", "start", "value")
+    return stage(lines.mapInArrow(work, _PLACE), "survey")
+
+
+def _files(blocks: DataFrame) -> DataFrame:
+    """(path, header line, uneven) of every file that is not empty."""
+    return blocks.groupBy("path").agg(
+        F.max(F.when(F.col("start") == 0, F.regexp_replace("first", "^\\ufeff", ""))).alias("header"),
+        F.max("uneven").alias("uneven"))
+
+
+def _headers(files: DataFrame) -> dict[str, list[str]]:
+    """Names by header line, in order of the first file that has it; as many
+    entries as there are different headers."""
+    known = files.groupBy("header").agg(F.min("path").alias("path")).orderBy("path")
+    lines = [r["header"] for r in known.collect()]
+    return {line: next(csv.reader(io.StringIO(line)), []) for line in lines}
+
+
+def _records(spark: SparkSession, paths: Sequence[str] | str) -> tuple[DataFrame, DataFrame, dict[str, list[str]]]:
+    """(records as ``path``, ``header`` and fields ``c``, files, headers)."""
+    blocks = survey(spark, paths)
+    files = _files(blocks)
+    headers = _headers(files)
+    width = max(map(len, headers.values()), default=0) + 1  # one more shows fields beyond any header
     schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
-    options = {**CSV_OPTIONS, "multiLine": str(multiline).lower()}
-    return spark.read.schema(schema).options(header="true", enforceSchema="true", **options).csv(list(paths))
-
-
-def ingest(spark: SparkSession, paths: Sequence[str] | str, multiline: bool = True) -> DataFrame:
+    fields = F.array(*[F.col(f"_c{i}") for i in range(width)]).alias("c")
+
+    read = spark.read.schema(schema).options(header="true", enforceSchema="true", **CSV_OPTIONS)
+    single = read.csv(paths if isinstance(paths, str) else list(paths)).select(F.col("_metadata.file_path").alias("path"), fields)
+    records = single.join(files.where("NOT uneven").select("path", "header"), "path")
+
+    if files.where("uneven").head(1):
+        before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+        open_ = blocks.join(files.where("uneven").select("path", "header"), "path").select(
+            "path", "start", "header", F.coalesce(F.sum("quotes").over(before), F.lit(0)).alias("quotes_before"))
+        upto = Window.partitionBy("path", "start").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+        marks = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+        lines = _lines(spark, paths).join(open_, ["path", "start"]).withColumn("marks", marks)
+        begins = (F.col("quotes_before") + F.coalesce(F.sum("marks").over(upto), F.lit(0))) % 2 == 0
+        lines = lines.withColumn("begins", begins.cast("long"))
+        # Records are numbered within the file: those of the splits before, then those in the split.
+        counts = lines.groupBy("path", "start").agg(F.sum("begins").alias("n"))
+        counts = counts.select("path", "start", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("records_before"))
+        within = Window.partitionBy("path", "start").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        lines = lines.join(counts, ["path", "start"]).withColumn("record", F.col("records_before") + F.sum("begins").over(within))
+        whole = lines.where("record > 1").groupBy("path", "header", "record").agg(
+            F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("start", "at", "value"))), lambda x: x["value"]), "\n").alias("text"))
+        parsed = whole.where("trim(text) <> ''").select("path", F.from_csv("text", schema.simpleString()[7:-1].replace(":", " "), CSV_OPTIONS).alias("x"), "header")
+        records = records.unionByName(parsed.select(
+            "path", F.array(*[F.col(f"x._c{i}") for i in range(width)]).alias("c"), "header"))
+    return records, files, headers
+
+
+def _beyond(headers: dict[str, list[str]]) -> Column:
+    """Whether a record has a value behind the last name of its header."""
+    found = F.lit(False)
+    for line, names in headers.items():
+        more = F.exists(F.slice("c", len(names) + 1, F.greatest(F.size("c") - len(names), F.lit(0))), lambda x: x.isNotNull())
+        found = F.when(F.col("header") == line, more).otherwise(found)
+    return found
+
+
+def ingest(spark: SparkSession, paths: Sequence[str] | str, malformed: str = "fail") -> DataFrame:
     """Union of the files by column name, all columns as text; a column that a
     file lacks is null, and the first of each repeated column is kept.
 
-    Names come from the header lines. Files with the same header are read
-    together, so the plan grows with the number of different headers and not
-    with the number of files. A quoted value with a line break makes a file one
-    task; pass ``multiline=False`` for large files without such values, which
-    Spark then splits."""
-    whole = None
-    for header, members in _by_header(spark, paths).items():
-        kept = distinct_header(header)
-        part = _positional(spark, members, len(header), multiline).select(
-            *[F.col(f"_c{i}").alias(n) for i, n in enumerate(kept) if n is not None]
-        )
-        whole = part if whole is None else whole.unionByName(part, allowMissingColumns=True)
-    return whole
-
-
-def file_counts(spark: SparkSession, paths: Sequence[str] | str, multiline: bool = True) -> DataFrame:
-    """(file, rows, columns) of every file that has rows."""
-    whole = None
-    for header, members in _by_header(spark, paths).items():
-        part = (
-            _positional(spark, members, len(header), multiline)
-            .groupBy(F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file"))
-            .agg(F.count(F.lit(1)).alias("rows"))
-            .withColumn("columns", F.lit(len(header)))
-        )
-        whole = part if whole is None else whole.unionByName(part)
-    return whole
+    All files are one scan: the header of its file tells where a record has a
+    column, so the plan grows with the number of different headers and not with
+    the number of files. A record with more fields than its header stops the
+    read; ``malformed='drop'`` leaves it out, see ``file_counts`` for how many."""
+    if malformed not in ("fail", "drop"):
+        raise ValueError("malformed is 'fail' or 'drop'")
+    records, _, headers = _records(spark, paths)
+    if malformed == "drop":
+        records = records.where(~_beyond(headers))
+    else:
+        records = records.withColumn("c", F.when(_beyond(headers), F.raise_error(F.concat(
+            F.lit("a record has more fields than the header of "), "path"))).otherwise(F.col("c")))
+    places: dict[str, Column] = {}
+    for line, names in headers.items():
+        for i, name in enumerate(distinct_header(names)):
+            if name is not None:
+                places[name] = F.when(F.col("header") == line, F.col("c")[i]).otherwise(places.get(name, F.lit(None).cast("string")))
+    return records.select(*[place.alias(name) for name, place in places.items()])
+
+
+def file_counts(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
+    """(file, rows, columns, malformed) of every file, also of those that hold a
+    header only. ``malformed`` records have more fields than the header."""
+    records, files, headers = _records(spark, paths)
+    counted = records.groupBy("path").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(_beyond(headers)).alias("malformed"))
+    columns = F.lit(0)
+    for line, names in headers.items():
+        columns = F.when(F.col("header") == line, len(names)).otherwise(columns)
+    return files.join(counted, "path", "left").select(
+        F.element_at(F.split("path", "/"), -1).alias("file"), F.coalesce("rows", F.lit(0)).alias("rows"),
+        columns.alias("columns"), F.coalesce("malformed", F.lit(0)).alias("malformed"))
 
 
 def read_columns(spark: SparkSession, path: str, types: dict[str, str]) -> DataFrame:

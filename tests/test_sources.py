@@ -1,3 +1,4 @@
+import csv
 import datetime as dt
 import os
 
@@ -53,9 +54,33 @@ def test_repeated_names():
     assert files.distinct_header(["a", "b", "a", "b.1", "c"]) == ["a", "b", None, None, "c"]
 
 
-def test_split_reading_without_line_breaks(spark, feed):
-    got = files.ingest(spark, [feed + "/sold_02.csv", feed + "/sold_03.csv"], multiline=False)
-    assert sorted(r["ListingKey"] for r in got.collect()) == ["3", "4", "5"]
+def test_empty_months_and_malformed_records_are_counted(spark, feed):
+    with open(feed + "/sold_04.csv", "w") as f:
+        f.write("ListingKey,City\n")
+    with open(feed + "/sold_05.csv", "w") as f:
+        f.write("ListingKey,City\n6,a\n7,b,lost\n8\n")
+    got = {r["file"]: (r["rows"], r["columns"], r["malformed"]) for r in files.file_counts(spark, feed + "/*.csv").collect()}
+    assert got["sold_04.csv"] == (0, 2, 0) and got["sold_05.csv"] == (3, 2, 1) and got["sold_01.csv"] == (2, 5, 0)
+    with pytest.raises(Exception, match="more fields than the header"):
+        files.ingest(spark, feed + "/*.csv").collect()
+    kept = files.ingest(spark, feed + "/*.csv", malformed="drop").collect()
+    assert sorted(r["ListingKey"] for r in kept) == ["1", "2", "3", "4", "5", "6", "8"]
+
+
+def test_quoted_line_breaks_across_splits(spark, tmp_path):
+    rows = [(str(i), "\n".join(["x" * (i % 17), 'say "hi", ok'] * (i % 4 + 1)), str(i * 3)) for i in range(3000)]
+    with open(tmp_path / "big.csv", "w", newline="") as f:
+        out = csv.writer(f, lineterminator="\n")
+        out.writerow(["ListingKey", "Remarks", "n"])
+        out.writerows(rows)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    try:
+        df = files.ingest(spark, str(tmp_path / "big.csv"))
+        assert files.survey(spark, str(tmp_path / "big.csv")).count() > 5
+        assert sorted(tuple(r) for r in df.collect()) == sorted(rows)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
 def test_round_trips(spark, feed, tmp_path):
