@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from parcelmill.constants import DESCRIBE_POINTS, HALF_EMPTY_PERCENT, SPARSE_PERCENT
 from parcelmill.functions.quantiles import GROUP_ROWS, Quantile, median, summarise
+from parcelmill.session import stage
 
 
 def rows_from_one(row: DataFrame, fields: Sequence[str], values: dict[str, str]) -> DataFrame:
@@ -35,7 +36,9 @@ def rows_from_one(row: DataFrame, fields: Sequence[str], values: dict[str, str])
 def frequency(df: DataFrame, column: str) -> DataFrame:
     """(value, rows, pct) of the non-null values; pct is of all rows."""
     counts = df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("rows"))
-    total = counts.agg(F.sum("rows")).scalar()
+    # The counts are written once; their sum becomes a constant, so the table is read once.
+    counts = stage(counts, "frequency")
+    total = F.lit(counts.agg(F.sum("rows")).first()[0])
     return counts.filter(F.col("value").isNotNull()).select(
         "value", "rows", (F.try_divide(F.col("rows"), total) * 100).alias("pct")
     )

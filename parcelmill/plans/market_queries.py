@@ -494,7 +494,17 @@ def market_summary_text(spark, folder):
     return told.withColumn("watch", F.concat_ws("; ", "watch"))
 
 
-# Whole years are taken out so that the series has gaps to fill.
+@query("densify_all_months", """
+SELECT g.market, g.yr_mo, k.closed_sales, round(k.median_close_price, 6) AS median_close_price
+FROM (SELECT market, strftime(unnest(generate_series(a, z, INTERVAL 1 month)), '%Y-%m') AS yr_mo
+  FROM (SELECT market, min(cast(yr_mo || '-01' AS date)) AS a, max(cast(yr_mo || '-01' AS date)) AS z
+    FROM county_kpi GROUP BY market) s) g
+LEFT JOIN county_kpi k ON k.market = g.market AND k.yr_mo = g.yr_mo""", needs=("county_kpi",))
+def densify_all_months(spark, folder):
+    return calendar.densify_months(county_kpi(spark, folder), ["closed_sales", "median_close_price"])
+
+
+# The same with two months of every year taken out so that the series has gaps to fill.
 @query("densify_months", """
 SELECT g.market, g.yr_mo, k.closed_sales, round(k.median_close_price, 6) AS median_close_price
 FROM (SELECT market, strftime(unnest(generate_series(a, z, INTERVAL 1 month)), '%Y-%m') AS yr_mo

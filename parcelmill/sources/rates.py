@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,18 +27,26 @@ def read_rates(spark: SparkSession, path: str) -> DataFrame:
     return tidy_rates(spark.read.options(header="true", **CSV_OPTIONS).csv(path))
 
 
-def first_readable(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None:
-    """Rates from the first path that can be read and has rows; else None."""
+def first_source(spark: SparkSession, paths: Sequence[str]) -> tuple[str, DataFrame] | None:
+    """(path, rates) of the first path that exists, has the columns and has
+    rows; else None. Only a missing path or a table of another form leads on to
+    the next one; a failing cluster raises."""
     for path in paths:
         try:
             rates = read_rates(spark, path)
-            if rates.take(1):
-                return rates
-        except Exception:  # noqa: BLE001 - try the next source
+        except (AnalysisException, ValueError):  # no such path; fewer than two columns
             continue
+        if rates.take(1):
+            return path, rates
     return None
 
 
+def first_readable(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None:
+    """Rates from the first usable path, see ``first_source``."""
+    found = first_source(spark, paths)
+    return found[1] if found else None
+
+
 def monthly_rates(rates: DataFrame, name: str = RATE) -> DataFrame:
     """(yr_mo, rate): the mean of the points of each month."""
     return rates.groupBy(month_text("date").alias("yr_mo")).agg(F.avg("value").alias(name))
