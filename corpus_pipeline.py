@@ -45,7 +45,7 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     import public_tokenizers
 
     model = public_tokenizers.path("piece_bpe_32k.model")
-    rows = pieces.decode(pieces.encode(docs.select(*COLUMNS), model), model)
+    rows = pieces.encode_and_decode(docs.select(*COLUMNS), model)
     return rows.select(
         "doc_id", "lang", "source", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids",
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))

@@ -50,6 +50,8 @@ WORDS, SAMPLES, BANDS, ROWS, BITS = 5, 256, 40, 4, 1024
 LEAST = 75
 #: Closest candidates confirmed in the star round; rows of a block in the rest round.
 CLOSEST, BLOCK = 3, 1024
+#: Hashes of words that a task keeps from batch to batch.
+KNOWN_WORDS = 100_000
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _ODD = np.random.default_rng(20).integers(0, 2**32, (2, SAMPLES), dtype=np.uint64).astype(np.uint32)
 _TIMES, _PLUS = _ODD[0] | np.uint32(1), _ODD[1]
@@ -149,7 +151,7 @@ def _profiles(docs: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seq, known = TaskContext.get().partitionId() << 36, _Words()
         for batch in batches:
-            if len(known) > 300_000:
+            if len(known) > KNOWN_WORDS:
                 known = _Words()
             sizes, digests, first, sampled = [], [], {}, []
             for row, data in enumerate(bytes_of(batch.column(1))):
@@ -252,7 +254,7 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Words()
         for batch in batches:
-            if len(known) > 300_000:
+            if len(known) > KNOWN_WORDS:
                 known = _Words()
             node, shingles = [], []
             for n, digest, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), bytes_of(batch.column(2))):

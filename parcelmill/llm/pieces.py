@@ -33,12 +33,15 @@ nothing is shuffled.
 
 from __future__ import annotations
 
+import gc
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -47,9 +50,9 @@ from pyspark.sql import types as T
 from parcelmill.llm.common import map_batches, texts_of
 
 SPACE = "▁"
-#: Entries a task keeps: solved parts, and weights of pairs.
-PARTS, PAIRS, LONGEST_PART = 250_000, 400_000, 48
-_UNKNOWN = 1 << 20
+#: Entries a task keeps of solved parts, and a worker of weights of pairs.
+PARTS, PAIRS, LONGEST_PART = 100_000, 250_000, 48
+_UNKNOWN, _TRIED = 1 << 20, -2
 _RUNS = re.compile(" +[^ ]*")
 
 
@@ -115,6 +118,27 @@ def read_model(path: str) -> Model:
     return model
 
 
+class _Memory:
+    """Keeps what was used lately: when the young half is full, it becomes the
+    old half and what only the old half had is forgotten."""
+
+    def __init__(self, half: int) -> None:
+        self.half, self.young, self.old = half, {}, {}
+
+    def get(self, key: str) -> bytes | None:
+        found = self.young.get(key)
+        if found is None:
+            found = self.old.get(key)
+            if found is not None:
+                self.put(key, found)
+        return found
+
+    def put(self, key: str, value: bytes) -> None:
+        if len(self.young) >= self.half:
+            self.young, self.old = {}, self.young
+        self.young[key] = value
+
+
 class Transducer:
     def __init__(self, path: str) -> None:
         self.model = model = read_model(path)
@@ -123,17 +147,29 @@ class Transducer:
         for i, (p, k) in enumerate(zip(model.pieces, model.kinds)):
             if k == 6:
                 self.bytes[int(p[3:5], 16)] = i
-        # The trie, read from the end of a piece: character -> [next, id or -1].
-        self.back: dict = {}
-        for p, i in self.ids.items():
-            node = self.back
-            for c in reversed(p[1:]):
-                node = node.setdefault(c, [{}, -1])[0]
-            node.setdefault(p[0], [{}, -1])[1] = i
+        self.trie = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+        #: The longest piece that a beginning of a piece begins with, -1 for none.
+        self.best: dict[str, int] = {}
+        self.longest = max(map(len, self.ids))
+        for p in self.ids:
+            self.trie.add_word(p)
+        for p in self.ids:
+            for k in range(1, len(p) + 1):
+                if p[:k] not in self.best:
+                    self.best[p[:k]] = self.ids.get(p[:k], self.best.get(p[:k - 1], -1))
+        #: Of each piece, the next shorter piece that it begins with.
+        self.shorter = {i: self.best.get(p[:-1], -1) for p, i in self.ids.items()}
+        self.sizes = {i: len(p) for p, i in self.ids.items()}
+        #: Neighbours inside some piece; between any other two characters a part may be cut.
+        self.joins = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
         self.pairs: dict[int, bool] = {}
-        self.parts: dict[str, bytes] = {}
+        self.forget()
         self.out = [self._surface(p, k) for p, k in zip(model.pieces, model.kinds)]
 
+    def forget(self) -> None:
+        """Drop the solved parts, so that an idle worker holds little memory."""
+        self.parts, self.runs = _Memory(PARTS), _Memory(PARTS)
+
     @staticmethod
     def _surface(piece: str, kind: int) -> bytes:
         if kind == 6:
@@ -169,55 +205,83 @@ class Transducer:
 
     def path(self, text: str) -> list[int]:
         """Tokens of the shortest path for a normalised text; characters
-        without a piece are ``_UNKNOWN`` plus their code point."""
-        last, start = [-1] * (len(text) + 1), [0] * (len(text) + 1)
-        pairs = self.pairs
-        for end in range(1, len(text) + 1):
-            node, at, arcs = self.back, end - 1, []
-            while at >= 0:
-                found = node.get(text[at])
-                if found is None:
-                    break
-                node, token = found
-                if token >= 0:
-                    arcs.append((at, token))
-                at -= 1
-            for at, token in reversed(arcs):
-                before = last[at]
-                fits = pairs.get(before << 22 | token)
-                if fits is None:
-                    fits = self._stable(before, token)
-                if fits:
-                    last[end], start[end] = token, at
-                    break
+        without a piece are ``_UNKNOWN`` plus their code point.
+
+        Depth first along arcs of weight 0, longest first. A place has one
+        prefix path of weight 0, so one that leads no further is never tried
+        again and the search is linear.
+        """
+        at, before, closed, taken = 0, -1, set(), []
+        pairs, shorter, sizes, reach = self.pairs, self.shorter, self.sizes, self.longest
+        begins, best, n = self.trie.longest_prefix, self.best, len(text)
+        token = None
+        while at < n:
+            if token is None:
+                ahead = text[at:at + reach]
+                token = best.get(ahead[:begins(ahead)], -1)
+            while True:
+                if token < 0:
+                    # No piece fits; a character without a piece still may.
+                    token = -1 if text[at] in self.ids or token == _TRIED else _UNKNOWN + ord(text[at])
+                    if token < 0:
+                        break
+                end = at + sizes.get(token, 1)
+                if end not in closed:
+                    fits = pairs.get(before << 22 | token)
+                    if fits is None:
+                        fits = self._stable(before, token)
+                    if fits:
+                        break
+                token = shorter.get(token, _TRIED)
+            if token >= 0:
+                taken.append((at, before, token))
+                at, before, token = end, token, None
             else:
-                last[end], start[end] = _UNKNOWN + ord(text[end - 1]), end - 1
-        found, end = [], len(text)
-        while end:
-            found.append(last[end])
-            end = start[end]
-        return found[::-1]
+                closed.add(at)
+                at, before, token = taken.pop()
+                token = shorter.get(token, _TRIED)
+        return [token for _, _, token in taken]
 
     def _solve(self, part: str) -> bytes:
-        ids: list[int] = []
-        for token in self.path(part):
+        """Ids of a part as bytes, run by run between places that no piece joins."""
+        joins, runs = self.joins, self.runs
+        ids = runs.get(part)
+        if ids is not None:
+            return ids
+        if part[-2:] not in joins:  # mostly a word and a point or comma
+            head, tail = runs.get(part[:-1]), runs.get(part[-1])
+            if head is not None and tail is not None:
+                return head + tail
+        cuts = [0, *(i for i in range(1, len(part)) if part[i - 1:i + 1] not in joins), len(part)]
+        found = []
+        for i, j in zip(cuts, cuts[1:]):
+            run = part[i:j]
+            ids = runs.get(run)
+            if ids is None:
+                ids = self._ids(run)
+                if len(run) <= LONGEST_PART:
+                    runs.put(run, ids)
+            found.append(ids)
+        return b"".join(found)
+
+    def _ids(self, run: str) -> bytes:
+        ids = array("i")
+        for token in self.path(run):
             if token >= _UNKNOWN:
-                ids += [self.bytes[b] for b in chr(token - _UNKNOWN).encode()]
+                ids.extend([self.bytes[b] for b in chr(token - _UNKNOWN).encode()])
             else:
                 ids.append(token)
-        return np.array(ids, np.int32).tobytes()
+        return ids.tobytes()
 
     def encode(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, np.int32)
         text = text.replace(SPACE, " ")
-        known = self.parts
-        if len(known) > PARTS:
-            known.clear()
         # A part is named by what follows its first space; a line break gets a space to begin a part.
         text = text.replace("\n", " \n")
         parts = [x[1:] for x in _RUNS.findall(" " + text)] if "  " in text or text[0] == " " else text.split(" ")
-        found = [known.get(p) for p in parts]
+        known = self.parts
+        found = list(map(known.young.get, parts))
         if None in found:
             for i, (p, x) in enumerate(zip(parts, found)):
                 if x is None:
@@ -226,7 +290,7 @@ class Transducer:
                         whole = p.replace(" ", SPACE)
                         x = self._solve(whole if "\n" in p else SPACE + whole)
                         if len(p) <= LONGEST_PART:
-                            known[p] = x
+                            known.put(p, x)
                     found[i] = x
         return np.frombuffer(b"".join(found), np.int32)
 
@@ -238,18 +302,30 @@ class Transducer:
 @lru_cache(maxsize=2)
 def transducer_of(path: str) -> Transducer:
     """Kept by a Python worker from task to task."""
-    return Transducer(path)
+    made = Transducer(path)
+    gc.freeze()  # its many small parts live as long as the worker
+    return made
 
 
 def encode(docs: DataFrame, model: str, text: str = "text", ids: str = "token_ids") -> DataFrame:
     """``docs`` with the piece ids of each text. ``model`` is a file that every
     executor can read."""
-    return _with(docs, ids, T.ArrayType(T.IntegerType()), text, model, _encode_column)
+    return _with(docs, {ids: T.ArrayType(T.IntegerType())}, text, model, lambda x, t: [_encode_column(x, t)])
 
 
 def decode(rows: DataFrame, model: str, ids: str = "token_ids", text: str = "decoded") -> DataFrame:
     """``rows`` with the text of each array of ids; null counts as no ids."""
-    return _with(rows, text, T.StringType(), ids, model, _decode_column)
+    return _with(rows, {text: T.StringType()}, ids, model, lambda x, t: [_decode_column(x, t)])
+
+
+def encode_and_decode(docs: DataFrame, model: str, text: str = "text", ids: str = "token_ids",
+                      decoded: str = "decoded") -> DataFrame:
+    """``encode``, then ``decode`` of what it gave, in one pass of the same workers."""
+    def both(column: pa.Array, transducer: Transducer) -> list[pa.Array]:
+        found = _encode_column(column, transducer)
+        return [found, _decode_column(found, transducer)]
+
+    return _with(docs, {ids: T.ArrayType(T.IntegerType()), decoded: T.StringType()}, text, model, both)
 
 
 def _encode_column(column: pa.Array, transducer: Transducer) -> pa.Array:
@@ -259,18 +335,20 @@ def _encode_column(column: pa.Array, transducer: Transducer) -> pa.Array:
 
 
 def _decode_column(column: pa.Array, transducer: Transducer) -> pa.Array:
-    return pa.array(["" if x is None else transducer.decode(x) for x in column.to_pylist()], pa.string())
+    return pa.array(["" if not x.is_valid else transducer.decode(x.values.to_pylist()) for x in column], pa.string())
 
 
-def _with(rows: DataFrame, name: str, kind: T.DataType, source: str, model: str, work_column) -> DataFrame:
-    if name in rows.columns:
-        raise ValueError(f"the input already has a column {name!r}")
+def _with(rows: DataFrame, new: dict[str, T.DataType], source: str, model: str, work_columns) -> DataFrame:
+    for name in new:
+        if name in rows.columns:
+            raise ValueError(f"the input already has a column {name!r}")
     at = rows.columns.index(source)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         transducer = transducer_of(model)
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, work_column(batch.column(at), transducer)], names=[*batch.schema.names, name])
+                [*batch.columns, *work_columns(batch.column(at), transducer)], names=[*batch.schema.names, *new])
+        transducer.forget()
 
-    return map_batches(rows, work, T.StructType([*rows.schema.fields, T.StructField(name, kind)]))
+    return map_batches(rows, work, T.StructType([*rows.schema.fields, *(T.StructField(k, v) for k, v in new.items())]))

@@ -147,7 +147,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     model = public_tokenizers.path("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    rows = pieces.decode(pieces.encode(docs, model), model)
+    rows = pieces.encode_and_decode(docs, model)
     return rows.select(
         "doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids",
         F.sha2("decoded", 256).alias("decoded_sha256"),

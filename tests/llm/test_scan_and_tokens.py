@@ -73,6 +73,8 @@ def test_pieces_in_spark(spark):
     got = pieces.decode(pieces.encode(frame(spark, texts), model), model).collect()
     assert sorted((str(r.doc_id), r.token_ids) for r in got) == sorted((str(i), LIBRARY.encode(t or "")) for i, t in texts)
     assert all(r.decoded == (r.text or "").replace("▁", " ") for r in got)
+    both = pieces.encode_and_decode(frame(spark, texts), model).collect()
+    assert sorted((str(r.doc_id), r.token_ids, r.decoded) for r in both) == sorted((str(r.doc_id), r.token_ids, r.decoded) for r in got)
     assert pieces.encode(frame(spark, []), model).count() == 0
     with pytest.raises(ValueError):
         pieces.encode(frame(spark, texts), model, ids="score")
