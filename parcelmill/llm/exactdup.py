@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parcelmill.llm.common import bytes_of, map_batches, stage
+from parcelmill.llm.common import bytes_of, drop_shared, map_batches, stage, write_shared
 
 #: Only A-Z become small letters.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -127,7 +127,7 @@ def _better(a: tuple, b: tuple, largest: bool) -> tuple:
 
 
 def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: str = "largest",
-                 budget: int = BUDGET) -> DataFrame:
+                 budget: int = BUDGET, used: list[str] | None = None) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``keep_id``, ``group_size``,
     ``kept`` and ``text_sha256`` of the text with A-Z in small letters."""
     if keep not in ("largest", "smallest"):
@@ -173,7 +173,10 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ke
                 yield from entries(trie.split_off(budget // 2))
         yield from entries(trie.terminals())
 
-    seen = stage(map_batches(rows, in_tasks, local), "tries")
+    path = write_shared(map_batches(rows, in_tasks, local), "tries")
+    if used is not None:
+        used.append(path)
+    seen = docs.sparkSession.read.schema(local).parquet(path)
     told = T.StructType([
         T.StructField("rep", T.LongType()), T.StructField("keep_id", T.LongType()),
         T.StructField("keep_seq", T.LongType()), T.StructField("group_size", T.LongType()),
@@ -223,11 +226,15 @@ def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", kee
     are. The owner's decision comes back by id and text."""
     from pyspark.sql import Window
 
-    kept = exact_groups(docs, doc_id, text, keep).where("kept").select(
-        F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
+    key = F.concat_ws("/", F.coalesce(F.col("_id").cast("string"), F.lit("")), "_sha")
+    used: list[str] = []
+    kept = exact_groups(docs, doc_id, text, keep, used=used).where("kept")
+    kept = stage(kept.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).select(key.alias("_key")), "kept")
+    for path in used:  # the decisions are written, the tries have done their work
+        drop_shared(docs.sparkSession, path)
     plain = F.translate(F.coalesce(F.col(text), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    keyed = docs.withColumns({"_id": docs[doc_id].cast("long"), "_sha": F.sha2(plain, 256)})
-    found = keyed.join(kept, keyed["_id"].eqNullSafe(kept["_id"]) & (keyed["_sha"] == kept["_sha"]), "left_semi")
-    # Rows repeated with their id are copies as well; the first one stays.
-    nth = F.row_number().over(Window.partitionBy("_sha", "_id").orderBy("_sha"))
+    keyed = docs.withColumns({"_id": docs[doc_id].cast("long"), "_sha": F.sha2(plain, 256)}).withColumn("_key", key)
+    found = keyed.join(kept, "_key", "left_semi")
+    # Rows repeated with their id are copies as well; the first one stays. One key, so one shuffle of the texts.
+    nth = F.row_number().over(Window.partitionBy("_key").orderBy("_key"))
     return found.withColumn("_nth", nth).where("_nth = 1").select(*docs.columns)
