@@ -6,8 +6,9 @@
   read runs along it. A state is the set of (trie node, edits spent); states
   are made as they are met and kept, so reading a word is one step of a
   deterministic automaton per character and most words end in the dead state
-  after a few. Words within one edit count as misspelled, unless labelled clean
-  texts show that the spelling is a word of its own.
+  after a few. Words within one edit of a word, and words that begin within one
+  edit of a stem, count as misspelled. A word that only a stem or an edit brings
+  near is no hit if labelled clean texts show that it is a word of its own.
 * Context: hits add up in a sliding window of words. A hit inside quotation
   marks or shortly after a word of reporting counts only a part, which keeps
   quotation apart from abuse.
@@ -62,7 +63,8 @@ NO_HIT = (0.0, 0)
 @dataclass(frozen=True)
 class Lexicon:
     """``words`` match whole words, ``stems`` the beginnings of words; both map
-    to a weight. ``ordinary``: spellings near a word that are no misspelling."""
+    to a weight. ``ordinary``: words near a term, or begun by a stem, that clean
+    texts use as well."""
 
     words: dict[str, float] = field(default_factory=dict)
     stems: dict[str, float] = field(default_factory=dict)
@@ -72,7 +74,7 @@ class Lexicon:
 class Automaton:
     """Trie of the lexicon with Levenshtein automata of distance one.
 
-    Words shorter than ``least`` and stems are matched exactly, by lookup: for
+    Words and stems shorter than ``least`` are matched exactly, by lookup: for
     them one edit leads to too many other words.
     """
 
@@ -80,12 +82,17 @@ class Automaton:
         self.lexicon = lexicon
         self.child: list[dict[str, int]] = [{}]
         self.word: list[float] = [0.0]
+        self.stem: list[float] = [0.0]
         self.sizes = sorted({len(x) for x in lexicon.stems})
         for term, weight in lexicon.words.items():
             if len(term) >= least:
                 self.word[self._add(term)] = weight
+        for term, weight in lexicon.stems.items():
+            if len(term) >= least:
+                self.stem[self._add(term)] = weight
         self.states: dict[frozenset, int] = {}
         self.members: list[frozenset] = []
+        self.begun: list[float] = []  # by state: weight of the best stem that ends there
         self.steps: list[dict[str, int]] = []
         self.start = self._state(frozenset(self._skips({(0, 0)})))
         self.memory: dict[str, tuple[float, int]] = {}
@@ -97,6 +104,7 @@ class Automaton:
                 self.child[node][c] = len(self.child)
                 self.child.append({})
                 self.word.append(0.0)
+                self.stem.append(0.0)
             node = self.child[node][c]
         return node
 
@@ -110,6 +118,7 @@ class Automaton:
                 self.states = {}
             self.states[members] = len(self.members)
             self.members.append(members)
+            self.begun.append(max((self.stem[n] for n, _ in members), default=0.0))
             self.steps.append({})
         return self.states[members]
 
@@ -128,18 +137,21 @@ class Automaton:
     def match(self, word: str) -> tuple[float, int]:
         """(weight, edits) of the best term, or NO_HIT."""
         best = self.lexicon.words.get(word, 0.0)
+        if not best and word in self.lexicon.ordinary:
+            return NO_HIT
         for k in self.sizes:
             best = max(best, self.lexicon.stems.get(word[:k], 0.0))
         if best:
             return best, 0
-        state = self.start
+        state, near = self.start, 0.0
         for c in word:
             after = self.steps[state].get(c)
             state = self._step(state, c) if after is None else after
             if not self.members[state]:
-                return NO_HIT
-        near = max((self.word[n] for n, _ in self.members[state]), default=0.0)
-        return (near, 1) if near and word not in self.lexicon.ordinary else NO_HIT
+                break
+            near = max(near, self.begun[state])
+        near = max([near, *(self.word[n] for n, _ in self.members[state])])
+        return (near, 1) if near else NO_HIT
 
     def hits(self, words: list[str]) -> list[tuple[int, float, int]]:
         """(place, weight, edits) of the words that match."""
@@ -265,23 +277,20 @@ def _learn_lexicon(rows: DataFrame, toxic: int, clean: int, least: int, least_z:
         if z >= least_z and odds >= 2.0:
             good[term] = odds
     words, stems = dict(seeds), {}
-    for term in sorted(good, key=len):
+    for term in good:
         if term.endswith(" "):
-            if term[:-1] not in words and not any(term[:k] in stems for k in STEM_SIZES):
-                words[term[:-1]] = good[term]
-            elif term[:-1] in words:
-                words[term[:-1]] = max(words[term[:-1]], good[term])
-        elif not any(good[term] < stems.get(term[:k], -1.0) + 0.3 for k in STEM_SIZES):
+            words[term[:-1]] = max(words.get(term[:-1], 0.0), good[term])
+        else:
             stems[term] = good[term]
-    # Spellings near a term that clean texts use as well are words of their own.
+    # Words near a term or begun by a stem that clean texts use as well are words of their own.
     automaton = Automaton(Lexicon(words, stems))
 
-    def misspelled(text: str) -> set[str]:
+    def unlisted(text: str) -> set[str]:
         low = _WORD.findall(text.lower())
-        return {low[i] for i, _, edits in automaton.hits(low) if edits}
+        return {low[i] for i, _, _ in automaton.hits(low)}.difference(words)
 
-    near = _counts(rows, None, misspelled)
-    near_bad = dict(_counts(rows.where("target = 1"), None, misspelled).collect())
+    near = _counts(rows, None, unlisted)
+    near_bad = dict(_counts(rows.where("target = 1"), None, unlisted).collect())
     ordinary = set()
     for word, n in near.collect():
         k = near_bad.get(word, 0)

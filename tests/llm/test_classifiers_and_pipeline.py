@@ -84,6 +84,35 @@ def test_automaton_equals_edit_distance():
     assert automaton.match("réeuxment") == (1.5, 0) and automaton.match("clowns") == (0.0, 0)
 
 
+def test_misspelled_stems_are_hits_unless_ordinary():
+    stems = {"réeuka": 1.5, "bomes": 2.0, "achl": 3.0}
+    automaton = toxicity.Automaton(toxicity.Lexicon({}, stems, frozenset({"bomesal", "bemest"})))
+    draw = random.Random(5)
+    for _ in range(4000):
+        word = list(draw.choice(list(stems)) + draw.choice(["", "ta", "ment"]))
+        for _ in range(draw.randint(0, 2)):
+            at = draw.randrange(len(word) + 1)
+            word[at:at + draw.randint(0, 1)] = draw.choice(["", "x", "o", "é"])
+        word = "".join(word)
+        exact = [w for t, w in stems.items() if word.startswith(t)]
+        near = [w for t, w in stems.items() if len(t) >= 5 and any(_distance(t, word[:k]) == 1 for k in range(len(word) + 1))]
+        assert automaton.match(word) == ((max(exact), 0) if exact else (max(near), 1) if near else (0.0, 0))
+    assert automaton.match("bomesal") == automaton.match("bemest") == (0.0, 0)
+    assert automaton.match("bomesta") == (2.0, 0) and automaton.match("bemesta") == (2.0, 1)
+
+
+def test_misspelled_learned_terms_are_found(spark):
+    texts = [(i, " ".join(words(i, 30) + (["grumkolb", "varulka" + "abcdef"[i % 6] * 2] if i % 2 else ["grumset"])))
+             for i in range(200)]
+    labels = spark.createDataFrame([(i, None, i % 2) for i, _ in texts], LABELS)
+    lexicon = toxicity.fit(frame(spark, texts), labels).lexicon
+    assert "grumkolb" in lexicon.words and any("varulka".startswith(x) for x in lexicon.stems)
+    automaton = toxicity.Automaton(lexicon)
+    for word in ("grumkilb", "grmkolb", "grumkkolb", "vorulkazz", "varrulkazz", "vrulkazz"):
+        assert automaton.match(word)[0] > 0, word
+    assert automaton.match("grumset") == (0.0, 0)
+
+
 def test_quotation_counts_less_than_abuse():
     automaton = toxicity.Automaton(toxicity.Lexicon({"idiot": 3.0, "moron": 3.0}))
     plain = toxicity.features("you idiot you moron go away now", automaton)
