@@ -9,23 +9,48 @@ from pyspark.sql import functions as F
 
 from parcelmill.session import stage
 
+#: Copies of a row that one task makes.
+PIECE_ROWS = 10_000
+
 
 def random_rows(df: DataFrame, n: int, seed: int, name: str = "sample", key: Sequence[str] = ()) -> DataFrame:
     """``n`` rows (all when there are fewer) drawn without replacement, staged,
     with a number ``_row`` from 0 in random order.
 
-    The draw is a hash of the seed and the ``key`` columns (all columns without
-    a key), so it does not depend on how the rows are laid out. Rows that agree
-    in them share their draw; give a key that is unique.
+    The draw is a hash of the seed and the ``key`` columns, so it does not
+    depend on how the rows are laid out. Without a key, or when rows agree in
+    it, the draw is a hash of all columns and a number within equal rows.
 
-    Rows are thinned to about three times the size where they are read, so the
+    Rows are thinned to about three times the size where they are drawn, so the
     sort that picks exactly ``n`` stays small for a table of any size."""
     rows = df.count()
     share = min(1.0, 3 * (n + 100) / max(rows, 1))
-    drawn = [F.col(c) for c in (key or df.columns)]
-    thin = df.withColumn("_draw", F.xxhash64(F.lit(seed), *drawn)).filter(
-        F.pmod(F.xxhash64("_draw"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    drawn = _drawn(df, seed, key if key and not _repeated(df, key) else ())
+    thin = drawn.filter(F.pmod(F.xxhash64("_draw"), F.lit(1 << 30)) < int(share * (1 << 30)))
     picked = thin.orderBy("_draw").limit(n)
     # At most n rows, so the numbering may be one task.
     numbered = picked.withColumn("_row", F.row_number().over(Window.orderBy("_draw")) - 1)
     return stage(numbered.drop("_draw"), name)
+
+
+def _drawn(df: DataFrame, seed: int, key: Sequence[str] = ()) -> DataFrame:
+    """``df`` with ``_draw``, a hash of the seed and the unique ``key``; without
+    one, of all columns and a number within equal rows.
+
+    Equal rows are counted, which combines before the shuffle, and made again in
+    bounded pieces, so a row value of any share of the table is spread."""
+    if key:
+        return df.withColumn("_draw", F.xxhash64(F.lit(seed), *[F.col(c) for c in key]))
+    last = F.floor((F.col("_copies") - 1) / PIECE_ROWS)
+    some = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies")).select(
+        "*", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("_part"))
+    first = F.col("_part") * PIECE_ROWS
+    copies = some.repartition(*df.columns, "_part").select(
+        *df.columns, F.explode(F.sequence(first, F.least(first + PIECE_ROWS, F.col("_copies")) - 1)).alias("_copy"))
+    # A hash passes over nulls, so where they stand goes into it as well.
+    nulls = [F.col(c).isNull() for c in df.columns]
+    return copies.select(*df.columns, F.xxhash64(F.lit(seed), *df.columns, *nulls, "_copy").alias("_draw"))
+
+
+def _repeated(df: DataFrame, key: Sequence[str]) -> bool:
+    return not df.groupBy(F.xxhash64(*key).alias("_key")).count().filter("count > 1").isEmpty()

@@ -122,6 +122,19 @@ def test_sample_is_exact_and_distinct(spark):
     assert random_rows(df.limit(10), 64, 1).count() == 10
 
 
+@pytest.mark.parametrize("key", [(), ("k",)])
+@pytest.mark.parametrize("equal", [10_000, 30_000])
+def test_equal_rows_are_drawn_one_by_one(spark, key, equal):
+    row = F.when(F.col("id") < equal, F.lit(-1)).otherwise(F.col("id"))
+    df = spark.range(30_000).select(row.alias("k"), (row * 0.5).alias("x"))
+    for seed in range(3):
+        got = random_rows(df, 600, seed, key=key).toPandas()
+        assert sorted(got["_row"]) == list(range(600))
+        assert abs((got["k"] == -1).mean() - equal / 30_000) < 0.1
+    same = random_rows(df.repartition(7), 600, 2, key=key).toPandas()
+    assert (got.sort_values("_row").to_numpy() == same.sort_values("_row").to_numpy()).all()
+
+
 def test_bags_hold_distinct_rows(spark):
     df = spark.range(300).withColumn("x", F.col("id").cast("double"))
     bags = isolation.draw_bags(df, trees=7, bag=64, seed=1).toPandas()
