@@ -122,7 +122,6 @@ LEAKAGE = frozenset([
 VALUE_TREES = {"maxIter": 500, "maxDepth": 8, "stepSize": 0.05, "subsamplingRate": 0.8,
                "featureSubsetStrategy": "0.8", "minInstancesPerNode": 5, "seed": 42}
 VALUE_TEST_SHARE = 0.2
-DRIVER_SAMPLE = 2000
 DRIVER_TOP = 15
 
 # Forecast: months ahead, months held out, interval level, season length.

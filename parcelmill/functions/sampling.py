@@ -1,4 +1,4 @@
-"""Fixed-size random samples."""
+"""Random samples and row numbers that do not depend on the layout."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from parcelmill.session import stage
 
-#: Copies of a row that one task makes.
+#: Rows that one task numbers, and copies of a row that one task makes.
 PIECE_ROWS = 10_000
 
 
@@ -33,6 +33,21 @@ def random_rows(df: DataFrame, n: int, seed: int, name: str = "sample", key: Seq
     return stage(numbered.drop("_draw"), name)
 
 
+def numbered_rows(df: DataFrame, seed: int, name: str = "numbered") -> DataFrame:
+    """All rows, staged, with a number ``_row`` from 0 in random order. Rows are
+    dealt by their draw to pieces of a bounded size, numbered one by one."""
+    drawn = stage(_drawn(df, seed), f"{name}-drawn")
+    pieces = drawn.count() // PIECE_ROWS + 1
+    dealt = drawn.withColumn("_piece", F.pmod(F.xxhash64("_draw"), F.lit(pieces)))
+    # One row per piece.
+    before = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = dealt.groupBy("_piece").count().select(
+        "_piece", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_piece").orderBy("_draw")) - 1
+    numbered = dealt.withColumn("_inside", inside).join(F.broadcast(sizes), "_piece")
+    return stage(numbered.select(*df.columns, (F.col("_before") + F.col("_inside")).alias("_row")), name)
+
+
 def _drawn(df: DataFrame, seed: int, key: Sequence[str] = ()) -> DataFrame:
     """``df`` with ``_draw``, a hash of the seed and the unique ``key``; without
     one, of all columns and a number within equal rows.

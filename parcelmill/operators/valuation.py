@@ -11,11 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelmill.constants import (
-    DRIVER_SAMPLE, DRIVER_TOP, LEAKAGE, VALUE_BOOLEAN, VALUE_CATEGORY, VALUE_NUMERIC,
+    DRIVER_TOP, LEAKAGE, VALUE_BOOLEAN, VALUE_CATEGORY, VALUE_NUMERIC,
     VALUE_TARGET, VALUE_TEST_SHARE, VALUE_TREES,
 )
 from parcelmill.functions.quantiles import median, summarise
-from parcelmill.functions.sampling import random_rows
+from parcelmill.functions.sampling import numbered_rows, random_rows
 from parcelmill.functions.scalar import one_zero
 from parcelmill.operators.calendar import recent_months
 from parcelmill.session import shared_folder, stage
@@ -125,36 +125,40 @@ def regression_metrics(df: DataFrame, actual: str = "actual", predicted: str = "
 
 
 def sampled_shapley(model: PipelineModel, test: DataFrame, features: Sequence[str],
-                    sample: int = DRIVER_SAMPLE, draws: int = 20, seed: int = 0,
+                    sample: int | None = None, draws: int = 20, seed: int = 0,
                     top: int = DRIVER_TOP) -> DataFrame:
-    """(feature, mean_abs): mean absolute contribution of each feature over a
-    sample of rows, by sampling (Strumbelj and Kononenko, 2014).
+    """(feature, mean_abs): mean absolute contribution of each feature over all
+    rows, or over ``sample`` of them, by sampled orders (Strumbelj and
+    Kononenko, 2014).
 
     A draw orders the features at random and takes another row as background.
     The contribution of a feature is the change of the prediction when its own
     value is used, with the features before it in the order already own and the
-    others from the background."""
-    rows = random_rows(test.select(*features), sample, seed, "shapley-rows")
+    others from the background. A draw is one walk through its order, so it
+    needs one prediction more than there are features."""
+    if sample is None:
+        rows = numbered_rows(test.select(*features), seed, "shapley-rows")
+    else:
+        rows = random_rows(test.select(*features), sample, seed, "shapley-rows")
     size = rows.count()
     own = rows.select("_row", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))).alias("_try"),
                       F.struct(*features).alias("own"))
     own = own.withColumn("_other", F.pmod(F.xxhash64("_row", "_try", F.lit(seed)), F.lit(size)))
     other = rows.select(F.col("_row").alias("_other"), F.struct(*features).alias("other"))
-    pairs = own.join(other, "_other")
-    keys = {c: F.xxhash64("_row", "_try", F.lit(c), F.lit(seed + 1)) for c in features}
-    parts = [F.struct(F.lit(c).alias("feature"), keys[c].alias("place")) for c in features]
-    cases = pairs.select("*", F.inline(F.array(*parts))).select(
-        "*", F.explode(F.array(F.lit(1), F.lit(0))).alias("with_own")
-    )
-    mixed = cases.select("_row", "feature", "with_own", *[
-        F.when(
-            (keys[c] < F.col("place")) | ((F.col("feature") == c) & (F.col("with_own") == 1)),
-            F.col(f"own.{c}"),
-        ).otherwise(F.col(f"other.{c}")).alias(c)
+    parts = [F.struct(F.xxhash64("_row", "_try", F.lit(c), F.lit(seed + 1)).alias("key"), F.lit(c).alias("feature"))
+             for c in features]
+    order = F.transform(F.array_sort(F.array(*parts)), lambda x: x["feature"])
+    walks = own.join(other, "_other").withColumn("order", order)
+    points = walks.select("*", F.explode(F.sequence(F.lit(0), F.lit(len(features)))).alias("_own"))
+    mixed = points.select("_row", "order", "_own", *[
+        F.when(F.array_position("order", c) <= F.col("_own"), F.col(f"own.{c}")).otherwise(F.col(f"other.{c}")).alias(c)
         for c in features
     ])
-    signed = F.when(F.col("with_own") == 1, F.col("prediction")).otherwise(-F.col("prediction"))
-    effect = model.transform(mixed).groupBy("_row", "feature").agg((F.sum(signed) / draws).alias("effect"))
+    # A point ends the step of the feature it adds and begins the next one's.
+    ends = F.struct(F.get("order", F.col("_own") - 1).alias("feature"), F.col("prediction").alias("signed"))
+    begins = F.struct(F.get("order", F.col("_own")).alias("feature"), (-F.col("prediction")).alias("signed"))
+    steps = model.transform(mixed).select("_row", F.inline(F.array(ends, begins))).filter("feature IS NOT NULL")
+    effect = steps.groupBy("_row", "feature").agg((F.sum("signed") / draws).alias("effect"))
     ranked = effect.groupBy("feature").agg(F.avg(F.abs("effect")).alias("mean_abs"))
     return ranked.orderBy(F.col("mean_abs").desc(), "feature").limit(top)
 

@@ -15,8 +15,6 @@ from parcelmill.session import stage
 from parcelmill.sources import rates
 
 _KEYS = ["market", "metric"]
-# Sizes that a small machine can fit while it checks; the defaults are larger.
-_SMALL_TREES = {"maxIter": 8, "maxDepth": 4, "stepSize": 0.3}
 
 
 # --- forecasts -------------------------------------------------------------
@@ -181,7 +179,7 @@ def avm_feature_build(spark, folder):
 
 def fitted(spark, folder):
     train, test = valuation.split_by_month(value_rows(spark, folder))
-    return valuation.fit_value_model(train, **_SMALL_TREES), test
+    return valuation.fit_value_model(train), test
 
 
 @query("avm_score")
@@ -195,7 +193,7 @@ def avm_score(spark, folder):
 def avm_drivers(spark, folder):
     model, test = fitted(spark, folder)
     features = [*VALUE_NUMERIC, *VALUE_BOOLEAN, *VALUE_CATEGORY]
-    return valuation.sampled_shapley(model, test, features, draws=5)
+    return valuation.sampled_shapley(model, test, features)
 
 
 @query("regression_metrics", """

@@ -233,6 +233,53 @@ def test_model_learns_and_ranks_its_drivers(spark, homes, tmp_path):
     assert PipelineModel.load(str(tmp_path / "model")).transform(test.limit(1)).count() == 1
 
 
+class Formula:
+    """Stands for a model: predicts 3 a + b * c and keeps what it is given."""
+
+    def transform(self, df):
+        self.seen = df
+        return df.withColumn("prediction", 3 * F.col("a") + F.col("b") * F.col("c"))
+
+
+def test_drivers_are_of_all_rows(spark, monkeypatch):
+    from parcelmill.functions import sampling
+
+    monkeypatch.setattr(sampling, "PIECE_ROWS", 500)
+    rng = np.random.default_rng(3)
+    frame = pd.DataFrame(rng.normal(0, 1, (3000, 3)), columns=["a", "b", "c"])
+    frame.loc[:999] = 0.5  # a third of the rows is equal
+    df, model = spark.createDataFrame(frame), Formula()
+    got = {r["feature"]: r["mean_abs"] for r in valuation.sampled_shapley(model, df, ["a", "b", "c"], draws=4).collect()}
+    seen = model.seen.toPandas()
+    assert sorted(seen["_row"].unique()) == list(range(3000)) and len(seen) == 3000 * 4 * 4
+    whole = seen[seen["_own"] == 3].groupby("_row")[["a", "b", "c"]].first()
+    assert sorted(map(tuple, whole.to_numpy())) == sorted(map(tuple, frame.to_numpy()))
+    # By hand: each step of each walk.
+    effect = {}
+    value = 3 * seen["a"] + seen["b"] * seen["c"]
+    walks = {}
+    for row, order, own, v in zip(seen["_row"], seen["order"], seen["_own"], value):
+        walks.setdefault((row, tuple(order)), {}).setdefault(own, []).append(v)
+    for (row, order), points in walks.items():
+        for k, f in enumerate(order):
+            effect[row, f] = effect.get((row, f), 0.0) + (sum(points[k + 1]) - sum(points[k])) / 4
+    for f in "abc":
+        assert got[f] == pytest.approx(np.mean([abs(v) for (_, g), v in effect.items() if g == f]))
+    again = valuation.sampled_shapley(Formula(), df.repartition(5), ["a", "b", "c"], draws=4).collect()
+    assert {r["feature"]: r["mean_abs"] for r in again} == pytest.approx(got)
+
+
+def test_value_queries_use_the_defaults(spark, homes, monkeypatch):
+    from parcelmill.plans import model_queries
+
+    told = {}
+    monkeypatch.setattr(model_queries, "value_rows", lambda spark, folder: homes)
+    monkeypatch.setattr(valuation, "fit_value_model", lambda train, **trees: told.update(trees))
+    monkeypatch.setattr(valuation, "sampled_shapley", lambda model, test, features, **more: told.update(more))
+    model_queries.avm_drivers(spark, "")
+    assert told == {}
+
+
 def test_missing_category_has_no_column(spark, homes):
     from pyspark.ml import Pipeline
 
