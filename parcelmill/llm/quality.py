@@ -149,7 +149,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", learn: Colum
     ``labels``, allows."""
     drawn = draw_labels(labels, label, learn, fit_rows, doc_id)
     rows = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text")).join(F.broadcast(drawn), "doc_id")
-    rows = with_statistics(rows.select("text", "target"), "text").select("target", "stats_.*")
+    # The scan, the join and the statistics run in many tasks; only their bounded result is read by one.
+    rows = stage(with_statistics(rows.select("text", "target"), "text").select("target", "stats_.*"), "quality-stats")
     vector = array_to_vector(F.array(*STATISTICS)).alias("features")
     # A bounded number of rows: one sorted piece makes bags and sums repeatable.
     rows = stage(rows.coalesce(1).sortWithinPartitions(*STATISTICS, "target").select("target", *STATISTICS), "quality-fit")

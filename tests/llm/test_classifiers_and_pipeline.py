@@ -41,6 +41,22 @@ def test_rules_are_sparse_and_compiled_as_told(spark):
     assert draw
 
 
+def test_statistics_for_the_fit_are_made_in_many_tasks(spark, monkeypatch):
+    parts, stage = {}, quality.stage
+
+    def told(df, name):
+        # Tasks that run the statistics in what is staged here.
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        parts[name] = ("MapInArrow" in plan, df.rdd.getNumPartitions())
+        return stage(df, name)
+
+    monkeypatch.setattr(quality, "stage", told)
+    texts = [(i, " ".join(words(i, 20))) for i in range(40)]
+    labels = spark.createDataFrame([(i, 1, None) for i, _ in texts], LABELS)
+    quality.fit(frame(spark, texts), labels)
+    assert [n for made, n in parts.values() if made] == [3]
+
+
 @pytest.mark.parametrize("rows", [[], [(1, 1, 1), (2, 1, 1)], [(1, None, None)]])
 def test_few_labels_give_constant_or_preset_scores(spark, rows):
     docs, labels = frame(spark, awkward()), spark.createDataFrame(rows, LABELS)
