@@ -8,8 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelmill.llm import chat, decontam, exactdup, neardup, pieces, quality, secrets, sharding, tokencount, toxicity
-from parcelmill.llm.common import held_out, learn_row, table
+from parcelmill.llm import (
+    chat, convtrie, decontam, exactdup, neardup, pieces, quality, secrets, sharding, tokenalign, tokencount, toxicity, urlfilter,
+)
+from parcelmill.llm.common import held_out, learn_row, stage, table
 from parcelmill.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -162,3 +164,97 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     cache = f"{shared_folder(spark)}/llm/{spark.sparkContext.applicationId}/token-cache-{uuid.uuid4().hex}"
     return tokencount.count_tokens(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), cache)
+
+
+#: Conversations are rebuilt in families of this many, see the contract of operator 11.
+FAMILY = 20
+
+_CRC32_SQL = """xor(list_reduce([ascii(c) FOR c IN string_split(CAST(conv_id AS VARCHAR), '')], lambda s, b: list_reduce(
+    [0, 0, 0, 0, 0, 0, 0, 0], lambda t, z: xor(t >> 1, (t & 1) * 3988292384), xor(s, CAST(b AS BIGINT))), 4294967295::BIGINT), 4294967295::BIGINT)"""
+
+_TRIE_SQL = f"""
+WITH rows AS (
+  SELECT conv_id, {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS x,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS n
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, {_CRC32_SQL} % 4 AS h, s FROM (SELECT conv_id, list(x ORDER BY n) AS s FROM rows GROUP BY conv_id)
+), rebuilt AS (
+  SELECT o.conv_id, list_concat(CASE WHEN b.s IS NULL THEN [] ELSE b.s[1:o.h] END, o.s[o.h + 1:]) AS s
+  FROM own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % {FAMILY}
+), prefixes AS (
+  SELECT conv_id, len(s) AS size, d AS depth, s[1:d] AS p FROM rebuilt, unnest(range(0, len(s) + 1)) AS u(d)
+), nodes AS (
+  SELECT depth, p, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (size = depth), '')) AS ends_sha256
+  FROM prefixes GROUP BY 1, 2
+), below AS (
+  SELECT depth, p, n_convs, conv_id, p[1:depth - 1] AS up,
+    len([w FOR w IN regexp_split_to_array(CASE WHEN depth = 0 THEN '' ELSE p[depth].text END, '[\x20\x09-\x0D]+') IF w <> '']) AS words
+  FROM nodes
+), children AS (SELECT up AS p, count(*) AS n FROM below WHERE depth > 0 GROUP BY 1),
+told AS (
+  SELECT p[1:d] AS p, sum((n_convs - 1) * words) AS saved, count(*) FILTER (c IS NULL) AS leaves
+  FROM (SELECT b.*, c.n AS c FROM below b LEFT JOIN children c USING (p)), unnest(range(0, depth + 1)) AS u(d) GROUP BY 1
+)
+SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children, t.leaves AS n_leaves,
+  CAST(t.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN told t USING (p) LEFT JOIN children c USING (p) LEFT JOIN nodes u ON n.depth > 0 AND u.p = n.p[1:n.depth - 1]
+"""
+
+
+@query("op11_prefix_trie", _TRIE_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = stage(convtrie.sequences(table(spark, sf_dir, "conversations")), "conversations")
+    head = F.crc32(F.col("conv_id").cast("string")) % 4
+    return convtrie.prefix_nodes(convtrie.rebranched(convs, FAMILY, head)).select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+@query("op12_token_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return tokenalign.align_counts(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+#: Rules of the contract of operator 13: verdict, host, beginning of the path.
+URL_RULES = [
+    ("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"), ("block", "com", "/de/"),
+]
+
+
+_URL_SQL = r"""
+WITH plain AS (
+  SELECT page_id, translate(CASE WHEN contains(url, '://') THEN regexp_extract(url, '^.*?://([^/?#]*)', 1, 's') ELSE '' END,
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    CASE WHEN contains(url, '://') THEN regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's') ELSE '' END AS path,
+    regexp_extract_all(html, '\bhref\s*=\s*["'']?\s*(?:[a-z][a-z0-9+.\-]*:)?//([^/?#"''\s<>]+)', 1, 'i') AS links
+  FROM pages
+), told AS (
+  SELECT *, CASE
+    WHEN host = 'example.org' OR suffix(host, '.example.org') THEN CASE WHEN starts_with(path, '/en/1') THEN 'example.org/en/1'
+      WHEN starts_with(path, '/es/') THEN 'example.org/es/' WHEN starts_with(path, '/') THEN 'org/' END
+    WHEN host = 'org' OR suffix(host, '.org') THEN CASE WHEN starts_with(path, '/') THEN 'org/' END
+    WHEN host = 'com' OR suffix(host, '.com') THEN CASE WHEN starts_with(path, '/fr/') THEN 'com/fr/'
+      WHEN starts_with(path, '/de/') THEN 'com/de/' END END AS rule,
+    CASE WHEN len(list_filter(links, lambda x: lower(x) <> host)) > 0 THEN error('this check is for pages without links between hosts') END AS none
+  FROM plain
+), judged AS (
+  SELECT *, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS fit FROM told
+), hosts AS (
+  SELECT host, count(*) FILTER (fit = 'allow') / count(*) AS trust, count(*) FILTER (fit = 'block') / count(*) AS distrust
+  FROM judged WHERE host <> '' GROUP BY host
+)
+SELECT page_id, host, path, rule,
+  coalesce(fit, CASE WHEN distrust >= 0.5 AND distrust > trust THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged LEFT JOIN hosts USING (host) WHERE none IS NULL
+"""
+
+
+@query("op13_url_filter", _URL_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "verdict string, host string, path string")
+    return urlfilter.judge(table(spark, sf_dir, "pages"), rules).select("page_id", "host", "path", "rule", "verdict")
