@@ -118,7 +118,7 @@ def read_model(path: str) -> Model:
     return model
 
 
-class _Memory:
+class Memory:
     """Keeps what was used lately: when the young half is full, it becomes the
     old half and what only the old half had is forgotten."""
 
@@ -168,7 +168,7 @@ class Transducer:
 
     def forget(self) -> None:
         """Drop the solved parts, so that an idle worker holds little memory."""
-        self.parts, self.runs = _Memory(PARTS), _Memory(PARTS)
+        self.parts, self.runs = Memory(PARTS), Memory(PARTS)
 
     @staticmethod
     def _surface(piece: str, kind: int) -> bytes:

@@ -7,6 +7,12 @@ both id lists into groups of the same bytes, and inside a group every pair of
 tokens with overlapping byte ranges is a link. How often a pair of ids is linked
 in the whole corpus comes back to each document.
 
+Texts are cut before single spaces and line breaks that stand between characters
+that are not white space: there both tokenizers begin a new token whatever is
+around, so a part has the same ids and groups everywhere and is aligned once as
+long as a task remembers it. Texts with other white space go to the libraries
+whole, and so do all if the tokenizers are of another kind.
+
 Links are not shuffled one by one. A block, the texts of one Arrow batch, keeps
 a dictionary of its distinct pairs; its documents hold places in it. Only the
 dictionaries are summed up over the corpus and joined with the sums, so a pair
@@ -23,11 +29,13 @@ memory per token of it.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import os
+import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import accumulate
 
@@ -39,8 +47,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcelmill.llm.common import map_batches, prepare, stage, texts_of
+from parcelmill.llm.pieces import Memory, read_model
 
 SPACE = "▁"
+#: Parts that a task remembers, twice this at most, and the longest of them.
+PARTS, LONGEST_PART = 120_000, 64
+MARKS = frozenset(".,;:!?")
+_LOOSE = re.compile(rf"\s\s|^\s|\s$|{SPACE}")
 #: Characters that the libraries are given at once.
 CHUNK = 1 << 20
 
@@ -77,6 +90,24 @@ class Pair:
             bytes([int(self.b.id_to_piece(i)[3:5], 16)]) if self.b.is_byte(i)
             else self.b.id_to_piece(i).replace(SPACE, " ").encode() for i in range(self.b.get_piece_size())]
         self.a_sizes, self.b_sizes = [len(x) for x in self.a_bytes], [len(x) for x in self.b_bytes]
+        self.splits = self._splits(spec, pieces)
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop the aligned parts, so that an idle worker holds little memory."""
+        self.parts = Memory(PARTS)
+
+    def _splits(self, spec: dict, pieces: str) -> bool:
+        """Whether both always begin a token at the places where texts are cut."""
+        before = spec.get("pre_tokenizer") or {}
+        try:
+            model = read_model(pieces)
+        except ValueError:
+            return False
+        #: Neighbours inside some piece; no piece joins any other two characters.
+        self.joins = {p[i:i + 2] for p in model.pieces for i in range(len(p) - 1)}
+        return (spec.get("normalizer") is None and before.get("type") == "ByteLevel" and before.get("use_regex", True)
+                and not before.get("add_prefix_space"))
 
     def encode(self, texts: list[str]) -> Iterator[tuple[list[int], list[int]]]:
         """Ids of A and B for each text, none for texts that do not come back."""
@@ -98,10 +129,33 @@ class Pair:
             yield (ids, y) if same else ([], [])
 
 
+    def encode_parts(self, parts: list[str]) -> Iterator[tuple[list[int], list[int]]]:
+        """Ids of parts, see ``_segments``."""
+        a = self.a.encode_batch_fast([x if x[:1] == "\n" else " " + x for x in parts], add_special_tokens=False)
+        b = self.b.encode(parts, num_threads=1)
+        for part, x, y in zip(parts, a, b):
+            ids, want = x.ids, part.encode()
+            if part[:1] == "\n":
+                y = y[1:]  # the dummy space, which no piece joins with a line break
+            else:
+                want = b" " + want
+            same = b"".join(map(self.a_bytes.__getitem__, ids)) == want == b"".join(map(self.b_bytes.__getitem__, y))
+            yield (ids, y) if same else ([], [])
+
+
+    @lru_cache(maxsize=16)
+    def mark(self, c: str) -> Aligned:
+        """A mark behind a letter, aligned without a space in front."""
+        a = self.a.encode(c, add_special_tokens=False).ids
+        return _aligned(a, self.b.encode("\n" + c)[2:], self)
+
+
 @lru_cache(maxsize=2)
 def pair_of(byte_level: str, pieces: str) -> Pair:
     """Kept by a Python worker from task to task."""
-    return Pair(byte_level, pieces)
+    made = Pair(byte_level, pieces)
+    gc.freeze()  # its many small parts live as long as the worker
+    return made
 
 
 def cuts(a_sizes: list[int], b_sizes: list[int]) -> tuple[list[int], list[int], list[int], list[int]]:
@@ -144,6 +198,62 @@ def align_ids(a: list[int], b: list[int], pair: Pair) -> tuple[array, list[str]]
     return codes, groups
 
 
+#: Numbers of A ids, B ids and groups, groups as text, links as bytes.
+Aligned = tuple[int, int, int, str, bytes]
+_NONE: Aligned = (0, 0, 0, "", b"")
+
+
+def _aligned(a: list[int], b: list[int], pair: Pair) -> Aligned:
+    codes, groups = align_ids(a, b, pair)
+    return len(a), len(b), len(groups), ";".join(groups), codes.tobytes()
+
+
+def _joined(parts: Iterable[Aligned]) -> Aligned:
+    a, b, groups, names, codes = zip(*parts)
+    # A part that does not come back has no tokens.
+    return (sum(a), sum(b), sum(groups), ";".join(names), b"".join(codes)) if all(a) else _NONE
+
+
+def _segments(text: str) -> list[str]:
+    """Parts of a text, each named by what follows its space; those behind a line break begin with it."""
+    return text.replace("\n", " \n").split(" ")
+
+
+def align_texts(texts: list[str], pair: Pair) -> list[Aligned]:
+    """Each text aligned, part by part where it can be cut."""
+    found = [_NONE] * len(texts)
+    whole = [i for i, t in enumerate(texts) if t and (not pair.splits or _LOOSE.search(t))]
+    for i, (a, b) in zip(whole, pair.encode([texts[i] for i in whole])):
+        found[i] = _aligned(a, b, pair) if a else _NONE
+    rest = set(whole)
+    cut = {i: _segments(t) for i, t in enumerate(texts) if t and i not in rest}
+    known: dict[str, Aligned] = {}
+    new = []
+    for part in set().union(*cut.values()):
+        told = pair.parts.get(part)
+        if told is None:
+            new.append(part)
+        else:
+            known[part] = told
+    # A letter and a mark behind it never share a token of A; where no piece joins them either, they are aligned apart.
+    marked = {p: p[:-1] for p in new if p[-1:] in MARKS and p[-2:-1].isalpha() and p[-2:] not in pair.joins}
+    heads = {h: pair.parts.get(h) for h in set(marked.values()) if h not in known}
+    new = [p for p in new if p not in marked and p not in heads] + [h for h, told in heads.items() if told is None]
+    known.update((h, told) for h, told in heads.items() if told is not None)
+    for k in range(0, len(new), 4000):
+        for part, (a, b) in zip(new[k:k + 4000], pair.encode_parts(new[k:k + 4000])):
+            known[part] = told = _aligned(a, b, pair)
+            if len(part) <= LONGEST_PART:
+                pair.parts.put(part, told)
+    for part, head in marked.items():
+        known[part] = told = _joined([known[head], pair.mark(part[-1])])
+        if len(part) <= LONGEST_PART:
+            pair.parts.put(part, told)
+    for i, parts in cut.items():
+        found[i] = _joined(map(known.__getitem__, parts))
+    return found
+
+
 def align(docs: DataFrame, byte_level: str, pieces: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``a_ids``, ``b_ids``, and where the groups end in each list
     (``a_cuts``, ``b_cuts``). The files must be readable on every executor."""
@@ -181,13 +291,11 @@ def _blocks(plain: DataFrame, byte_level: str, pieces: str) -> DataFrame:
             if not batch.num_rows:
                 continue
             block += 1
-            rows, all_codes = [], []
-            for a, b in pair.encode(texts_of(batch.column(1))):
-                codes, groups = align_ids(a, b, pair)
-                all_codes.append(np.frombuffer(codes, np.int64))
-                rows.append((len(a), len(b), len(groups), len(codes),
-                             hashlib.sha256(";".join(groups).encode()).hexdigest() if groups else ""))
-            pairs, places, times = np.unique(np.concatenate(all_codes), return_inverse=True, return_counts=True)
+            aligned = align_texts(texts_of(batch.column(1)), pair)
+            rows = [(a, b, n, len(codes) // 8, hashlib.sha256(names.encode()).hexdigest() if n else "")
+                    for a, b, n, names, codes in aligned]
+            pairs, places, times = np.unique(
+                np.frombuffer(b"".join(x[4] for x in aligned), np.int64), return_inverse=True, return_counts=True)
             places = places.astype(np.uint16 if len(pairs) <= 1 << 16 else np.uint32)
             ends = np.cumsum([r[3] for r in rows])
             told = [places[e - r[3]:e].tobytes() for r, e in zip(rows, ends)]
@@ -199,6 +307,7 @@ def _blocks(plain: DataFrame, byte_level: str, pieces: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([block]), none(1, batch.column(0).type), *(none(1, pa.int64()) for _ in range(4)), none(1, pa.string()),
                  none(1, pa.binary()), pa.array([pairs], pa.list_(pa.int64())), pa.array([times], pa.list_(pa.int64()))], names=types.names)
+        pair.forget()
 
     return map_batches(plain, work, types)
 

@@ -89,7 +89,8 @@ def test_propagation_equals_plain_iteration(spark):
     got = run(spark, pages)
     for r in got:
         for value, mass in zip((r.trust, r.distrust), masses):
-            assert abs((value or 0) - mass.get(r.host, 0)) < 1e-3
+            # 40 rounds leave 0.85 ** 40 of a mass that goes round in a circle.
+            assert abs((value or 0) - mass.get(r.host, 0)) < 5e-3
     assert sorted((tuple(r)[:5] for r in got), key=str) == want
     verdicts = {r.host: r.verdict for r in got}
     assert verdicts["farm0.net"] == "block" and verdicts["alone.net"] == "allow" and verdicts["good0.org"] == "allow"
