@@ -2,12 +2,14 @@
 
 Files are read in two passes, both spread over their splits:
 
-1. A survey looks at the lines and notes, per split, the first line, the number
-   of lines and of quote marks.
+1. A survey looks at the lines. A quote mark opens a field only at the field's
+   start, and the next single mark closes it; marks elsewhere are text. What a
+   line does is a map from "inside a field before it" to "inside a field behind
+   it"; the survey notes, per split, its first line and the map of all its lines.
 2. Files whose records are single lines are read by Spark's CSV source in
-   splits. In the others a line belongs to the record before it when the number
-   of quote marks before it in its file is odd; the survey tells that number at
-   the start of each split, so these files are split as well.
+   splits. In the others a line belongs to the record before it when it begins
+   inside a field. The maps of the splits before tell that for the start of each
+   split, so these files are split as well.
 
 The driver sees the different headers, never the list of files.
 """
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 import csv
 import io
+import re
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -28,7 +31,11 @@ from parcelmill.packaging import ship
 from parcelmill.session import stage
 
 CSV_OPTIONS = {"escape": '"', "quote": '"', "mode": "PERMISSIVE"}
-_PLACE = "path string, start long, first string, lines long, quotes long, uneven boolean"
+_PLACE = "path string, start long, first string, open_if_closed boolean, open_if_open boolean, breaks boolean"
+#: Fields that end on their line: quoted with text behind it or not, or without a mark at the start.
+_FIELD = r'(?:"(?:[^"]|"")*+"[^,]*+|[^",][^,]*+|)'
+_CLOSES = re.compile(rf"{_FIELD}(?:,{_FIELD})*+\Z")
+_CLOSES_OPEN = re.compile(rf'(?:[^"]|"")*+"[^,]*+(?:,{_FIELD})*+\Z')
 
 
 def distinct_header(names: Sequence[str]) -> list[str | None]:
@@ -51,27 +58,35 @@ def _lines(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
                        F.monotonically_increasing_id().alias("at"), "value")
 
 
+def line_map(line: str) -> tuple[bool, bool]:
+    """Whether a quoted field is open behind ``line`` if none was open before it, and if one was."""
+    if '"' not in line:
+        return False, True
+    return _CLOSES.match(line) is None, _CLOSES_OPEN.match(line) is None
+
+
 def survey(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
-    """A row per split: its first line, lines, quote marks, and whether a line
-    has an odd number of quote marks."""
+    """A row per split: its first line, whether a field is open at its end if
+    none or one was open at its start, and whether a line of it breaks inside a field."""
     if not paths:
         raise FileNotFoundError("no file matches")
     ship(spark)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["path", "start", "first", "lines", "quotes", "uneven"]
-        types = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.bool_()]
+        names = ["path", "start", "first", "open_if_closed", "open_if_open", "breaks"]
+        types = [pa.string(), pa.int64(), pa.string(), *[pa.bool_()] * 3]
         held: dict[tuple, list] = {}
         for batch in batches:
-            marks = pc.count_substring(batch.column(2), '"')
             keys = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
             cut = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
             for i, j in zip(cut, cut[1:]) if keys else ():
-                found = held.setdefault(keys[i], [batch.column(2)[i].as_py(), 0, 0, False])
-                part = marks.slice(i, j - i)
-                found[1] += j - i
-                found[2] += pc.sum(part).as_py()
-                found[3] |= pc.any(pc.equal(pc.bit_wise_and(part, 1), 1)).as_py()
+                found = held.setdefault(keys[i], [batch.column(2)[i].as_py(), False, True, False])
+                part = batch.column(2).slice(i, j - i)
+                # Lines without a mark change nothing.
+                for line in part.filter(pc.match_substring(part, '"')).to_pylist():
+                    after = line_map(line)
+                    found[1], found[2] = after[found[1]], after[found[2]]
+                    found[3] |= after[0]
         rows = [(*k, *v) for k, v in held.items()]  # a task has few splits
         columns = zip(*rows) if rows else [()] * len(names)
         yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names=names)
@@ -80,11 +95,48 @@ def survey(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
     return stage(lines.mapInArrow(work, _PLACE), "survey")
 
 
+def _begins(lines: DataFrame) -> DataFrame:
+    """``lines`` with ``begins_if_closed`` and ``begins_if_open``: whether a line
+    begins a record if no or one field was open at the start of its split."""
+    schema = T.StructType([*lines.schema.fields, *(T.StructField(n, T.BooleanType()) for n in ("begins_if_closed", "begins_if_open"))])
+    path, start, value = (lines.columns.index(n) for n in ("path", "start", "value"))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split, state = None, (False, True)
+        for batch in batches:
+            told: list[tuple[bool, bool]] = []
+            keys = zip(batch.column(path).to_pylist(), batch.column(start).to_pylist())
+            for key, line in zip(keys, batch.column(value).to_pylist()):
+                if key != split:
+                    split, state = key, (False, True)
+                told.append((not state[0], not state[1]))
+                if '"' in line:
+                    after = line_map(line)
+                    state = after[state[0]], after[state[1]]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, *(pa.array([x[k] for x in told], pa.bool_()) for k in (0, 1))], names=schema.names)
+
+    return lines.mapInArrow(work, schema)
+
+
+def _open_at_start(blocks: DataFrame) -> DataFrame:
+    """(path, start, open): whether a field is open where a split starts. A file
+    is one row of its splits while their maps are applied one after the other."""
+    splits = F.array_sort(F.collect_list(F.struct("start", "open_if_closed", "open_if_open")))
+    after = lambda now, x: F.when(now["open"], x["open_if_open"]).otherwise(x["open_if_closed"])
+    told = F.aggregate(
+        "splits", F.struct(F.lit(False).alias("open"), F.array().cast("array<struct<start:bigint,open:boolean>>").alias("all")),
+        lambda now, x: F.struct(after(now, x).alias("open"), F.concat(
+            now["all"], F.array(F.struct(x["start"].alias("start"), now["open"].alias("open")))).alias("all")),
+        lambda now: now["all"])
+    return blocks.groupBy("path").agg(splits.alias("splits")).select("path", F.inline(told))
+
+
 def _files(blocks: DataFrame) -> DataFrame:
-    """(path, header line, uneven) of every file that is not empty."""
+    """(path, header line, breaks) of every file that is not empty."""
     return blocks.groupBy("path").agg(
         F.max(F.when(F.col("start") == 0, F.regexp_replace("first", "^\\ufeff", ""))).alias("header"),
-        F.max("uneven").alias("uneven"))
+        F.max("breaks").alias("breaks"))
 
 
 def _headers(files: DataFrame) -> dict[str, list[str]]:
@@ -106,16 +158,13 @@ def _records(spark: SparkSession, paths: Sequence[str] | str) -> tuple[DataFrame
 
     read = spark.read.schema(schema).options(header="true", enforceSchema="true", **CSV_OPTIONS)
     single = read.csv(paths if isinstance(paths, str) else list(paths)).select(F.col("_metadata.file_path").alias("path"), fields)
-    records = single.join(files.where("NOT uneven").select("path", "header"), "path")
+    records = single.join(files.where("NOT breaks").select("path", "header"), "path")
 
-    if files.where("uneven").head(1):
+    if files.where("breaks").head(1):
         before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-        open_ = blocks.join(files.where("uneven").select("path", "header"), "path").select(
-            "path", "start", "header", F.coalesce(F.sum("quotes").over(before), F.lit(0)).alias("quotes_before"))
-        upto = Window.partitionBy("path", "start").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-        marks = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-        lines = _lines(spark, paths).join(open_, ["path", "start"]).withColumn("marks", marks)
-        begins = (F.col("quotes_before") + F.coalesce(F.sum("marks").over(upto), F.lit(0))) % 2 == 0
+        open_ = _open_at_start(blocks).join(files.where("breaks").select("path", "header"), "path")
+        lines = _begins(_lines(spark, paths)).join(open_, ["path", "start"])
+        begins = F.when(F.col("open"), F.col("begins_if_open")).otherwise(F.col("begins_if_closed"))
         lines = lines.withColumn("begins", begins.cast("long"))
         # Records are numbered within the file: those of the splits before, then those in the split.
         counts = lines.groupBy("path", "start").agg(F.sum("begins").alias("n"))
@@ -153,8 +202,9 @@ def ingest(spark: SparkSession, paths: Sequence[str] | str, malformed: str = "fa
     if malformed == "drop":
         records = records.where(~_beyond(headers))
     else:
-        records = records.withColumn("c", F.when(_beyond(headers), F.raise_error(F.concat(
-            F.lit("a record has more fields than the header of "), "path"))).otherwise(F.col("c")))
+        # A filter, as a column would be left out where nobody reads it.
+        told = F.raise_error(F.concat(F.lit("a record has more fields than the header of "), "path")).cast("boolean")
+        records = records.where(F.when(_beyond(headers), told).otherwise(True))
     places: dict[str, Column] = {}
     for line, names in headers.items():
         for i, name in enumerate(distinct_header(names)):

@@ -2,6 +2,7 @@ import csv
 import datetime as dt
 import os
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,6 +84,50 @@ def test_quoted_line_breaks_across_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def _pandas(path):
+    frame = pd.read_csv(path, dtype=str, keep_default_na=False)
+    # Spark keeps the marks of a field that has text behind the closing one.
+    return sorted(tuple('"5" x' if x == "5 x" else x for x in r) for r in frame.itertuples(index=False, name=None))
+
+
+ODD = ['5,6" wide,z', '5,12"" wide,"a, b"', '"5" x,6,z', '5,"he said ""hi""",z', '5,"two\nlines",z', '5,"a\n6"" b\n, c",z',
+       '5,a"b,"c\nd"']
+
+
+@pytest.mark.parametrize("size", ["3000", "128m"])
+def test_quote_marks_inside_fields_lose_no_rows(spark, tmp_path, size):
+    lines = [f"{i},plain {i},n" for i in range(1000)]
+    for i, odd in enumerate(ODD):
+        lines.insert(137 * (i + 1), odd)
+    path = str(tmp_path / "m.csv")
+    with open(path, "w", newline="") as f:
+        f.write("ListingKey,Remarks,n\n" + "\n".join(lines) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        df = files.ingest(spark, path)
+        rows = df.collect()
+        assert df.count() == len(rows) == files.file_counts(spark, path).first()["rows"]
+        assert sorted(tuple(x or "" for x in r) for r in rows) == _pandas(path) and len(rows) == 1000 + len(ODD)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_line_maps():
+    closed = {'a,b': False, 'a,6" b': False, '"a,b"': False, '"a,b': True, 'a,"b""': True, '"a""b",c': False, '"a" x,"y': True, "": False,
+              'a,"",b': False, '"a"",b': True, ',"': True}
+    assert {x: files.line_map(x)[0] for x in closed} == closed
+    opened = {'a,b': True, 'a",b': False, 'a"",b': True, 'a" 6" b': False, 'a","b': True, '"': False, '""': True, '""",c': False, "": True}
+    assert {x: files.line_map(x)[1] for x in opened} == opened
+
+
+def test_counting_does_not_hide_malformed_records(spark, tmp_path):
+    (tmp_path / "m.csv").write_text("a,b\n1,2\n1,2,3\n")
+    with pytest.raises(Exception, match="more fields than the header"):
+        files.ingest(spark, str(tmp_path / "m.csv")).count()
+    assert files.ingest(spark, str(tmp_path / "m.csv"), malformed="drop").count() == 1
+
+
 def test_round_trips(spark, feed, tmp_path):
     df = files.ingest(spark, feed + "/sold_*.csv")
     sinks.write_table(df, str(tmp_path / "t"), "PropertyType")
