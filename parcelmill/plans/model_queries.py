@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from parcelmill.constants import FOREST_FEATURES, VALUE_BOOLEAN, VALUE_CATEGORY, VALUE_NUMERIC
-from parcelmill.operators import calendar, forecast as fc, isolation, valuation
+from parcelmill.constants import DRIVER_TOP, FOREST_FEATURES, VALUE_BOOLEAN, VALUE_CATEGORY, VALUE_NUMERIC
+from parcelmill.operators import attribution, calendar, forecast as fc, isolation, valuation
 from parcelmill.plans import stages
 from parcelmill.plans.market_queries import county_kpi
 from parcelmill.plans.registry import query
 from parcelmill.plans.views import rate_rows
-from parcelmill.session import stage
-from parcelmill.sources import rates
+from parcelmill.session import is_staged, stage, staged_path
+from parcelmill.sources import rates, sinks
 
 _KEYS = ["market", "metric"]
 
@@ -177,9 +178,19 @@ def avm_feature_build(spark, folder):
                         F.size(vector_to_array("features")).alias("width"))
 
 
+_FEATURES = [*VALUE_NUMERIC, *VALUE_BOOLEAN, *VALUE_CATEGORY]
+#: Where this application has written the model of a folder, so that it is fitted once.
+_models: dict[tuple[str, str], str] = {}
+
+
 def fitted(spark, folder):
+    """(model, test rows). The fit is the same for all queries of an application."""
     train, test = valuation.split_by_month(value_rows(spark, folder))
-    return valuation.fit_value_model(train), test
+    key = spark.sparkContext.applicationId, folder
+    if key not in _models or not is_staged(spark, _models[key]):
+        _models[key] = staged_path(spark, "value-model")
+        sinks.write_model(valuation.fit_value_model(train), _models[key])
+    return PipelineModel.load(_models[key]), test
 
 
 @query("avm_score")
@@ -192,8 +203,25 @@ def avm_score(spark, folder):
 @query("avm_drivers")
 def avm_drivers(spark, folder):
     model, test = fitted(spark, folder)
-    features = [*VALUE_NUMERIC, *VALUE_BOOLEAN, *VALUE_CATEGORY]
-    return valuation.sampled_shapley(model, test, features)
+    explained, _ = attribution.attributions(model, test, _FEATURES)
+    return attribution.drivers(explained, _FEATURES, DRIVER_TOP)
+
+
+# Effects add up to what the prediction is above the mean, row by row.
+@query("avm_effects_add_up", """
+SELECT month_index, count(*) AS rows, count(*) AS explained FROM (
+  SELECT close_year * 12 + close_month AS month_index FROM sold_clean WHERE ClosePrice > 0) t
+WHERE month_index >= (SELECT max(m) FROM (
+  SELECT m, sum(n) OVER (ORDER BY m DESC) AS newest, sum(n) OVER () AS total
+  FROM (SELECT close_year * 12 + close_month AS m, count(*) AS n FROM sold_clean WHERE ClosePrice > 0 GROUP BY 1) c) r
+  WHERE newest >= 0.2 * total)
+GROUP BY 1""", needs=("sold_clean",))
+def avm_effects_add_up(spark, folder):
+    model, test = fitted(spark, folder)
+    explained, mean = attribution.attributions(model, test, _FEATURES)
+    total = sum((F.col(f"effect_{c}") for c in _FEATURES), F.lit(mean))
+    return explained.groupBy("month_index").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.abs(total - F.col("prediction")) < 1e-6).alias("explained"))
 
 
 @query("regression_metrics", """

@@ -83,14 +83,25 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     as a join of large tables. Select the needed columns first.
     """
     spark = df.sparkSession
-    path = f"{_staged_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = staged_path(spark, name)
     df.write.parquet(path)
-    # What nobody drops earlier goes when the application ends.
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def staged_path(spark: SparkSession, name: str) -> str:
+    """A new path among the staged tables, for what is no DataFrame. What nobody
+    drops earlier goes when the application ends."""
+    path = f"{_staged_folder(spark)}/{name}-{uuid.uuid4().hex}"
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
     if _scopes:
         _scopes[-1].append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
+
+
+def is_staged(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place))
 
 
 def _staged_folder(spark: SparkSession) -> str:

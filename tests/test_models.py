@@ -1,4 +1,5 @@
 import datetime as dt
+import itertools
 import math
 
 import numpy as np
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from parcelmill.constants import FOREST_FEATURES, LEAKAGE, VALUE_BOOLEAN, VALUE_CATEGORY, VALUE_NUMERIC
 from parcelmill.functions.sampling import random_rows
-from parcelmill.operators import forecast, isolation, valuation
+from parcelmill.operators import attribution, forecast, isolation, valuation
 
 
 # --- forecast --------------------------------------------------------------
@@ -269,15 +270,82 @@ def test_drivers_are_of_all_rows(spark, monkeypatch):
     assert {r["feature"]: r["mean_abs"] for r in again} == pytest.approx(got)
 
 
-def test_value_queries_use_the_defaults(spark, homes, monkeypatch):
+def _shapley_by_subsets(rows, x):
+    """Shapley values of one tree by all subsets; ``rows`` by node number."""
+    def value(known, number=0):
+        r = rows[number]
+        if r.left < 0:
+            return r.value * r.weight
+        if r.feature in known:
+            left = x[r.feature] <= r.threshold if r.categories is None else x[r.feature] in r.categories
+            return value(known, r.left if left else r.right)
+        a, b = rows[r.left], rows[r.right]
+        return (a.cover * value(known, r.left) + b.cover * value(known, r.right)) / r.cover
+
+    used = sorted({r.feature for r in rows.values() if r.left >= 0})
+    found, m = {}, len(used)
+    for j in used:
+        rest = [f for f in used if f != j]
+        found[j] = sum(
+            math.factorial(k) * math.factorial(m - 1 - k) / math.factorial(m) * (value({*s, j}) - value(set(s)))
+            for k in range(m) for s in itertools.combinations(rest, k))
+    return found, value(set())
+
+
+@pytest.mark.parametrize("bits", [attribution.TABLE_BITS, 2])
+def test_attributions_equal_all_subsets(spark, homes, bits, monkeypatch):
+    monkeypatch.setattr(attribution, "TABLE_BITS", bits)
+    train, test = valuation.split_by_month(homes)
+    model = valuation.fit_value_model(train, maxIter=4, maxDepth=5, stepSize=0.3)
+    nodes = attribution.node_table(model, spark)
+    trees = attribution.trees_of(nodes)
+    vectors = [r.features.toArray() for r in model.transform(test.limit(6)).select("features").collect()]
+    got = attribution.explain(trees, np.array(vectors))
+    by_tree = {}
+    for r in nodes.collect():
+        by_tree.setdefault(r.tree, {})[r.node] = r
+    assert len(by_tree) == 4 and any(r.categories for rows in by_tree.values() for r in rows.values())
+    for x, row in zip(vectors, got):
+        want = np.zeros(len(x))
+        for rows in by_tree.values():
+            for j, v in _shapley_by_subsets(rows, x)[0].items():
+                want[j] += v
+        assert row == pytest.approx(want, abs=1e-9)
+    assert sum(t.mean() for t in trees) == pytest.approx(sum(_shapley_by_subsets(rows, vectors[0])[1] for rows in by_tree.values()))
+
+
+def test_effects_add_up_and_rank(spark, homes):
+    train, test = valuation.split_by_month(homes)
+    model = valuation.fit_value_model(train, maxIter=5, maxDepth=4, stepSize=0.3)
+    features = [*VALUE_NUMERIC, *VALUE_BOOLEAN, *VALUE_CATEGORY]
+    explained, mean = attribution.attributions(model, test, features)
+    rows = explained.toPandas()
+    effects = rows[[f"effect_{c}" for c in features]]
+    assert len(rows) == test.count()
+    assert (effects.sum(axis=1) + mean).to_numpy() == pytest.approx(rows["prediction"].to_numpy())
+    ranked = attribution.drivers(explained, features, 5).collect()
+    assert {r["feature"] for r in ranked[:2]} == {"LivingArea", "PropertySubType"}
+    want = effects.abs().mean().sort_values(ascending=False)
+    assert [r["mean_abs"] for r in ranked] == pytest.approx(list(want[:5]))
+    assert attribution.drivers(explained.where("false"), features, 5).collect() == []
+
+
+def test_value_queries_use_the_defaults_and_share_a_fit(spark, homes, monkeypatch):
     from parcelmill.plans import model_queries
 
-    told = {}
+    told, fit = [], valuation.fit_value_model
+
+    def small(train, **trees):
+        told.append(trees)
+        return fit(train, maxIter=2, maxDepth=3)
+
     monkeypatch.setattr(model_queries, "value_rows", lambda spark, folder: homes)
-    monkeypatch.setattr(valuation, "fit_value_model", lambda train, **trees: told.update(trees))
-    monkeypatch.setattr(valuation, "sampled_shapley", lambda model, test, features, **more: told.update(more))
-    model_queries.avm_drivers(spark, "")
-    assert told == {}
+    monkeypatch.setattr(valuation, "fit_value_model", small)
+    assert model_queries.avm_score(spark, "somewhere").count() == 1
+    assert model_queries.avm_drivers(spark, "somewhere").count() == 15
+    sums = model_queries.avm_effects_add_up(spark, "somewhere").collect()
+    assert sums and all(r["rows"] == r["explained"] for r in sums)
+    assert told == [{}]
 
 
 def test_missing_category_has_no_column(spark, homes):
