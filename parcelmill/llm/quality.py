@@ -143,12 +143,22 @@ def draw_labels(labels: DataFrame, label: str, learn: Column | None, fit_rows: i
     return rows
 
 
+def labelled_texts(docs: DataFrame, drawn: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``target`` and ``text`` of the drawn ids, one row each: of the rows that
+    repeat an id the one with the least text, combined before the shuffle, so
+    the bound on labels bounds the rows too."""
+    rows = docs.select(docs[doc_id].alias("doc_id"), F.coalesce(docs[text], F.lit("")).alias("text")).join(F.broadcast(drawn), "doc_id")
+    rows = rows.groupBy("doc_id", "target").agg(F.min("text").alias("text"))
+    # Bounded rows, but costly to look at: dealt over all cores, where adaptive execution would join them.
+    return rows.repartition(docs.sparkSession.sparkContext.defaultParallelism, "doc_id").select("target", "text")
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", learn: Column | None = None, fit_rows: int = 20_000,
         doc_id: str = "doc_id", text: str = "text", trees: int = 24, depth: int = 3, penalty: float = 0.001) -> RuleModel:
     """Learn the rules from the labelled rows that ``learn``, a condition on
     ``labels``, allows."""
     drawn = draw_labels(labels, label, learn, fit_rows, doc_id)
-    rows = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text")).join(F.broadcast(drawn), "doc_id")
+    rows = labelled_texts(docs, drawn, doc_id, text)
     # The scan, the join and the statistics run in many tasks; only their bounded result is read by one.
     rows = stage(with_statistics(rows.select("text", "target"), "text").select("target", "stats_.*"), "quality-stats")
     vector = array_to_vector(F.array(*STATISTICS)).alias("features")
@@ -163,6 +173,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", learn: Colum
         featureSubsetStrategy="onethird", subsamplingRate=0.7, minInstancesPerNode=5, seed=7,
     ).fit(rows.select("target", vector))
     rules = extract_rules(forest)
+    if not rules:  # no statistic tells the labels apart
+        return RuleModel(math.log(share[0] / (1 - share[0])))
     held = F.struct(*STATISTICS).alias("stats_")
     held_rules = array_to_vector(F.array(*[r.column("stats_") for r in rules])).alias("features")
     lasso = LogisticRegression(
@@ -195,6 +207,8 @@ def extract_rules(forest) -> list[Rule]:
 
 def score(docs: DataFrame, model: RuleModel, text: str = "text", name: str = "score") -> DataFrame:
     """``docs`` with a column ``name`` from 0 to 1; higher: label 1 is likelier."""
+    if name in docs.columns:
+        raise ValueError(f"the input already has a column {name!r}")
     held = with_statistics(docs, text)
     stats = held.columns[-1]
     return held.withColumn(name, model.column(stats)).drop(stats)

@@ -6,8 +6,10 @@
   read runs along it. A state is the set of (trie node, edits spent); states
   are made as they are met and kept, so reading a word is one step of a
   deterministic automaton per character and most words end in the dead state
-  after a few. Words within one edit of a word, and words that begin within one
-  edit of a stem, count as misspelled. A word that only a stem or an edit brings
+  after a few. Words within one edit of a word count as misspelled. Words that
+  begin within one edit of a stem of six letters or more, and with its first
+  letter, are weak evidence: they are counted apart and get a weight of their
+  own, as clean texts hold such words by chance. A word that only a stem or an edit brings
   near is no hit if labelled clean texts show that it is a word of its own.
 * Context: hits add up in a sliding window of words. A hit inside quotation
   marks or shortly after a word of reporting counts only a part, which keeps
@@ -15,7 +17,7 @@
 * A logistic regression over the counts and the best window gives the score.
 
 The fit uses at most about ``fit_rows`` labelled rows, drawn by a hash of the
-id; terms need a least support there, so their number is bounded too. Scoring
+id, one row for each id; terms need a least support there, so their number is bounded too. Scoring
 is one pass over whole texts without a shuffle.
 
 Defined cases: a null or empty text has no hits and the score of such texts;
@@ -41,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcelmill.llm.common import map_batches, stage, texts_of
-from parcelmill.llm.quality import draw_labels
+from parcelmill.llm.quality import draw_labels, labelled_texts
 
 #: Common English terms of abuse, known before any label is seen.
 SEED_TERMS = (
@@ -55,8 +57,9 @@ REPORTING = frozenset(("said", "says", "called", "calls", "wrote", "writes", "qu
 WINDOW, QUOTED_PART, AFTER_REPORT, SEED_WEIGHT = 40, 0.3, 4, 4.0
 STEM_SIZES = range(4, 10)
 _WORD = re.compile(r"\w+")
-_QUOTED = re.compile(r"\"[^\"\n]{1,300}\"|“[^”\n]{1,300}”|«[^»\n]{1,300}»|„[^“\n]{1,300}“")
-_MEMORY = 200_000
+# Quotations of any length, over line breaks too; a plain mark opens before a word and closes behind one.
+_QUOTED = re.compile(r"(?<!\w)\"[^\"]+\"(?!\w)|“[^”]+”|«[^»]+»|„[^“]+“")
+_MEMORY, _STATES, LEAST_STEM = 200_000, 50_000, 6
 NO_HIT = (0.0, 0)
 
 
@@ -75,12 +78,13 @@ class Automaton:
     """Trie of the lexicon with Levenshtein automata of distance one.
 
     Words and stems shorter than ``least`` are matched exactly, by lookup: for
-    them one edit leads to too many other words.
+    them one edit leads to too many other words, and stems shorter than ``LEAST_STEM`` likewise.
     """
 
     def __init__(self, lexicon: Lexicon, least: int = 5) -> None:
         self.lexicon = lexicon
         self.child: list[dict[str, int]] = [{}]
+        self.first = [""]  # by node: the first letter of its terms
         self.word: list[float] = [0.0]
         self.stem: list[float] = [0.0]
         self.sizes = sorted({len(x) for x in lexicon.stems})
@@ -88,14 +92,18 @@ class Automaton:
             if len(term) >= least:
                 self.word[self._add(term)] = weight
         for term, weight in lexicon.stems.items():
-            if len(term) >= least:
+            if len(term) >= LEAST_STEM:
                 self.stem[self._add(term)] = weight
+        self._begin()
+        self.memory: dict[str, tuple[float, int]] = {}
+
+    def _begin(self) -> None:
+        """Forget all states but the first."""
         self.states: dict[frozenset, int] = {}
         self.members: list[frozenset] = []
-        self.begun: list[float] = []  # by state: weight of the best stem that ends there
+        self.begun: list[dict[str, float]] = []  # by state: best stem that ends there, by its first letter
         self.steps: list[dict[str, int]] = []
         self.start = self._state(frozenset(self._skips({(0, 0)})))
-        self.memory: dict[str, tuple[float, int]] = {}
 
     def _add(self, term: str) -> int:
         node = 0
@@ -103,6 +111,7 @@ class Automaton:
             if c not in self.child[node]:
                 self.child[node][c] = len(self.child)
                 self.child.append({})
+                self.first.append(self.first[node] or c)
                 self.word.append(0.0)
                 self.stem.append(0.0)
             node = self.child[node][c]
@@ -114,11 +123,13 @@ class Automaton:
 
     def _state(self, members: frozenset) -> int:
         if members not in self.states:
-            if len(self.states) > 50_000:  # begin anew; numbers given out stay valid
-                self.states = {}
             self.states[members] = len(self.members)
             self.members.append(members)
-            self.begun.append(max((self.stem[n] for n, _ in members), default=0.0))
+            begun: dict[str, float] = {}
+            for n, _ in members:
+                if self.stem[n]:
+                    begun[self.first[n]] = max(begun.get(self.first[n], 0.0), self.stem[n])
+            self.begun.append(begun)
             self.steps.append({})
         return self.states[members]
 
@@ -135,7 +146,8 @@ class Automaton:
         return found
 
     def match(self, word: str) -> tuple[float, int]:
-        """(weight, edits) of the best term, or NO_HIT."""
+        """(weight, kind) of the best term, or NO_HIT. Kind 0: as it is, 1: a
+        word with one edit, 2: begins within one edit of a stem."""
         best = self.lexicon.words.get(word, 0.0)
         if not best and word in self.lexicon.ordinary:
             return NO_HIT
@@ -143,18 +155,21 @@ class Automaton:
             best = max(best, self.lexicon.stems.get(word[:k], 0.0))
         if best:
             return best, 0
-        state, near = self.start, 0.0
+        if len(self.members) > _STATES:
+            self._begin()
+        state, begun = self.start, 0.0
         for c in word:
             after = self.steps[state].get(c)
             state = self._step(state, c) if after is None else after
             if not self.members[state]:
                 break
-            near = max(near, self.begun[state])
-        near = max([near, *(self.word[n] for n, _ in self.members[state])])
-        return (near, 1) if near else NO_HIT
+            if self.begun[state]:
+                begun = max(begun, self.begun[state].get(word[0], 0.0))
+        near = max((self.word[n] for n, _ in self.members[state]), default=0.0)
+        return (near, 1) if near else (begun, 2) if begun else NO_HIT
 
     def hits(self, words: list[str]) -> list[tuple[int, float, int]]:
-        """(place, weight, edits) of the words that match."""
+        """(place, weight, kind) of the words that match."""
         known = self.memory
         if len(known) > _MEMORY:
             known.clear()
@@ -168,18 +183,19 @@ class Automaton:
         return [(i, *found[w]) for i, w in enumerate(words) if w in found] if found else []
 
 
-FEATURES = ("exact", "misspelled", "weight", "window", "density", "different")
+FEATURES = ("exact", "misspelled", "weight", "window", "density", "different", "alike")
 
 
 def features(text: str, automaton: Automaton) -> list[float]:
     """The values of ``FEATURES`` for one text."""
     low = text.lower()
     words = _WORD.findall(low)
-    hits = automaton.hits(words)
-    if not hits:
+    found = automaton.hits(words)
+    if not found:
         return [0.0] * len(FEATURES)
+    hits = [x for x in found if x[2] < 2]
     part = _context(low, words, hits)
-    weights = [w * p * (0.7 if e else 1.0) for (_, w, e), p in zip(hits, part)]
+    weights = [w * p * (0.7 if kind else 1.0) for (_, w, kind), p in zip(hits, part)]
     best = now = 0.0
     first = 0
     for k, (at, _, _) in enumerate(hits):
@@ -188,10 +204,10 @@ def features(text: str, automaton: Automaton) -> list[float]:
             now -= weights[first]
             first += 1
         best = max(best, now)
-    exact = sum(p for (_, _, e), p in zip(hits, part) if not e)
-    near = sum(p for (_, _, e), p in zip(hits, part) if e)
+    exact = sum(p for (_, _, kind), p in zip(hits, part) if not kind)
+    near = sum(p for (_, _, kind), p in zip(hits, part) if kind)
     return [math.log1p(exact), math.log1p(near), math.log1p(sum(weights)), math.log1p(best),
-            math.log1p(100 * sum(part) / len(words)), math.log1p(len({words[i] for i, _, _ in hits}))]
+            math.log1p(100 * sum(part) / len(words)), math.log1p(len({words[i] for i, _, _ in hits})), math.log1p(len(found) - len(hits))]
 
 
 def _context(low: str, words: list[str], hits: list[tuple[int, float, int]]) -> list[float]:
@@ -217,23 +233,23 @@ class ToxicityModel:
 
 
 #: Used when labels cannot tell: one clear hit is near the middle, two are beyond.
-PRESET = (-3.0, (1.0, 0.7, 0.4, 0.8, 0.2, 0.4))
+PRESET = (-3.0, (1.0, 0.7, 0.4, 0.8, 0.2, 0.4, 0.0))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", learn: Column | None = None, fit_rows: int = 20_000,
         doc_id: str = "doc_id", text: str = "text", support: int = 5, share: float = 0.01, least_z: float = 3.5) -> ToxicityModel:
     """Learn lexicon and weights from the labelled rows that ``learn`` allows."""
     drawn = draw_labels(labels, label, learn, fit_rows, doc_id)
-    rows = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text")).join(F.broadcast(drawn), "doc_id")
     # Bounded by fit_rows: written once, as four passes read it.
-    rows = stage(rows.select("target", F.coalesce("text", F.lit("")).alias("text")), "toxic-fit")
+    rows = stage(labelled_texts(docs, drawn, doc_id, text), "toxic-fit")
     sizes = dict(rows.groupBy("target").count().collect())
     toxic, clean = sizes.get(1.0, 0), sizes.get(0.0, 0)
     seeds = {t: SEED_WEIGHT for t in SEED_TERMS}
     if not toxic or not clean:
         return ToxicityModel(Lexicon(seeds), *PRESET)
     lexicon = _learn_lexicon(rows, toxic, clean, max(support, math.ceil(share * toxic)), least_z, seeds)
-    vectors = _with_features(rows.repartition(8, "text"), lexicon).select("target", *FEATURES)
+    # Features are made where the rows lie; one task reads only the bounded rows of numbers.
+    vectors = stage(_with_features(rows, lexicon).select("target", *FEATURES), "toxic-features")
     vectors = stage(vectors.coalesce(1).sortWithinPartitions("target", *FEATURES), "toxic-vectors")
     model = LogisticRegression(labelCol="target", featuresCol="v", regParam=0.001, maxIter=60).fit(
         vectors.select("target", array_to_vector(F.array(*FEATURES)).alias("v")))
