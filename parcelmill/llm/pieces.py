@@ -52,6 +52,7 @@ from parcelmill.llm.common import map_batches, texts_of
 SPACE = "▁"
 #: Entries a task keeps of solved parts, and a worker of weights of pairs.
 PARTS, PAIRS, LONGEST_PART = 100_000, 250_000, 48
+DECODED_IDS = 200_000
 _UNKNOWN, _TRIED = 1 << 20, -2
 _RUNS = re.compile(" +[^ ]*")
 
@@ -165,6 +166,9 @@ class Transducer:
         self.pairs: dict[int, bool] = {}
         self.forget()
         self.out = [self._surface(p, k) for p, k in zip(model.pieces, model.kinds)]
+        self.out_sizes = np.array([len(x) for x in self.out], np.int64)
+        self.out_at = np.concatenate([[0], np.cumsum(self.out_sizes)[:-1]])
+        self.out_bytes = np.frombuffer(b"".join(self.out), np.uint8)
 
     def forget(self) -> None:
         """Drop the solved parts, so that an idle worker holds little memory."""
@@ -294,6 +298,25 @@ class Transducer:
                     found[i] = x
         return np.frombuffer(b"".join(found), np.int32)
 
+    def surfaces(self, ids: np.ndarray, ends: np.ndarray) -> pa.StringArray | None:
+        """Texts of rows of ids that end at ``ends``, gathered from the bytes of
+        all pieces at once; None if the bytes of some row are no text."""
+        sizes = self.out_sizes[ids]
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        data = self.out_bytes[np.arange(upto[-1]) + np.repeat(self.out_at[ids] - upto[:-1], sizes)]
+        cuts = np.concatenate([[0], upto[ends]])
+        # The dummy space in front of a row goes.
+        first = cuts[:-1][cuts[:-1] < cuts[1:]]
+        first = first[data[first] == 32]
+        cuts = cuts - np.searchsorted(first, cuts)
+        made = pa.StringArray.from_buffers(
+            len(ends), pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(np.delete(data, first))))
+        try:
+            made.validate(full=True)
+        except pa.ArrowInvalid:
+            return None
+        return made
+
     def decode(self, ids) -> str:
         text = b"".join(map(self.out.__getitem__, ids)).decode("utf-8", "replace")
         return text.removeprefix(" ")
@@ -335,7 +358,23 @@ def _encode_column(column: pa.Array, transducer: Transducer) -> pa.Array:
 
 
 def _decode_column(column: pa.Array, transducer: Transducer) -> pa.Array:
-    return pa.array(["" if not x.is_valid else transducer.decode(x.values.to_pylist()) for x in column], pa.string())
+    if column.null_count or not len(column):
+        return pa.array(["" if not x.is_valid else transducer.decode(x.values.to_pylist()) for x in column], pa.string())
+    offsets = column.offsets.to_numpy().astype(np.int64)
+    ids = column.values.slice(offsets[0], offsets[-1] - offsets[0])
+    made = []
+    # Some hundred thousand ids at once; a longer row alone.
+    cuts = [0]
+    for i in range(1, len(column) + 1):
+        if offsets[i] - offsets[cuts[-1]] >= DECODED_IDS or i == len(column):
+            cuts.append(i)
+    for i, j in zip(cuts, cuts[1:]):
+        part = ids.slice(offsets[i] - offsets[0], offsets[j] - offsets[i])
+        found = None if part.null_count else transducer.surfaces(part.to_numpy(), offsets[i + 1:j + 1] - offsets[i])
+        if found is None:
+            found = pa.array([transducer.decode(x.values.to_pylist()) for x in column.slice(i, j - i)], pa.string())
+        made.append(found)
+    return pa.concat_arrays(made)
 
 
 def _with(rows: DataFrame, new: dict[str, T.DataType], source: str, model: str, work_columns) -> DataFrame:

@@ -108,3 +108,22 @@ def test_cache_counts_and_grows_only_by_new_texts(spark, tmp_path, name):
     tokencount.count_tokens(frame(spark, more), path, cache).collect()
     assert spark.read.parquet(cache).count() == kept + 1
     assert tokencount.count_tokens(frame(spark, []), path, cache).count() == 0
+
+
+def test_decoding_at_once_equals_one_by_one(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+    from parcelmill.llm import pieces
+
+    transducer = pieces.transducer_of(public_tokenizers.path("piece_bpe_32k.model"))
+    draw = np.random.default_rng(5)
+    plain = [transducer.encode(t).tolist() for t in ("", "a", "  two  spaces", "é🙂日本\n\nx", "word " * 300, " ")]
+    odd = [[int(x) for x in draw.integers(0, len(transducer.out), 20)] for _ in range(5)]  # bytes that are no text, control pieces
+    for rows in (plain, plain * 30, odd, plain + odd + [[]], [[]], []):
+        for size in (1, 7, 200_000):
+            monkeypatch.setattr(pieces, "DECODED_IDS", size)
+            column = pa.array(rows, pa.list_(pa.int32()))
+            want = [transducer.decode(r) for r in rows]
+            assert pieces._decode_column(column, transducer).to_pylist() == want
+            assert pieces._decode_column(column.slice(1), transducer).to_pylist() == want[1:]
+    assert pieces._decode_column(pa.array([None, plain[1]], pa.list_(pa.int32())), transducer).to_pylist() == ["", "a"]
