@@ -11,25 +11,30 @@ from parcelmill.session import stage
 
 #: Rows that one task numbers, and copies of a row that one task makes.
 PIECE_ROWS = 10_000
+#: The draw of a key is 13 hexadecimal digits of a digest, below this number.
+DRAWS = 1 << 52
 
 
 def random_rows(df: DataFrame, n: int, seed: int, name: str = "sample", key: Sequence[str] = ()) -> DataFrame:
     """``n`` rows (all when there are fewer) drawn without replacement, staged,
     with a number ``_row`` from 0 in random order.
 
-    The draw is a hash of the seed and the ``key`` columns, so it does not
-    depend on how the rows are laid out. Without a key, or when rows agree in
+    The draw is an MD5 digest of the seed and the ``key`` columns, so it does not
+    depend on how the rows are laid out, and any engine can make it. Without a key, or when rows agree in
     it, the draw is a hash of all columns and a number within equal rows.
 
     Rows are thinned to about three times the size where they are drawn, so the
     sort that picks exactly ``n`` stays small for a table of any size."""
     rows = df.count()
     share = min(1.0, 3 * (n + 100) / max(rows, 1))
-    drawn = _drawn(df, seed, key if key and not _repeated(df, key) else ())
-    thin = drawn.filter(F.pmod(F.xxhash64("_draw"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    picked = thin.orderBy("_draw").limit(n)
+    key = key if key and not _repeated(df, key) else ()
+    drawn = _drawn(df, seed, key)
+    # A digest of a key is uniform, so its smallest values are thinned by a limit.
+    thin = drawn.filter(F.col("_draw") < int(share * DRAWS)) if key else drawn.filter(
+        F.pmod(F.xxhash64("_draw"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    picked = thin.orderBy("_draw", *key).limit(n)
     # At most n rows, so the numbering may be one task.
-    numbered = picked.withColumn("_row", F.row_number().over(Window.orderBy("_draw")) - 1)
+    numbered = picked.withColumn("_row", F.row_number().over(Window.orderBy("_draw", *key)) - 1)
     return stage(numbered.drop("_draw"), name)
 
 
@@ -55,7 +60,8 @@ def _drawn(df: DataFrame, seed: int, key: Sequence[str] = ()) -> DataFrame:
     Equal rows are counted, which combines before the shuffle, and made again in
     bounded pieces, so a row value of any share of the table is spread."""
     if key:
-        return df.withColumn("_draw", F.xxhash64(F.lit(seed), *[F.col(c) for c in key]))
+        told = F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in key]))
+        return df.withColumn("_draw", F.conv(F.substring(told, 1, 13), 16, 10).cast("bigint"))
     last = F.floor((F.col("_copies") - 1) / PIECE_ROWS)
     some = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies")).select(
         "*", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("_part"))

@@ -2,11 +2,14 @@
 
 Bags of rows are drawn by a thinned sample, one task grows one tree from its
 bag, and every row is scored where it lies. Only the trees travel: their size
-depends on the number of trees and the bag size, never on the table.
+depends on the number of trees and the bag size, never on the table. With a
+unique key all draws are digests of the seed and of row keys or node numbers, so
+the same forest can be grown in SQL.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Sequence
 
@@ -24,7 +27,10 @@ from parcelmill.operators.clean import fill_medians
 from parcelmill.packaging import ship
 from parcelmill.session import stage
 
-NODE_SCHEMA = "tree int, node int, feature int, threshold double, length double"
+NODE_SCHEMA = "tree int, node int, feature int, threshold double, length long"
+#: Path lengths are whole numbers of this part of a step, so that sums of them
+#: do not depend on an order.
+STEP = 1_000_000
 
 
 def expected_length(n: float) -> float:
@@ -36,7 +42,13 @@ def expected_length(n: float) -> float:
     return 2.0 * (math.log(n - 1.0) + np.euler_gamma) - 2.0 * (n - 1.0) / n
 
 
-def grow_tree(x: np.ndarray, rng: np.random.Generator) -> list[tuple[int, int, float, float]]:
+def node_draw(seed: int, tree: int, node: int) -> tuple[int, float]:
+    """A whole number and a number from 0 to below 1, fixed by seed, tree and node."""
+    told = hashlib.md5(f"{seed}:{tree}:{node}".encode()).hexdigest()
+    return int(told[20:28], 16), int(told[:13], 16) / 2.0 ** 52
+
+
+def grow_tree(x: np.ndarray, seed: int, tree: int) -> list[tuple[int, int, float, int]]:
     """Nodes (number, feature, threshold, path length) of one random tree. The
     children of node i are 2i and 2i+1; a leaf has feature -1."""
     limit = math.ceil(math.log2(max(len(x), 2)))
@@ -46,12 +58,16 @@ def grow_tree(x: np.ndarray, rng: np.random.Generator) -> list[tuple[int, int, f
         low, high = rows.min(axis=0), rows.max(axis=0)
         splittable = np.flatnonzero(low < high)
         if depth == limit or len(rows) <= 1 or len(splittable) == 0:
-            nodes.append((number, -1, 0.0, depth + expected_length(len(rows))))
+            nodes.append((number, -1, 0.0, depth * STEP + round(expected_length(len(rows)) * STEP)))
             continue
-        feature = int(rng.choice(splittable))
-        threshold = float(rng.uniform(low[feature], high[feature]))
+        pick, share = node_draw(seed, tree, number)
+        feature = int(splittable[pick % len(splittable)])
+        least, most = float(low[feature]), float(high[feature])
+        threshold = least + share * (most - least)
+        if threshold >= most:  # rounded up: both sides must keep a row
+            threshold = least
         right = rows[:, feature] > threshold
-        nodes.append((number, feature, threshold, 0.0))
+        nodes.append((number, feature, threshold, 0))
         open_nodes += [(2 * number, depth + 1, rows[~right]), (2 * number + 1, depth + 1, rows[right])]
     return nodes
 
@@ -78,7 +94,7 @@ def grow_forest(df: DataFrame, features: list[str], trees: int = FOREST_TREES,
     def one(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["_slot", *features])
         tree = int(rows["tree"].iloc[0])
-        nodes = grow_tree(rows[features].to_numpy(), np.random.default_rng([seed, tree]))
+        nodes = grow_tree(rows[features].to_numpy(), seed, tree)
         out = pd.DataFrame(nodes, columns=["node", "feature", "threshold", "length"])
         out.insert(0, "tree", tree)
         return out
@@ -87,7 +103,13 @@ def grow_forest(df: DataFrame, features: list[str], trees: int = FOREST_TREES,
 
 
 def score_column(nodes: DataFrame, features: list[str], bag: int) -> Column:
-    """Anomaly score of a row, -1 (most anomalous) to 0."""
+    """Anomaly score of a row, -1 (most anomalous) to 0; a value that is not a
+    number goes left.
+
+    Each Arrow batch is walked down tree by tree. The same walk as a column
+    expression, a ``transform`` over arrays of nodes, gave equal scores but was
+    slower, 57 s instead of 34 s for a query on 200,000 rows: Spark does not
+    compile functions over arrays."""
     ship(nodes.sparkSession)
     # Bounded by trees x 2 x bag, whatever the size of the scored table.
     table = nodes.toPandas()
@@ -95,10 +117,10 @@ def score_column(nodes: DataFrame, features: list[str], bag: int) -> Column:
     trees = int(table["tree"].max()) + 1
     feature = np.full((trees, width), -1, dtype=np.int32)
     threshold = np.zeros((trees, width))
-    length = np.zeros((trees, width))
+    length = np.zeros((trees, width), dtype=np.int64)
     at = (table["tree"].to_numpy(), table["node"].to_numpy())
     feature[at], threshold[at], length[at] = table["feature"], table["threshold"], table["length"]
-    depth = int(math.log2(max(width - 1, 1)))
+    depth = int(table["node"].max()).bit_length() - 1
     scale = expected_length(bag) or 1.0
     shared = nodes.sparkSession.sparkContext.broadcast((feature, threshold, length))
 
@@ -107,7 +129,7 @@ def score_column(nodes: DataFrame, features: list[str], bag: int) -> Column:
         feature, threshold, length = shared.value
         x = np.column_stack([c.to_numpy(dtype=float) for c in columns])
         rows = np.arange(len(x))
-        total = np.zeros(len(x))
+        total = np.zeros(len(x), dtype=np.int64)
         for t in range(len(feature)):
             node = np.ones(len(x), dtype=np.int64)
             for _ in range(depth):
@@ -118,7 +140,7 @@ def score_column(nodes: DataFrame, features: list[str], bag: int) -> Column:
                 right = x[rows, np.maximum(f, 0)] > threshold[t, node]
                 node = np.where(inner, 2 * node + right, node)
             total += length[t, node]
-        return pd.Series(-np.power(2.0, -total / len(feature) / scale))
+        return pd.Series(-np.power(2.0, -total / STEP / len(feature) / scale))
 
     return score(*[F.col(f).cast("double") for f in features])
 

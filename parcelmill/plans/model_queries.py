@@ -6,7 +6,10 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from parcelmill.constants import DRIVER_TOP, FOREST_FEATURES, VALUE_BOOLEAN, VALUE_CATEGORY, VALUE_NUMERIC
+from parcelmill.constants import (
+    DRIVER_TOP, FOREST_BAG, FOREST_EXAMPLES, FOREST_FEATURES, FOREST_SEED, FOREST_SHARE, FOREST_TREES,
+    VALUE_BOOLEAN, VALUE_CATEGORY, VALUE_NUMERIC,
+)
 from parcelmill.operators import attribution, calendar, forecast as fc, isolation, valuation
 from parcelmill.plans import stages
 from parcelmill.plans.market_queries import county_kpi
@@ -95,26 +98,108 @@ def forecast_error(spark, folder):
 
 # --- anomalies -------------------------------------------------------------
 
-def scored_sales(spark, folder):
-    rows = stages.sold_flagged(
-        spark, folder, ["ListingKey", "City", "CountyOrParish", "PropertySubType", *FOREST_FEATURES])
-    return isolation.isolation_scores(rows, key=["ListingKey"])
+#: What tells the sales apart: a listing may be sold again.
+_SALE_KEY = ["ListingKey", "CloseDate", "ListOfficeName"]
 
 
-@query("isolation_scores")
+def scored_sales(spark, folder):
+    rows = stages.sold_flagged(
+        spark, folder, [*_SALE_KEY, "City", "CountyOrParish", "PropertySubType", *FOREST_FEATURES])
+    return isolation.isolation_scores(rows, key=_SALE_KEY)
+
+
+# The whole forest in SQL: the same draws, one step per level of the trees, and
+# every row walked down each of them. Column x<i> is feature i with gaps filled.
+_X = [f"x{i}" for i in range(len(FOREST_FEATURES))]
+_DEPTH = (FOREST_BAG - 1).bit_length()
+
+
+def _draw_sql(text: str, first: int, digits: int) -> str:
+    return f"cast('0x' || substr(md5({text}), {first}, {digits}) AS bigint)"
+
+
+def _of_feature(prefix: str, feature: str) -> str:
+    return f"CASE {feature} " + " ".join(f"WHEN {i} THEN {prefix}{x}" for i, x in enumerate(_X)) + " END"
+
+
+def _length_sql(n: str) -> str:
+    return f"CASE WHEN {n} <= 1 THEN 0 WHEN {n} = 2 THEN 1 ELSE 2 * (ln({n} - 1) + 0.5772156649015329) - 2.0 * ({n} - 1) / {n} END"
+
+
+def _level_sql(depth: int) -> str:
+    """Nodes of a level from the bags' rows that reach it."""
+    lows = ", ".join(f"min({x}) AS low_{x}, max({x}) AS high_{x}" for x in _X)
+    can = ", ".join(f"CASE WHEN low_{x} < high_{x} THEN {i} END" for i, x in enumerate(_X))
+    name = f"'{FOREST_SEED}:' || tree || ':' || node"
+    return f"""
+SELECT tree, node, feature, CASE WHEN cut >= high THEN low ELSE cut END AS threshold,
+  CASE WHEN feature < 0 THEN {depth * isolation.STEP} + cast(round({isolation.STEP} * ({_length_sql("n")})) AS bigint) ELSE 0 END AS length
+FROM (SELECT *, low + {_draw_sql(name, 1, 13)} / {2.0 ** 52!r} * (high - low) AS cut
+  FROM (SELECT *, {_of_feature("low_", "feature")} AS low, {_of_feature("high_", "feature")} AS high
+    FROM (SELECT *, CASE WHEN n <= 1 OR len(can) = 0 OR {depth} >= (SELECT max(height) FROM forest_size) THEN -1
+        ELSE can[1 + {_draw_sql(name, 21, 8)} % len(can)] END AS feature
+      FROM (SELECT *, [c FOR c IN [{can}] IF c IS NOT NULL] AS can
+        FROM (SELECT tree, node, count(*) AS n, {lows} FROM bag_{depth} GROUP BY 1, 2) a) b) c) d) e"""
+
+
+def _forest_steps() -> dict[str, str]:
+    filled = ", ".join(f"coalesce(cast({c} AS double), (SELECT median({c}) FROM sold_flagged)) AS x{i}"
+                       for i, c in enumerate(FOREST_FEATURES))
+    day = ["strftime(CloseDate, '%Y-%m-%d')" if c == "CloseDate" else c for c in _SALE_KEY]
+    key = f"concat_ws(':', '{FOREST_SEED}', {', '.join(day)})"
+    steps = {
+        "forest_rows": f"""SELECT *, {filled}, row_number() OVER () AS number, {_draw_sql(key, 1, 13)} AS draw FROM sold_flagged""",
+        "forest_size": f"""SELECT least(count(*), {FOREST_TREES * FOREST_BAG}) AS pool, least(count(*), {FOREST_BAG}) AS bag,
+  cast(ceil(log2(greatest(least(count(*), {FOREST_BAG}), 2))) AS int) AS height FROM forest_rows""",
+        "forest_pool": f"""SELECT {', '.join(_X)}, row_number() OVER (ORDER BY draw, {', '.join(_SALE_KEY)}) - 1 AS slot FROM forest_rows
+QUALIFY slot < {FOREST_TREES * FOREST_BAG}""",
+        "bag_0": f"""SELECT cast(floor(turn / bag) AS int) AS tree, 1 AS node, {', '.join(_X)}
+FROM (SELECT *, unnest(generate_series(slot, {FOREST_TREES} * bag - 1, pool)) AS turn FROM forest_pool, forest_size) t""",
+    }
+    walk, lengths = "forest_rows r, level_0 n0", ["n0.length"]
+    for d in range(_DEPTH + 1):
+        steps[f"level_{d}"] = _level_sql(d)
+        if d == _DEPTH:
+            break
+        goes = "2 * node + CASE WHEN {value} > {n}threshold THEN 1 ELSE 0 END"
+        steps[f"bag_{d + 1}"] = (
+            f"SELECT tree, {goes.format(value=_of_feature('', 'feature'), n='')} AS node, {', '.join(_X)} "
+            f"FROM bag_{d} JOIN level_{d} USING (tree, node) WHERE feature >= 0")
+        down = goes.format(value=_of_feature("r.", f"n{d}.feature"), n=f"n{d}.").replace("node", f"n{d}.node")
+        walk += f" LEFT JOIN level_{d + 1} n{d + 1} ON n{d + 1}.tree = n{d}.tree AND n{d}.feature >= 0 AND n{d + 1}.node = {down}"
+        lengths.append(f"coalesce(n{d + 1}.length, 0)")
+    steps["forest_lengths"] = f"SELECT r.number, sum({' + '.join(lengths)}) AS total FROM {walk} GROUP BY 1"
+    steps["forest_scores"] = f"""SELECT r.*, -pow(2.0, -total / {isolation.STEP} / {FOREST_TREES}
+  / (SELECT {_length_sql('bag')} FROM forest_size)) AS anomaly_score
+FROM forest_rows r JOIN forest_lengths USING (number)"""
+    steps["forest_labels"] = f"""SELECT *, anomaly_score < (SELECT quantile_cont(anomaly_score, {FOREST_SHARE}) FROM forest_scores) AS is_anomaly
+FROM forest_scores"""
+    return steps
+
+
+@query("isolation_scores", """
+SELECT ListingKey, round(ClosePrice, 4) AS ClosePrice, round(anomaly_score, 4) AS anomaly_score, is_anomaly, quality_issue_flag
+FROM forest_labels""", needs=("sold_flagged",), **_forest_steps())
 def isolation_scores(spark, folder):
     return scored_sales(spark, folder).select(
         "ListingKey", "ClosePrice", "anomaly_score", "is_anomaly", "quality_issue_flag")
 
 
-@query("novel_anomalies")
+@query("novel_anomalies", f"""
+SELECT ListingKey, City, CountyOrParish, PropertySubType, round(ClosePrice, 4) AS ClosePrice, round(LivingArea, 4) AS LivingArea,
+  BedroomsTotal, BathroomsTotalInteger, round(price_per_sqft, 4) AS price_per_sqft, YearBuilt, round(anomaly_score, 4) AS anomaly_score
+FROM (SELECT * FROM forest_labels WHERE is_anomaly AND quality_issue_flag = 0
+  ORDER BY forest_labels.anomaly_score, ListingKey LIMIT {FOREST_EXAMPLES}) t""", needs=("sold_flagged",), **_forest_steps())
 def novel_anomalies(spark, folder):
     return isolation.most_anomalous(scored_sales(spark, folder), "ListingKey").select(
         "ListingKey", "City", "CountyOrParish", "PropertySubType", "ClosePrice", "LivingArea",
         "BedroomsTotal", "BathroomsTotalInteger", "price_per_sqft", "YearBuilt", "anomaly_score")
 
 
-@query("anomaly_counts")
+@query("anomaly_counts", """
+SELECT count(*) AS rows, count(*) FILTER (is_anomaly) AS anomalies,
+  count(*) FILTER (is_anomaly AND quality_issue_flag = 0) AS novel FROM forest_labels""",
+       needs=("sold_flagged",), **_forest_steps())
 def anomaly_counts(spark, folder):
     return isolation.anomaly_counts(scored_sales(spark, folder))
 

@@ -159,13 +159,27 @@ def test_scores_equal_a_walk_down_each_tree(spark):
         at = 1
         while tree[at]["feature"] >= 0:
             at = 2 * at + (row[tree[at]["feature"]] > tree[at]["threshold"])
-        return tree[at]["length"]
+        return tree[at]["length"] / isolation.STEP
 
     want = [-(2 ** (-np.mean([length(t, row) for t in trees.values()]) / isolation.expected_length(32)))
             for row in got[["a", "b"]].to_numpy()]
     np.testing.assert_allclose(got["s"], want)
 
 
+def test_a_threshold_leaves_rows_on_both_sides():
+    close = np.array([[1.0], [np.nextafter(1.0, 2)]])
+    for seed in range(20):
+        nodes = {n: (f, cut) for n, f, cut, _ in isolation.grow_tree(close, seed, 0)}
+        assert nodes[1] == (0, 1.0) and nodes[2][0] == nodes[3][0] == -1
+
+
+def test_draws_depend_on_seed_tree_and_node_only():
+    assert isolation.node_draw(42, 1, 1) == isolation.node_draw(42, 1, 1)
+    draws = {isolation.node_draw(s, t, n)[1] for s in (1, 2) for t in range(50) for n in range(1, 50)}
+    assert len(draws) == 2 * 50 * 49 and 0.45 < np.mean(list(draws)) < 0.55
+    assert all(0 <= d < 1 for d in draws)
+
+
 def test_far_row_is_the_anomaly(spark):
     rng = np.random.default_rng(4)
     frame = pd.DataFrame(rng.normal(100, 5, (400, len(FOREST_FEATURES))), columns=FOREST_FEATURES)
