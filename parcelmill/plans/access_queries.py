@@ -199,6 +199,7 @@ _FORMS = [
     ("SELECT /* /* */ ' */ reflect('java.lang.System', 'getProperty', '{p}') AS x -- '", False),
     ("SELECT /*/* {k} */ ` */ java_method('a', '{p}') -- `", False),
     ("SELECT {k} /* left open ' */ /* '", False),
+    ("SELECT id AS `set`, `drop` FROM sold WHERE id = {k}", True),
 ]
 
 
@@ -236,8 +237,7 @@ WHERE yr_mo >= '1996-01' GROUP BY City, PropertySubType"""
        + _GUARDED.format(s="sold_clean") + ") t", needs=("sold_clean",))
 def guarded_query(spark, folder):
     rows = _clean(spark, folder, "City", "PropertySubType", "yr_mo", "ClosePrice")
-    rows.createOrReplaceTempView("sold")
-    answer = statements.guarded_sql(spark, _GUARDED.format(s="sold") + ";")
+    answer = statements.guarded_sql(spark, _GUARDED.format(s="sold") + ";", tables={"sold": rows})
     if answer.error:
         raise RuntimeError(answer.error)
     return answer.df
@@ -248,9 +248,9 @@ SELECT 3 AS rows, true AS cut, cast(sum(n) AS bigint) AS rows_behind FROM (SELEC
   GROUP BY City ORDER BY n DESC, City LIMIT 3) t""", needs=("sold_clean",))
 def guarded_query_capped(spark, folder):
     """A result longer than the cap: its first rows, and the mark that says so."""
-    _clean(spark, folder, "City").createOrReplaceTempView("sold")
     answer = statements.guarded_sql(
-        spark, "SELECT City, count(*) AS n FROM sold GROUP BY City ORDER BY n DESC, City", 3)
+        spark, "SELECT City, count(*) AS n FROM sold GROUP BY City ORDER BY n DESC, City", 3,
+        tables={"sold": _clean(spark, folder, "City")})
     return answer.df.agg(F.count(F.lit(1)).alias("rows"), F.lit(answer.truncated()).alias("cut"),
                          F.sum("n").alias("rows_behind"))
 

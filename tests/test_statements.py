@@ -106,3 +106,57 @@ def test_attempt_scores(spark):
         spark.createDataFrame(rows, "model string, question int, trial int, outcome string")).first()
     assert (row["accuracy"], row["solved_questions"], row["stable_questions"], row["n_questions"]) == (0.333, 1, 1, 2)
     assert (row["correct"], row["wrong"], row["exec_error"], row["guard_reject"]) == (2, 1, 3, 0)
+
+
+def _tables(spark):
+    return {"sold": spark.createDataFrame([(1, "x"), (2, "y")], "id int, City string")}
+
+
+@pytest.mark.parametrize("statement", [
+    "SELECT id AS `set` FROM sold",
+    "WITH t AS (SELECT id, City FROM sold) SELECT a.City FROM t a JOIN sold b ON a.id = b.id AND a.id > 0",
+    "SELECT City, row_number() OVER (ORDER BY id) AS n FROM sold WHERE id = (SELECT max(id) FROM sold)",
+    "SELECT id, w FROM sold LATERAL VIEW explode(split(City, '')) t AS w",
+    "SELECT s.id, m.n FROM sold s CROSS JOIN (SELECT count(*) AS n FROM sold) m",
+    "SELECT id FROM sold WHERE City IN (SELECT City FROM sold) UNION SELECT id FROM range(5) ORDER BY id LIMIT 1",
+    "SELECT to_json(named_struct('a', id)), upper(City), try_divide(id, 2) FROM sold",
+])
+def test_plan_allows(spark, statement):
+    answer = statements.guarded_sql(spark, statement, tables=_tables(spark))
+    assert answer.error is None and answer.df.count() > 0
+
+
+@pytest.mark.parametrize("statement", [
+    "SELECT * FROM host_lines()",
+    "SELECT id FROM sold WHERE id IN (SELECT n FROM host_lines())",
+    "SELECT own(id) FROM sold",
+    "SELECT id FROM sold WHERE id = (SELECT max(own(id)) FROM sold)",
+    "SELECT * FROM other",
+    "WITH other AS (SELECT 1 AS a) SELECT * FROM global_temp.elsewhere",
+    "SELECT count(*) FROM range(100000000)",
+    "SELECT count(*) FROM sold a CROSS JOIN sold b",
+    "SELECT count(*) FROM sold a JOIN sold b ON a.id < b.id",
+    "SELECT (SELECT count(*) FROM sold a JOIN sold b ON a.id = b.id OR a.City = b.City) AS n",
+])
+def test_plan_refuses(spark, statement):
+    from pyspark.sql.functions import udtf
+
+    @udtf(returnType="n int")
+    class HostLines:
+        def eval(self):
+            yield 1,
+
+    spark.udtf.register("host_lines", HostLines)
+    spark.udf.register("own", lambda x: x, "int")
+    spark.range(1).createOrReplaceTempView("other")
+    spark.range(1).createOrReplaceGlobalTempView("elsewhere")
+    assert "rejected" in statements.guarded_sql(spark, statement, tables=_tables(spark)).error
+
+
+def test_given_tables_leave_no_view_behind(spark):
+    spark.range(7).createOrReplaceTempView("sold")
+    answer = statements.guarded_sql(spark, "SELECT count(*) AS n FROM sold", tables=_tables(spark))
+    assert answer.df.first()["n"] == 2 and spark.table("sold").count() == 7
+    spark.catalog.dropTempView("sold")
+    assert statements.guarded_sql(spark, "SELECT count(*) AS n FROM sold", tables=_tables(spark)).df.first()["n"] == 2
+    assert not spark.catalog.tableExists("sold")
