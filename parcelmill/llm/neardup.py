@@ -141,11 +141,12 @@ _LONGS = T.ArrayType(T.LongType())
 
 
 def _profiles(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``seq``, ``n``, ``digest`` per row; ``bands`` and ``sketch``
-    at the first row of a set in its batch."""
+    """``doc_id``, ``seq``, ``n``, ``digest``, ``hash`` (of the text as it is)
+    per row; ``bands`` and ``sketch`` at the first row of a set in its batch."""
     schema = T.StructType([
         T.StructField("doc_id", T.LongType()), T.StructField("seq", T.LongType()), T.StructField("n", T.LongType()),
-        T.StructField("digest", T.BinaryType()), T.StructField("bands", _LONGS), T.StructField("sketch", _LONGS),
+        T.StructField("digest", T.BinaryType()), T.StructField("hash", T.LongType()),
+        T.StructField("bands", _LONGS), T.StructField("sketch", _LONGS),
     ])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,7 +169,7 @@ def _profiles(docs: DataFrame) -> DataFrame:
             some = np.array(sampled, np.uint32).reshape(-1, SAMPLES)
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array(seq + np.arange(batch.num_rows)), pa.array(sizes, pa.int64()),
-                pa.array(digests, pa.binary()), _lists(band_keys(some), where), _lists(odd_sketches(some), where),
+                pa.array(digests, pa.binary()), batch.column(2), _lists(band_keys(some), where), _lists(odd_sketches(some), where),
             ], names=schema.names)
             seq += batch.num_rows
 
@@ -185,7 +186,7 @@ def _lists(values: np.ndarray, where: np.ndarray) -> pa.Array:
 def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = LEAST) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_shingles``,
     ``component_id`` and ``kept``."""
-    docs = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"))
+    docs = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text")).withColumn("hash", F.xxhash64("text"))
     rows = stage(_profiles(docs), "profiles")
     some = rows.where("n > 0")
     classes = stage(some.groupBy("digest").agg(F.min(F.when(F.col("bands").isNotNull(), F.col("seq"))).alias("node")), "classes")
@@ -246,10 +247,18 @@ def _star_links(docs: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
 _EDGES = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
 
+def _texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``node``, ``digest`` and ``text`` of nodes. They are found by id and hash of
+    the text: equal texts have one node, so a row of ``docs`` meets at most one
+    (but for colliding hashes), however many rows share an id or have none."""
+    known = nodes.select("node", "digest", F.col("doc_id").alias("id"), F.col("hash").alias("of"))
+    same = F.col("id").eqNullSafe(docs["doc_id"]) & (F.col("of") == docs["hash"])
+    return known.join(docs, same).select("node", "digest", "text")
+
+
 def _sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
     """``node`` and ``shingles`` (bytes of the sorted hashes) of ``wanted``."""
-    known = nodes.join(wanted, "node", "left_semi").select("node", "digest", F.col("doc_id").alias("id"))
-    rows = known.join(docs, F.col("id").eqNullSafe(docs["doc_id"])).select("node", "digest", "text")
+    rows = _texts_of(docs, nodes.join(wanted, "node", "left_semi"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Words()
@@ -259,7 +268,7 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
             node, shingles = [], []
             for n, digest, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), bytes_of(batch.column(2))):
                 found = shingle_set(data, known).tobytes()
-                # Another row may have the same id; the digest tells them apart.
+                # Another text may have the same id and hash; the digest tells them apart.
                 if hashlib.blake2b(found, digest_size=16).digest() == digest:
                     node.append(n)
                     shingles.append(found)
