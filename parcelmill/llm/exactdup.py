@@ -16,7 +16,9 @@ Spill in step 1: when a trie holds more than ``budget`` bytes, its largest
 subtrees are handed on and forgotten; copies that come later make a new entry,
 which the owner joins with the first. Results do not depend on it.
 
-Equality is decided by the byte strings, never by the hash alone.
+Equality of groups is decided by the byte strings, never by the hash alone;
+``drop_copies`` finds the rows that stay by id and SHA-256. A very long text is
+one entry of a trie, held whole in its task and hashed whole.
 
 Defined cases: a null text is empty; a null id is smaller than any other;
 repeated rows are copies of each other, and exactly one row of a group is
@@ -31,7 +33,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -223,18 +225,33 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: str = "largest") -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns as they
-    are. The owner's decision comes back by id and text."""
+    are, whatever their names. The owner's decision comes back by id and SHA-256
+    of the text; of rows that agree in both, the one with the smallest hash of
+    all columns stays."""
     from pyspark.sql import Window
 
-    key = F.concat_ws("/", F.coalesce(F.col("_id").cast("string"), F.lit("")), "_sha")
     used: list[str] = []
     kept = exact_groups(docs, doc_id, text, keep, used=used).where("kept")
-    kept = stage(kept.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).select(key.alias("_key")), "kept")
+    key, nth, order = _unused(docs, "_key"), _unused(docs, "_nth"), _unused(docs, "_order")
+    kept = stage(kept.select(_id_and_sha(F.col("doc_id"), F.col("text_sha256")).alias(key)), "kept")
     for path in used:  # the decisions are written, the tries have done their work
         drop_shared(docs.sparkSession, path)
-    plain = F.translate(F.coalesce(F.col(text), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    keyed = docs.withColumns({"_id": docs[doc_id].cast("long"), "_sha": F.sha2(plain, 256)}).withColumn("_key", key)
-    found = keyed.join(kept, "_key", "left_semi")
-    # Rows repeated with their id are copies as well; the first one stays. One key, so one shuffle of the texts.
-    nth = F.row_number().over(Window.partitionBy("_key").orderBy("_key"))
-    return found.withColumn("_nth", nth).where("_nth = 1").select(*docs.columns)
+    plain = F.translate(F.coalesce(docs[text], F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    hashed = [docs[f.name] for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    keyed = docs.withColumns({key: _id_and_sha(docs[doc_id].cast("long"), F.sha2(plain, 256)), order: F.xxhash64(*hashed)})
+    found = keyed.join(kept, key, "left_semi")
+    # Rows repeated with their id are copies as well. One key, so one shuffle of the texts.
+    first = F.row_number().over(Window.partitionBy(key).orderBy(order))
+    return found.withColumn(nth, first).where(F.col(nth) == 1).drop(key, nth, order)
+
+
+def _id_and_sha(number: Column, sha: Column) -> Column:
+    return F.concat_ws("/", F.coalesce(number.cast("string"), F.lit("")), sha)
+
+
+def _unused(docs: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``docs`` has it."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name

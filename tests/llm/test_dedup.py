@@ -40,6 +40,15 @@ def test_smallest_id_can_stay_and_rows_are_kept_whole(spark):
     assert exactdup.exact_groups(frame(spark, [])).count() == 0
 
 
+def test_columns_of_any_name_stay_as_they_are(spark):
+    rows = [(1, "a", 77, 1, "x"), (2, "A", 88, 2, "y"), (3, "b", 99, 3, "z"), (3, "b", 98, 4, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _ID long, _key long, _nth string")
+    left = sorted(map(tuple, exactdup.drop_copies(docs).collect()))
+    assert left[0] == rows[1] and left[1] in rows[2:] and len(left) == 2
+    again = sorted(map(tuple, exactdup.drop_copies(docs.repartition(3, "_key")).collect()))
+    assert again == left  # which of two rows with one id and text stays does not depend on the layout
+
+
 def test_trie_keeps_all_keys_and_spills_subtrees():
     draw = random.Random(1)
     trie, keys = exactdup.Trie(), {}
@@ -103,6 +112,20 @@ def test_near_groups_equal_brute_force(spark, monkeypatch, block):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+@pytest.mark.parametrize("hot", [None, 7])
+def test_texts_of_a_hot_id_are_read_once(spark, hot):
+    from pyspark.sql import functions as F
+
+    texts = [(hot, t) for t in _family(21, 60, 3)] + [(100 + i, t) for i, t in enumerate(_family(22, 30, 3))]
+    texts += texts[:20]
+    got = neardup.near_groups(frame(spark, texts)).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == _brute(texts)
+    docs = frame(spark, texts).select("doc_id", "text").withColumn("hash", F.xxhash64("text"))
+    rows = neardup._profiles(docs)
+    nodes = rows.where("bands IS NOT NULL").dropDuplicates(["digest"]).withColumnRenamed("seq", "node")
+    assert neardup._texts_of(docs, nodes).count() <= len(texts)
+
+
 def test_near_groups_of_empty_tables_and_texts(spark):
     assert neardup.near_groups(frame(spark, [])).count() == 0
     got = neardup.near_groups(frame(spark, [(1, None), (2, "")])).collect()
