@@ -7,11 +7,14 @@ monthly differences, (1,1,0)(1,0,0,12):
     w(t) = y(t) - y(t-1)
     w(t) = a w(t-1) + s w(t-12) - a s w(t-13) + e(t)
 
-fitted by least squares on the months that have all their lags. Series with
-fewer than five such months, whose fit does not settle, or whose fit explodes
-(a coefficient beyond 1.5) use (1,1,1). The column ``model`` tells which was
-used: seasonal, plain, or none for a series too short for either. Intervals
-come from the weights of past shocks in the forecast.
+fitted by least squares on the months that have all their lags. With the first
+fourteen months given, that is the point of the greatest likelihood: a filter
+that starts without knowledge of the state learns all of it from these months.
+Coefficients keep six decimals, so a forecast can be worked out again from the
+written ones. Series with fewer such months than the fit has unknowns, or whose
+fit does not settle, use (1,1,1). The column ``model`` tells which was used:
+seasonal, plain, or none for a series too short for either. Intervals come from
+the weights of past shocks in the forecast.
 """
 
 from __future__ import annotations
@@ -31,8 +34,13 @@ from parcelmill.operators.calendar import holdout_split
 from parcelmill.packaging import ship
 
 FORECAST_SCHEMA = "step int, month date, mean double, lo double, hi double, model string"
-MIN_RESIDUALS = 5
-MAX_COEFFICIENT = 1.5
+#: Unknowns of the seasonal fit: two coefficients and the shock variance.
+MIN_RESIDUALS = 3
+#: The fit has settled when a round moves the coefficients by less than this.
+SETTLED = 1e-12
+ROUNDS = 500
+#: Sums of squares that differ by less than this share are equal.
+TIE = 1e-11
 # A series that repeats exactly leaves no residual; its interval is still not
 # narrower than this share of its usual monthly change.
 LEAST_SPREAD = 1e-6
@@ -45,9 +53,12 @@ def _lagged(w: np.ndarray, lag: int) -> np.ndarray:
     return out
 
 
-def _slope(x: np.ndarray, y: np.ndarray) -> float:
-    power = float(x @ x)
-    return float(x @ y) / power if power > 0 else 0.0
+def _slope(product: float, power: float) -> float:
+    return product / power if power > 0 else 0.0
+
+
+def _six(x: float) -> float:
+    return math.floor(x * 1e6 + 0.5) / 1e6
 
 
 def fit_seasonal(w: np.ndarray) -> tuple[float, float, float] | None:
@@ -57,22 +68,23 @@ def fit_seasonal(w: np.ndarray) -> tuple[float, float, float] | None:
     if len(rows) < MIN_RESIDUALS:
         return None
     now, one, season, both = rows.T
+    (_, no, ns, nb), (_, oo, os, ob), (_, _, ss, sb), (_, _, _, bb) = (rows.T @ rows).tolist()
     a = s = 0.0
     # With one of the two coefficients fixed the other is a plain regression.
-    for _ in range(500):
-        a_next = _slope(one - s * both, now - s * season)
-        s_next = _slope(season - a_next * both, now - a_next * one)
+    for _ in range(ROUNDS):
+        a_next = _slope(no - s * (os + nb) + s * s * sb, oo - 2 * s * ob + s * s * bb)
+        s_next = _slope(ns - a_next * (os + nb) + a_next * a_next * ob, ss - 2 * a_next * sb + a_next * a_next * bb)
         moved = abs(a_next - a) + abs(s_next - s)
         a, s = a_next, s_next
-        if moved < 1e-10:
+        if moved < SETTLED:
             break
     else:
         return None
-    shocks = now - a * one - s * season + a * s * both
-    variance = float(shocks @ shocks) / len(shocks)
-    if not np.isfinite([a, s, variance]).all() or max(abs(a), abs(s)) > MAX_COEFFICIENT:
+    if not np.isfinite([a, s]).all():
         return None
-    return a, s, variance
+    a, s = _six(a), _six(s)
+    shocks = now - a * one - s * season + a * s * both
+    return a, s, float(shocks @ shocks) / len(shocks)
 
 
 def fit_plain(w: np.ndarray) -> tuple[float, float, float, float] | None:
@@ -90,7 +102,8 @@ def fit_plain(w: np.ndarray) -> tuple[float, float, float, float] | None:
         for before, now in zip(known[:-1], known[1:]):
             shock = now - a * before - b * shock
             total += shock**2
-        at = int(np.argmin(total))
+        # Whole lines of points may fit equally well; the first of them is taken.
+        at = int(np.argmax(total <= total.min() * (1 + TIE)))
         best = (float(a[at]), float(b[at]), float(shock[at]), float(total[at]) / (len(known) - 1))
         centre, width = best[:2], width / 5
     return best

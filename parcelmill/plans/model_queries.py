@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from parcelmill.constants import (
-    DRIVER_TOP, FOREST_BAG, FOREST_EXAMPLES, FOREST_FEATURES, FOREST_SEED, FOREST_SHARE, FOREST_TREES,
+    DRIVER_TOP, FORECAST_HOLDOUT, FORECAST_NORMAL_QUANTILE, FORECAST_STEPS, FOREST_BAG, FOREST_EXAMPLES, FOREST_FEATURES, FOREST_SEED, FOREST_SHARE, FOREST_TREES,
     VALUE_BOOLEAN, VALUE_CATEGORY, VALUE_NUMERIC,
 )
 from parcelmill.operators import attribution, calendar, forecast as fc, isolation, valuation
@@ -39,7 +39,117 @@ def series_unpivot(spark, folder):
     return county_series(spark, folder)
 
 
-@query("forecast")
+# The whole fit in SQL: the seasonal one from sums of products, round by round,
+# the plain one on the same grids; then the values and their intervals.
+_SERIES_SQL = """
+SELECT g.market, metric, month, CASE metric WHEN 'closed_sales' THEN k.closed_sales ELSE k.median_close_price END AS v
+FROM (SELECT market, unnest(generate_series(a, z, INTERVAL 1 month)) AS month
+  FROM (SELECT market, min(cast(yr_mo || '-01' AS date)) AS a, max(cast(yr_mo || '-01' AS date)) AS z
+    FROM county_kpi GROUP BY market) s) g
+CROSS JOIN (SELECT unnest(['median_close_price', 'closed_sales']) AS metric) m
+LEFT JOIN county_kpi k ON k.market = g.market AND k.yr_mo = strftime(month, '%Y-%m')"""
+_OF = "PARTITION BY market, metric ORDER BY"
+
+
+def _slope_sql(product: str, power: str) -> str:
+    return f"CASE WHEN {power} > 0 THEN ({product}) / ({power}) ELSE 0 END"
+
+
+def _grid_sql(turn: int) -> str:
+    """The best point of the grid around the best point before."""
+    width = 0.95
+    for _ in range(turn):
+        width /= 5
+
+    def axis(c, i):
+        return f"least(greatest(p.{c} + ({-width!r} + {i} * {2 * width / 20!r}), -0.98), 0.98)"
+
+    shock = "d.w - a * before - b * shock"
+    return f"""
+WITH RECURSIVE run AS (
+  SELECT market, metric, i + 21 * j AS place, {axis('a', 'i')} AS a, {axis('b', 'j')} AS b, cast(1 AS bigint) AS k,
+    cast(0 AS double) AS shock, cast(0 AS double) AS total, d.w AS before
+  FROM point_{turn} p JOIN diffs d USING (market, metric), range(21) x(i), range(21) y(j) WHERE d.k = 1
+  UNION ALL
+  SELECT market, metric, place, a, b, d.k, {shock}, total + ({shock}) * ({shock}), d.w
+  FROM run JOIN diffs d USING (market, metric) WHERE d.k = run.k + 1)
+SELECT * FROM (SELECT *, min(total) OVER (PARTITION BY market, metric) AS least
+  FROM run JOIN (SELECT market, metric, max(k) AS k FROM diffs GROUP BY 1, 2) e USING (market, metric, k)) t
+WHERE total <= least * (1 + {fc.TIE!r}) QUALIFY row_number() OVER ({_OF} place) = 1"""
+
+
+def _forecast_steps(held: int, ahead: int) -> dict[str, str]:
+    """Fit on all but the last ``held`` months, values of the next ``ahead``."""
+    steps = {
+        "series": _SERIES_SQL,
+        "used": f"""SELECT * FROM (SELECT *, row_number() OVER ({_OF} month) AS t, row_number() OVER ({_OF} month DESC) AS back
+  FROM series) n WHERE back > {held}""",
+        "filled": f"""
+SELECT *, CASE WHEN v0 IS NULL THEN v1 WHEN v1 IS NULL OR t0 = t1 THEN v0
+    ELSE v0 + (v1 - v0) / (t1 - t0) * (t - t0) END AS f
+FROM (SELECT *, last_value(v IGNORE NULLS) OVER past AS v0, first_value(v IGNORE NULLS) OVER later AS v1,
+    last_value(place IGNORE NULLS) OVER past AS t0, first_value(place IGNORE NULLS) OVER later AS t1
+  FROM (SELECT *, CASE WHEN v IS NOT NULL THEN t END AS place FROM used) u
+  WINDOW past AS ({_OF} t ROWS UNBOUNDED PRECEDING), later AS ({_OF} t ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) g""",
+        "lags": f"""
+SELECT *, lag(w, 1) OVER s AS w1, lag(w, 12) OVER s AS w12, lag(w, 13) OVER s AS w13
+FROM (SELECT *, v - lag(v) OVER ({_OF} t) AS w, f - lag(f) OVER ({_OF} t) AS p FROM filled) d WINDOW s AS ({_OF} t)""",
+        "gram": f"""
+SELECT market, metric, sum(w * w1) AS n1, sum(w * w12) AS n12, sum(w * w13) AS n13, sum(w1 * w1) AS g1, sum(w1 * w12) AS g1_12,
+  sum(w1 * w13) AS g1_13, sum(w12 * w12) AS g12, sum(w12 * w13) AS g12_13, sum(w13 * w13) AS g13
+FROM lags WHERE w IS NOT NULL AND w1 IS NOT NULL AND w12 IS NOT NULL AND w13 IS NOT NULL
+GROUP BY 1, 2 HAVING count(*) >= {fc.MIN_RESIDUALS}""",
+        "fit": f"""
+WITH RECURSIVE turns AS (
+  SELECT market, metric, cast(0 AS double) AS a, cast(0 AS double) AS s, 0 AS turn, cast(1 AS double) AS moved FROM gram
+  UNION ALL
+  SELECT market, metric, a_next, s_next, turn + 1, abs(a_next - a) + abs(s_next - s)
+  FROM (SELECT *, {_slope_sql("n12 - a_next * (g1_12 + n13) + a_next * a_next * g1_13",
+                              "g12 - 2 * a_next * g12_13 + a_next * a_next * g13")} AS s_next
+    FROM (SELECT *, {_slope_sql("n1 - s * (g1_12 + n13) + s * s * g12_13", "g1 - 2 * s * g1_13 + s * s * g13")} AS a_next
+      FROM turns JOIN gram USING (market, metric) WHERE moved >= {fc.SETTLED} AND turn < {fc.ROUNDS}) x) y)
+SELECT market, metric, floor(a * 1e6 + 0.5) / 1e6 AS a, floor(s * 1e6 + 0.5) / 1e6 AS s FROM turns WHERE moved < {fc.SETTLED}""",
+        "spread": """
+SELECT market, metric, avg(e * e) AS variance FROM (
+  SELECT market, metric, w - a * w1 - s * w12 + a * s * w13 AS e FROM lags JOIN fit USING (market, metric)) t
+WHERE e IS NOT NULL GROUP BY 1, 2""",
+        "diffs": f"""
+SELECT market, metric, w, row_number() OVER ({_OF} t) AS k FROM lags ANTI JOIN fit USING (market, metric) WHERE w IS NOT NULL""",
+        "point_0": """SELECT market, metric, cast(0 AS double) AS a, cast(0 AS double) AS b FROM diffs
+GROUP BY 1, 2 HAVING count(*) >= 3""",
+        **{f"point_{turn + 1}": _grid_sql(turn) for turn in range(6)},
+        "ends": """
+SELECT market, metric, max(month) AS last, count(v) AS points, arg_max(f, t) AS y, list(p ORDER BY t DESC) AS p,
+  pow(1e-6, 2) * coalesce(avg(w * w), 0) AS least_variance FROM lags GROUP BY 1, 2""",
+        "model": """
+SELECT e.*, f.a, f.s, q.a AS qa, q.b AS qb, q.shock,
+  CASE WHEN points < 4 THEN 'none' WHEN f.a IS NOT NULL THEN 'seasonal' WHEN q.a IS NOT NULL THEN 'plain' ELSE 'none' END AS model,
+  greatest(coalesce(variance, total / (k - 1)), least_variance) AS var
+FROM ends e LEFT JOIN fit f USING (market, metric) LEFT JOIN spread USING (market, metric)
+LEFT JOIN point_6 q USING (market, metric)""",
+    }
+    moves, replies = [], []
+    for h in range(ahead):
+        one = f"f{h}" if h else "p[1]"
+        moves.append(f"CASE model WHEN 'seasonal' THEN a * {one} + s * p[{12 - h}] - a * s * p[{13 - h}] "
+                     f"WHEN 'plain' THEN qa * {one}{'' if h else ' + qb * shock'} END AS f{h + 1}")
+        replies.append(f"CASE model WHEN 'seasonal' THEN pow(a, {h}) ELSE {f'(qa + qb) * pow(qa, {h - 1})' if h else '1'} END")
+    inner = "model"
+    for move in moves:
+        inner = f"(SELECT *, {move} FROM {inner}) m"
+    rows = " UNION ALL ".join(
+        f"SELECT market, metric, cast({h} AS int) AS step, cast(last + INTERVAL {h} month AS date) AS month, model, "
+        f"y + {' + '.join(f'f{i + 1}' for i in range(h))} AS mean, "
+        f"{FORECAST_NORMAL_QUANTILE!r} * sqrt(var * ({' + '.join(f'pow({chr(43).join(replies[:i + 1])}, 2)' for i in range(h))})) AS half "
+        "FROM moved" for h in range(1, ahead + 1))
+    steps["moved"] = f"SELECT * FROM {inner}"
+    steps["made"] = f"SELECT *, mean - half AS lo, mean + half AS hi FROM ({rows}) r"
+    return steps
+
+
+@query("forecast", """
+SELECT market, metric, step, strftime(month, '%Y-%m-%d') AS month, round(mean, 4) AS mean, round(lo, 4) AS lo,
+  round(hi, 4) AS hi, model FROM made""", needs=("county_kpi",), **_forecast_steps(0, FORECAST_STEPS))
 def forecast(spark, folder):
     return fc.forecast(county_series(spark, folder), _KEYS)
 
@@ -48,19 +158,13 @@ def forecast(spark, folder):
 # figures, whether they are in order, and that the seasonal model has its lags.
 @query("forecast_shape", """
 SELECT market, metric, step, strftime(last + to_months(step::int), '%Y-%m-%d') AS month,
-  known >= 4 AND (lagged >= 5 OR steps >= 3) AS has_figures, true AS in_order, true AS model_fits
+  known >= 4 AND (lagged >= 3 OR steps >= 3) AS has_figures, true AS in_order, true AS model_fits
 FROM (SELECT market, metric, max(month) AS last, count(v) AS known, count(w) AS steps,
     count(*) FILTER (w IS NOT NULL AND w1 IS NOT NULL AND w12 IS NOT NULL AND w13 IS NOT NULL) AS lagged
   FROM (SELECT *, lag(w, 1) OVER s AS w1, lag(w, 12) OVER s AS w12, lag(w, 13) OVER s AS w13
     FROM (SELECT *, v - lag(v) OVER (PARTITION BY market, metric ORDER BY month) AS w FROM series) d
     WINDOW s AS (PARTITION BY market, metric ORDER BY month)) l GROUP BY 1, 2) t
-CROSS JOIN (SELECT unnest([1, 2, 3]) AS step) n""", needs=("county_kpi",), series="""
-SELECT g.market, metric, month, CASE metric WHEN 'closed_sales' THEN k.closed_sales ELSE k.median_close_price END AS v
-FROM (SELECT market, unnest(generate_series(a, z, INTERVAL 1 month)) AS month
-  FROM (SELECT market, min(cast(yr_mo || '-01' AS date)) AS a, max(cast(yr_mo || '-01' AS date)) AS z
-    FROM county_kpi GROUP BY market) s) g
-CROSS JOIN (SELECT unnest(['median_close_price', 'closed_sales']) AS metric) m
-LEFT JOIN county_kpi k ON k.market = g.market AND k.yr_mo = strftime(month, '%Y-%m')""")
+CROSS JOIN (SELECT unnest([1, 2, 3]) AS step) n""", needs=("county_kpi",), series=_SERIES_SQL)
 def forecast_shape(spark, folder):
     series = county_series(spark, folder)
     by = Window.partitionBy(*_KEYS).orderBy("month")
@@ -77,12 +181,19 @@ def forecast_shape(spark, folder):
          | (F.col("model") == "none") & ~has).alias("model_fits"))
 
 
-@query("forecast_backtest")
+@query("forecast_backtest", """
+SELECT market, metric, round(avg(abs((v - mean) / nullif(v, 0))) * 100, 4) AS mape_pct, count(mean) AS points
+FROM series JOIN made USING (market, metric, month) GROUP BY 1, 2""",
+       needs=("county_kpi",), **_forecast_steps(FORECAST_HOLDOUT, FORECAST_HOLDOUT))
 def forecast_backtest(spark, folder):
     return fc.backtest(county_series(spark, folder), _KEYS)
 
 
-@query("forecast_alert")
+@query("forecast_alert", """
+SELECT market, metric, strftime(month, '%Y-%m-%d') AS month, round(v, 4) AS actual, round(mean, 4) AS expected,
+  round(lo, 4) AS lo, round(hi, 4) AS hi, round((v - mean) / nullif(mean, 0) * 100, 1) AS deviation_pct,
+  coalesce(v NOT BETWEEN lo AND hi, false) AS alert, model
+FROM series JOIN made USING (market, metric, month)""", needs=("county_kpi",), **_forecast_steps(1, 1))
 def forecast_alert(spark, folder):
     return fc.latest_alert(county_series(spark, folder), _KEYS)
 

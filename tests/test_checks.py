@@ -16,7 +16,7 @@ PART = [
     "type_frequency", "missing_profile", "numeric_describe_narrowed", "flag_summary", "iqr_bounds",
     "clean_before_after", "outlier_top5", "monthly_market", "segment_sold", "top_agents_per_county",
     "market_metrics", "densify_months", "rate_enrich", "statement_audit", "result_match", "price_histogram",
-    "isolation_scores",
+    "isolation_scores", "forecast", "forecast_alert",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")

@@ -87,6 +87,23 @@ def test_short_series_fall_back_and_tiny_ones_are_null(spark):
     assert {(r["k"], r["model"]) for r in got} == {("short", "plain"), ("tiny", "none")}
 
 
+def test_steep_series_keep_the_seasonal_model():
+    w = seasonal_differences(60, 0.2, 1.7, 9)
+    a, s, _ = forecast.fit_seasonal(w)
+    assert s > 1.5 and (a, s) == (round(a, 6), round(s, 6))
+    assert forecast.forecast_values(np.concatenate([[0], np.cumsum(w)]) + 50, 3)[3] == "seasonal"
+
+
+def test_as_many_months_as_unknowns():
+    w = seasonal_differences(16, 0.3, 0.4, 10)
+    assert forecast.fit_seasonal(w[:-1]) is None and forecast.fit_seasonal(w) is not None
+
+
+def test_first_of_equal_points_is_taken():
+    # All shocks of a constant difference of 0 are 0, wherever the point lies.
+    assert forecast.fit_plain(np.zeros(8)) == forecast.fit_plain(np.zeros(20))
+
+
 def test_gaps_do_not_stop_a_fit():
     y = np.concatenate([[0], np.cumsum(seasonal_differences(80, 0.3, 0.4, 6))]) + 100
     y[20] = np.nan
