@@ -125,25 +125,59 @@ def _cell(c):
             f" trim(cast({c} AS varchar)), 'nan')")
 
 
-@query("result_match", f"""
-SELECT count(*) FILTER (l AND NOT r) AS left_only, count(*) FILTER (r AND NOT l) AS right_only,
-  count(*) FILTER (l AND r) AS shared, count(*) FILTER (l <> r) = 0 AS same
+def _match_sql(columns: str, one: list[str], two: list[str]) -> str:
+    return f"""
+SELECT {columns}
 FROM (SELECT cells, bool_or(side = 1) AS l, bool_or(side = 2) AS r FROM (
-  SELECT {_CELLS.format(cells=', '.join(map(_cell, ['CountyOrParish', 'n', 'm'])))} AS cells, 1 AS side FROM one
+  SELECT {_CELLS.format(cells=', '.join(map(_cell, one)))} AS cells, 1 AS side FROM one
   UNION ALL
-  SELECT {_CELLS.format(cells=', '.join(map(_cell, ['m', 'place', 'n'])))}, 2 FROM two) u GROUP BY cells) t""",
-       needs=("sold",),
-       one="SELECT CountyOrParish, count(*) AS n, avg(DaysOnMarket) AS m FROM sold GROUP BY 1",
-       two="""SELECT avg(DaysOnMarket) AS m, ' ' || CountyOrParish || ' ' AS place, count(ClosePrice) AS n
-         FROM sold WHERE CountyOrParish <> 'NATION_9' GROUP BY CountyOrParish""")
-def result_match(spark, folder):
-    rows = stages.sold(spark, folder)
+  SELECT {_CELLS.format(cells=', '.join(map(_cell, two)))}, 2 FROM two) u GROUP BY cells) t"""
+
+
+_DIFFER = """count(*) FILTER (l AND NOT r) AS left_only, count(*) FILTER (r AND NOT l) AS right_only,
+  count(*) FILTER (l <> r) = 0 AS same"""
+_MATCH = f"{_DIFFER}, count(*) FILTER (l AND r) AS shared"
+_ONE_SQL = "SELECT CountyOrParish, count(*) AS n, avg(DaysOnMarket) AS m FROM sold GROUP BY 1"
+_TWO_SQL = """SELECT avg(DaysOnMarket) AS m, ' ' || CountyOrParish || ' ' AS place, count(ClosePrice) AS n
+         FROM sold{where} GROUP BY CountyOrParish"""
+
+
+def _two_results(rows, other):
+    """The same question asked twice, with other names, order and spacing."""
     one = rows.groupBy("CountyOrParish").agg(
         F.count(F.lit(1)).alias("n"), F.avg("DaysOnMarket").alias("m"))
-    two = rows.filter(F.col("CountyOrParish") != "NATION_9").groupBy("CountyOrParish").agg(
+    two = other.groupBy("CountyOrParish").agg(
         F.avg("DaysOnMarket").alias("m"), F.count("ClosePrice").alias("n")
     ).select("m", F.concat(F.lit(" "), "CountyOrParish", F.lit(" ")).alias("place"), "n")
-    return matching.compare_results(one, two)
+    return one, two
+
+
+@query("result_match", _match_sql(_MATCH, ["CountyOrParish", "n", "m"], ["m", "place", "n"]), needs=("sold",),
+       one=_ONE_SQL, two=_TWO_SQL.format(where=" WHERE CountyOrParish <> 'NATION_9'"))
+def result_match(spark, folder):
+    rows = stages.sold(spark, folder)
+    return matching.compare_results(*_two_results(rows, rows.filter(F.col("CountyOrParish") != "NATION_9")))
+
+
+@query("result_match_whole", _match_sql(_MATCH, ["CountyOrParish", "n", "m"], ["m", "place", "n"]), needs=("sold",),
+       one=_ONE_SQL, two=_TWO_SQL.format(where=""))
+def result_match_whole(spark, folder):
+    rows = stages.sold(spark, folder)
+    return matching.compare_results(*_two_results(rows, rows))
+
+
+# Two row-level results that differ in the homes of one year.
+@query("result_differences", _match_sql(_DIFFER, ["ListingKey", "days", "price"], ["price", "days", "ListingKey"]),
+       needs=("sold",),
+       one="SELECT ListingKey, DaysOnMarket AS days, ClosePrice AS price FROM sold",
+       two="""SELECT ClosePrice AS price, DaysOnMarket + CASE WHEN YearBuilt = 1960 THEN 5000 ELSE 0 END AS days, ListingKey
+         FROM sold""")
+def result_differences(spark, folder):
+    rows = stages.sold_staged(spark, folder, ["ListingKey", "DaysOnMarket", "ClosePrice", "YearBuilt"])
+    one = rows.select("ListingKey", F.col("DaysOnMarket").alias("days"), F.col("ClosePrice").alias("price"))
+    moved = F.when(F.col("YearBuilt") == 1960, 5000).otherwise(0)
+    two = rows.select(F.col("ClosePrice").alias("price"), (F.col("DaysOnMarket") + moved).alias("days"), "ListingKey")
+    return matching.differences(one, two)
 
 
 # Attempts: events as trials of questions, the outcome spread by event number.

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from parcelmill.operators import calendar, facts, marts, ranking
+from parcelmill.functions.scalar import is_month_text, month_text
+from parcelmill.operators import calendar, facts, marts, ranking, sketches
 from parcelmill.operators.clean import homes_only
 from parcelmill.operators.features import listed_extract, preview, sold_extract
 from parcelmill.plans import stages
 from parcelmill.plans.registry import query
-from parcelmill.plans.views import rate_rows, sold_rows
+from parcelmill.plans.views import rate_rows, sold_rows, table
 from parcelmill.session import stage
 from parcelmill.sources import rates
 
@@ -139,6 +140,32 @@ def rate_monthly(spark, folder):
     return rates.monthly_rates(rate_rows(spark, folder))
 
 
+# The points as a text feed, in which a dot marks a missing value.
+@query("rate_points", """
+SELECT strftime(cast(DATE '1995-01-01' + to_months(cast(event_id % 60 AS int)) AS date), '%Y-%m') AS yr_mo,
+  count(*) AS points, round(avg(value), 4) AS mean
+FROM events WHERE event_id % 9 <> 0 AND value IS NOT NULL GROUP BY 1""")
+def rate_points(spark, folder):
+    text = table(spark, folder, "events").select(
+        F.add_months(F.lit("1995-01-01").cast("date"), (F.col("event_id") % 60).cast("int")).cast("string")
+        .alias("observation_date"),
+        F.when(F.col("event_id") % 9 == 0, ".").otherwise(F.col("value").cast("string")).alias("MORTGAGE"))
+    return rates.tidy_rates(text).groupBy(month_text("date").alias("yr_mo")).agg(
+        F.count(F.lit(1)).alias("points"), F.avg("value").alias("mean"))
+
+
+# Which keys may stand for a period: 'YYYY' or 'YYYY-MM'.
+@query("month_shape", " UNION ALL ".join(f"""
+SELECT '{c}' AS field, count(*) FILTER (regexp_full_match(cast({c} AS varchar), '[0-9]{{4}}(-[0-9]{{2}})?')) AS periods,
+  count(*) AS rows FROM sold""" for c in ("yr_mo", "close_year", "close_month", "PostalCode", "CloseDate")), needs=("sold",))
+def month_shape(spark, folder):
+    fields = ("yr_mo", "close_year", "close_month", "PostalCode", "CloseDate")
+    cells = stages.sold(spark, folder).select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("text")) for c in fields])))
+    return cells.groupBy("field").agg(
+        F.count_if(is_month_text("text")).alias("periods"), F.count(F.lit(1)).alias("rows"))
+
+
 def _enrich_sql(day, source):
     return f"""
 SELECT (SELECT count(*) FROM {source}) AS rows_before, count(*) AS rows_after,
@@ -218,6 +245,23 @@ def segment_sold_county(spark, folder):
     return marts.sold_segments(rows, "CountyOrParish")
 
 
+# The value found from the sketches has a rank near the middle of the rows.
+@query("sketched_medians", """
+SELECT CountyOrParish AS market, count(*) AS rows, true AS within FROM sold_clean
+WHERE CountyOrParish IS NOT NULL AND yr_mo BETWEEN '1994-01' AND '1998-06' GROUP BY 1""", needs=("sold_clean",))
+def sketched_medians(spark, folder):
+    rows = stage(stages.sold_clean(spark, folder, ["CountyOrParish", "yr_mo", "ClosePrice"]).select(
+        F.col("CountyOrParish").alias("market"), "yr_mo", "ClosePrice").filter("market IS NOT NULL"), "sketch-rows")
+    stored = stage(sketches.month_sketches(rows, ["market"], ["ClosePrice"]), "sketches")
+    found = sketches.span_quantiles(stored, ["market"], {"middle": ("ClosePrice", 0.5)}, "1994-01", "1998-06")
+    span = rows.filter(F.col("yr_mo").between("1994-01", "1998-06"))
+    ranks = span.join(found.withColumnRenamed("rows", "n"), "market").groupBy("market").agg(
+        F.max("n").alias("rows"), F.avg((F.col("ClosePrice") < F.col("middle")).cast("int")).alias("below"),
+        F.avg((F.col("ClosePrice") <= F.col("middle")).cast("int")).alias("up_to"))
+    slack = 2 * sketches.rank_error()  # a bound that the check never meets by chance
+    return ranks.select("market", "rows", ((F.col("below") <= 0.5 + slack) & (F.col("up_to") >= 0.5 - slack)).alias("within"))
+
+
 @query("zip_layers", """
 SELECT PostalCode, count(*) AS units, round(median(ClosePrice), 6) AS median_close_price FROM sold_clean
 WHERE yr_mo IN ('1997-03', '1997-04', '1997-05') GROUP BY 1""", needs=("sold_clean",))
@@ -337,6 +381,18 @@ def top_agents_per_county(spark, folder):
     return ranking.top_parties_per_market(rows, "CountyOrParish", "ListAgentFullName")
 
 
+@query("top_offices_per_county", """
+SELECT CountyOrParish, name, volume, units, cast(place AS int) AS place FROM (
+  SELECT *, row_number() OVER (PARTITION BY CountyOrParish ORDER BY volume DESC NULLS LAST, name) AS place FROM (
+    SELECT CountyOrParish, ListOfficeName AS name,
+      cast(sum(cast(round(ClosePrice, 4) AS decimal(18, 4))) AS double) AS volume, count(*) AS units
+    FROM sold_clean WHERE CountyOrParish IS NOT NULL AND ListOfficeName IS NOT NULL GROUP BY 1, 2) g) t
+WHERE place <= 5""", needs=("sold_clean",))
+def top_offices_per_county(spark, folder):
+    rows = stages.sold_clean(spark, folder, ["CountyOrParish", "ListOfficeName", "ClosePrice"])
+    return ranking.top_parties_per_market(rows, "CountyOrParish", "ListOfficeName")
+
+
 @query("growth_leaders", """
 SELECT ListOfficeName, count(*) FILTER (yr_mo = '1997-04') - count(*) FILTER (yr_mo = '1997-03') AS change
 FROM sold_clean WHERE yr_mo IN ('1997-03', '1997-04') GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5""",

@@ -12,7 +12,8 @@ from parcelmill.operators import clean, features, outliers, profile
 from parcelmill.plans import stages
 from parcelmill.plans.registry import query
 from parcelmill.plans.views import sold_rows
-from parcelmill.session import stage
+from parcelmill.session import stage, staged_path
+from parcelmill.sources import sinks
 
 
 # --- frequencies and filters -----------------------------------------------
@@ -256,6 +257,34 @@ def keep_last_per_key(spark, folder):
     return profile.keep_last(rows, ["ListingKey"], ["CloseDate", "ClosePrice"])
 
 
+def _facts(spark, folder, columns):
+    """Sales bucketed by key. The name leaves the catalogue again; the files are
+    read by the plan and go with the staged tables."""
+    path = staged_path(spark, "sale-facts")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"sale_facts_{path.rsplit('-', 1)[1]}"
+    facts = sinks.write_facts(sold_rows(spark, folder).select(*columns), name, path, "ListingKey", buckets)
+    spark.sql(f"DROP TABLE {name}")
+    return facts
+
+
+@query("duplicate_keys_bucketed", """
+SELECT count(*) FILTER (n > 1) AS duplicate_keys, cast(sum(n - 1) AS bigint) AS surplus_rows
+FROM (SELECT ListingKey, count(*) AS n FROM sale GROUP BY 1) t""", needs=("sale",))
+def duplicate_keys_bucketed(spark, folder):
+    return profile.duplicate_keys(_facts(spark, folder, ["ListingKey"]), "ListingKey")
+
+
+@query("keep_last_bucketed", """
+SELECT ListingKey, cast(closed AS varchar) AS CloseDate, round(price, 4) AS ClosePrice FROM (
+  SELECT ListingKey, CloseDate AS closed, ClosePrice AS price,
+    row_number() OVER (PARTITION BY ListingKey ORDER BY CloseDate DESC, ClosePrice DESC) AS k FROM sale) t
+WHERE k = 1""", needs=("sale",))
+def keep_last_bucketed(spark, folder):
+    rows = _facts(spark, folder, ["ListingKey", "CloseDate", "ClosePrice"])
+    return profile.keep_last(rows, ["ListingKey"], ["CloseDate", "ClosePrice"])
+
+
 # --- rule flags ------------------------------------------------------------
 
 def _sums_sql(flags, source):
@@ -434,6 +463,24 @@ def calendar_coverage(spark, folder):
     return features.calendar_coverage(stages.sold(spark, folder), "close_year", "close_month")
 
 
+@query("listed_timeline_days", " UNION ALL ".join(f"""
+SELECT '{c}' AS field, count({c}) AS count, round(avg({c}), 4) AS mean, round(median({c}), 6) AS median,
+  round(quantile_cont({c}, 0.25), 6) AS p25, round(quantile_cont({c}, 0.75), 6) AS p75 FROM listed"""
+       for c in ("listing_to_contract_days", "contract_to_close_days")), needs=("listed",))
+def listed_timeline_days(spark, folder):
+    return features.timeline_summary(stages.listed_staged(
+        spark, folder, ["listing_to_contract_days", "contract_to_close_days"]))
+
+
+@query("listed_calendar_coverage", """
+SELECT (SELECT string_agg(y, ',' ORDER BY y) FROM (SELECT DISTINCT cast(list_year AS varchar) AS y FROM listed) t)
+    AS years, cast(min(list_month) AS int) AS min_month, cast(max(list_month) AS int) AS max_month,
+  min(yr_mo) AS first_month, max(yr_mo) AS last_month, count(DISTINCT yr_mo) AS n_months FROM listed""",
+       needs=("listed",))
+def listed_calendar_coverage(spark, folder):
+    return features.calendar_coverage(stages.listed(spark, folder), "list_year", "list_month")
+
+
 # --- outliers --------------------------------------------------------------
 
 def _fence_sql(price, source):
