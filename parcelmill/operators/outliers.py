@@ -71,30 +71,32 @@ def clean_rate(df: DataFrame) -> DataFrame:
 
 def fence_table(df: DataFrame, fields: dict[str, str]) -> DataFrame:
     """One row per field: quartiles, fence, hits with share of all rows, p1,
-    p99, minimum and maximum. ``df`` carries the flags already."""
+    p99, minimum and maximum.
+
+    The quartiles are found once. They become constants, and the hits are
+    counted against them, so ``df`` needs no flags."""
     names = list(fields)
-    measures = [F.count(F.lit(1)).alias("_rows")]
-    quantiles = []
-    for f, name in fields.items():
-        measures += [
-            F.sum(name).alias(f"{f}|hits"), F.min(F.col(f).cast("double")).alias(f"{f}|min"),
-            F.max(F.col(f).cast("double")).alias(f"{f}|max"),
-        ]
-        quantiles += [
-            Quantile(f, p, f"{f}|{label}")
-            for p, label in ((0.01, "p1"), (0.25, "q1"), (0.75, "q3"), (0.99, "p99"))
-        ]
+    measures = [F.count(F.lit(1)).alias("_rows"), *[
+        side(F.col(f).cast("double")).alias(f"{f}|{name}") for f in names for side, name in ((F.min, "min"), (F.max, "max"))]]
+    quantiles = [Quantile(f, p, f"{f}|{label}") for f in names
+                 for p, label in ((0.01, "p1"), (0.25, "q1"), (0.75, "q3"), (0.99, "p99"))]
     row = summarise(df, (), measures, quantiles)
-    row = row.withColumns({
-        **{f"{f}|iqr": F.col(f"{f}|q3") - F.col(f"{f}|q1") for f in names},
-        **{f"{f}|pct": F.try_divide(F.col(f"{f}|hits"), F.col("_rows")) * 100 for f in names},
-    })
+    row = row.withColumns({f"{f}|iqr": F.col(f"{f}|q3") - F.col(f"{f}|q1") for f in names})
     row = row.withColumns({
         **{f"{f}|lower": F.col(f"{f}|q1") - FENCE * F.col(f"{f}|iqr") for f in names},
         **{f"{f}|upper": F.col(f"{f}|q3") + FENCE * F.col(f"{f}|iqr") for f in names},
     })
+    found = row.first()
+    hits = df.agg(*[
+        F.count_if((F.col(f) < F.lit(found[f"{f}|lower"]).cast("double")) | (F.col(f) > F.lit(found[f"{f}|upper"]).cast("double")))
+        .alias(f"{f}|hits") for f in names])
+    whole = hits.withColumns({
+        **{f"{f}|{c}": F.lit(found[f"{f}|{c}"]).cast("double") for f in names
+           for c in ("q1", "q3", "iqr", "lower", "upper", "p1", "p99", "min", "max")},
+        **{f"{f}|pct": F.try_divide(F.col(f"{f}|hits"), F.lit(found["_rows"])) * 100 for f in names},
+    })
     columns = ["q1", "q3", "iqr", "lower", "upper", "hits", "pct", "p1", "p99", "min", "max"]
-    return rows_from_one(row, names, {c: "{}|" + c for c in columns})
+    return rows_from_one(whole, names, {c: "{}|" + c for c in columns})
 
 
 def before_after(df: DataFrame, fields: Sequence[str]) -> DataFrame:

@@ -499,12 +499,12 @@ FROM (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3,
 
 @query("iqr_bounds", _fence_sql("ClosePrice", "sold_flagged"), needs=("sold_flagged",))
 def iqr_bounds(spark, folder):
-    return outliers.fence_table(stages.sold_flagged(spark, folder), SOLD_OUTLIERS)
+    return outliers.fence_table(stages.sold_staged(spark, folder, list(SOLD_OUTLIERS)), SOLD_OUTLIERS)
 
 
 @query("listed_iqr_bounds", _fence_sql("ListPrice", "listed_flagged"), needs=("listed_flagged",))
 def listed_iqr_bounds(spark, folder):
-    return outliers.fence_table(stages.listed_flagged(spark, folder), LISTED_OUTLIERS)
+    return outliers.fence_table(stages.listed_staged(spark, folder, list(LISTED_OUTLIERS)), LISTED_OUTLIERS)
 
 
 _IQR_FLAGS = [*OUTLIER_FLAGS, "outlier_any_flag"]

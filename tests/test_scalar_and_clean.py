@@ -108,6 +108,18 @@ def test_cast_reports(spark):
         "field": "ClosePrice", "type_before": "string", "type_after": "double", "nulls": 2, "coerced": 1}
 
 
+def test_fence_table_counts_hits_against_its_own_quartiles(spark):
+    values = [float(v) for v in (0, 1, 2, 3, 4, 5, 6, 7, 8)] * 20 + [99.0, -50.0, None]
+    df = spark.createDataFrame([(v,) for v in values], "ClosePrice double")
+    fields = {"ClosePrice": "outlier_price_flag"}
+    row = outliers.fence_table(df, fields).first()
+    flagged = outliers.add_outlier_flags(df, fields).filter("outlier_price_flag = 1").count()
+    assert (row["q1"], row["q3"], row["hits"], row["min"], row["max"]) == (2.0, 6.0, flagged, -50.0, 99.0)
+    assert flagged == 2 and row["pct"] == pytest.approx(200 / len(values))
+    empty = outliers.fence_table(df.limit(0), fields).first()
+    assert (empty["q1"], empty["hits"], empty["pct"]) == (None, 0, None)
+
+
 def test_fences_are_strict_and_quality_leaves_some_flags_out(spark):
     values = [float(v) for v in (0, 1, 2, 3, 4, 5, 6, 7, 8)]  # q1 2, q3 6, fence -4 to 12
     df = spark.createDataFrame([(v,) for v in [*values]], "ClosePrice double")
