@@ -1,20 +1,24 @@
 """Benchmark decontamination by rare seeds and alignment (operator 2).
 
-1. All documents are read once to count in how many of them each word trigram
-   of the test items occurs by chance, that is without another trigram of the
-   same item near it. Copies of an item, however many, do not count: they would
-   make the trigrams that survive in them look common.
-2. The rarer half of each item's trigrams, with ties, are its seeds. The measure
-   is relative to the item, so every item has seeds.
-3. Documents meet items through these seeds. Where seeds of one item lie close
-   together, the passage around them is aligned with the whole item by
-   Smith-Waterman over words, so edited, cut and reordered copies score as well
-   as exact ones. A document is contaminated if the score, divided by the number
-   of words of the item, reaches ``least``.
-
-The items are the small side. They are sent to the tasks in parts of at most
-``PART`` trigrams, so what is broadcast is bounded; a larger benchmark takes more
-passes over the documents. Documents are never shuffled.
+1. The items' trigrams are taken in two shapes: three words in a row, and two in
+   a row with the next but one, which also survives where every third word was
+   edited. All documents are read once to count in how many of them each trigram
+   occurs by chance, that is without another trigram of the same item near it.
+   Copies of an item, however many, do not count: they would make the trigrams
+   that survive in them look common.
+2. Trigrams in at most ``RARE`` of all documents, or as rare as the rarer half of
+   their item's, are its rare seeds.
+3. Documents meet items through the trigrams. A passage that holds a rare seed, or
+   two trigrams close together, is aligned with the whole item by Smith-Waterman
+   over words, so edited, cut and reordered copies score as well as exact ones.
+   Only a passage with fewer words of the item than the score needs is left out
+   before: no alignment could reach the limit. A document is contaminated if the
+   score, divided by the number of words of the item, reaches ``least``.
+
+The items are the small side of this join. Spark deals them into parts of about
+``PART`` words; one part at a time is on the driver and is sent to the tasks, so
+what is broadcast is bounded; a larger benchmark takes more passes over the
+documents. Documents are never shuffled.
 
 Words are runs of letters, digits and underscores in small letters, so case,
 punctuation and white space do not matter. Defined cases: a null or empty text
@@ -30,6 +34,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -37,12 +42,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parcelmill.llm.common import map_batches, texts_of
+from parcelmill.llm.common import map_batches, stage, texts_of
 
 GRAM, PART = 3, 1_000_000
+#: Places of the words of a trigram, by shape.
+SHAPES = ((0, 1, 2), (0, 1, 3))
+#: Share of all documents in which a rare trigram may occur by chance.
+RARE = 1e-3
 #: Alignment: a word that agrees, one that differs or is missing on a side.
-AGREE, DIFFER = 1.0, -0.6
-LEAST = 0.4
+AGREE, DIFFER = 1.0, -0.5
+LEAST = 0.35
 _WORD = re.compile(r"\w+")
 
 
@@ -52,38 +61,43 @@ class Items:
 
     ids: list
     words: list[np.ndarray]
+    sets: list[frozenset[int]]  # the words of each item
     names: dict[str, int]
     grams: np.ndarray  # sorted distinct keys
     owners: list[list[tuple[int, int]]]  # per key: (item, place)
-    seeds: np.ndarray  # per key: whether it is a seed of some item
-    seed_owners: list[list[tuple[int, int]]]
-
-    def keys(self, words: np.ndarray) -> np.ndarray:
-        """A key per place of a text; -1 where a word is in no item."""
-        n = len(words)
-        if n == 0:
-            return np.zeros(0, np.int64)
-        base = len(self.names) + 2
-        padded = np.concatenate([words, np.full(GRAM - 1, -1)]) + 1
-        key = np.zeros(n, np.int64)
-        for i in range(GRAM):
-            key = key * base + padded[i:i + n]
-        whole = np.ones(n, bool)
-        for i in range(GRAM):
-            whole &= padded[i:i + n] > 0
-        return np.where(whole, key, -1)
-
-    def found(self, keys: np.ndarray) -> list[tuple[int, int]]:
-        """(place, trigram) of the keys that the items have."""
+    rare: list[set[int]]  # per key: the items that have it as a rare seed
+    short: list[int]  # items of fewer words than a trigram
+
+    def keys(self, words: np.ndarray) -> list[np.ndarray]:
+        """For each shape a key per place of a text; -1 where a word is in no item."""
+        base, found = len(self.names) + 2, []
+        padded = np.concatenate([words, np.full(SHAPES[-1][-1], -1)]) + 1
+        for shape, places in enumerate(SHAPES):
+            key = np.full(len(words), shape + 1, np.int64)
+            whole = np.ones(len(words), bool)
+            for i in places:
+                part = padded[i:i + len(words)]
+                key = key * base + part
+                whole &= part > 0
+            found.append(np.where(whole, key, -1))
+        return found
+
+    def found(self, words: np.ndarray) -> list[tuple[int, int]]:
+        """(place, trigram) of the trigrams of a text that the items have."""
+        hits: list[tuple[int, int]] = []
         if not len(self.grams):
-            return []
-        where = np.minimum(np.searchsorted(self.grams, keys), len(self.grams) - 1)
-        places = np.flatnonzero(self.grams[where] == keys)
-        return list(zip(places.tolist(), where[places].tolist()))
+            return hits
+        for keys in self.keys(words):
+            some = np.flatnonzero(keys >= 0)
+            keys = keys[some]
+            where = np.minimum(np.searchsorted(self.grams, keys), len(self.grams) - 1)
+            same = self.grams[where] == keys
+            hits += zip(some[same].tolist(), where[same].tolist())
+        return hits
 
     def numbers(self, text: str) -> np.ndarray:
-        get = self.names.get
-        return np.array([get(w, -1) for w in _WORD.findall(text.lower())], np.int64)
+        words = _WORD.findall(text.lower())
+        return np.fromiter(map(self.names.get, words, repeat(-1)), np.int64, len(words))
 
 
 def read_items(rows: list[tuple]) -> Items:
@@ -95,31 +109,33 @@ def read_items(rows: list[tuple]) -> Items:
         if found:
             ids.append(item)
             words.append(np.array([names.setdefault(w, len(names)) for w in found], np.int64))
-    items = Items(ids, words, names, np.zeros(0, np.int64), [], np.zeros(0, bool), [])
+    items = Items(ids, words, [frozenset(w.tolist()) for w in words], names, np.zeros(0, np.int64), [], [],
+                  [k for k, w in enumerate(words) if len(w) < GRAM])
     owners: dict[int, list[tuple[int, int]]] = {}
     for k, w in enumerate(words):
-        for at, key in enumerate(items.keys(w).tolist()):
-            if key >= 0:
-                owners.setdefault(key, []).append((k, at))
+        for keys in items.keys(w):
+            for at, key in enumerate(keys.tolist()):
+                if key >= 0:
+                    owners.setdefault(key, []).append((k, at))
     items.grams = np.array(sorted(owners), np.int64)
     items.owners = [owners[k] for k in items.grams.tolist()]
-    items.seed_owners = [[] for _ in items.owners]
-    items.seeds = np.zeros(len(items.grams), bool)
+    items.rare = [set() for _ in items.owners]
     return items
 
 
-def choose_seeds(items: Items, counts: np.ndarray) -> None:
-    """Mark the rarer half of each item's trigrams, at least eight, with all ties."""
-    of_item: list[list[tuple[int, int, int]]] = [[] for _ in items.ids]
+def choose_seeds(items: Items, counts: np.ndarray, documents: int) -> None:
+    """Mark the rare seeds of each item: its rarer half with all ties, and all that
+    occur in at most ``RARE`` of the documents."""
+    of_item: list[list[tuple[int, int]]] = [[] for _ in items.ids]
     for g, owners in enumerate(items.owners):
-        for k, at in owners:
-            of_item[k].append((int(counts[g]), at, g))
+        for k, _ in owners:
+            of_item[k].append((int(counts[g]), g))
     for k, grams in enumerate(of_item):
-        most = sorted(grams)[:max(8, (len(grams) + 1) // 2)][-1:]
-        for n, at, g in grams:
-            if n <= most[0][0]:
-                items.seeds[g] = True
-                items.seed_owners[g].append((k, at))
+        grams.sort()
+        most = max(grams[(len(grams) - 1) // 2][0], RARE * documents) if grams else 0
+        for n, g in grams:
+            if n <= most:
+                items.rare[g].add(k)
 
 
 def align(text: np.ndarray, item: np.ndarray) -> tuple[float, int, int]:
@@ -142,11 +158,10 @@ def match(text: str, items: Items, least: float = LEAST) -> list[tuple]:
     """(item number, score, first and last place among the words) of each item
     found in a text, its best passage."""
     words = items.numbers(text)
-    hits: dict[int, list[int]] = {}
-    for p, g in items.found(items.keys(words)):
-        if items.seeds[g]:
-            for k, at in items.seed_owners[g]:
-                hits.setdefault(k, []).append(p - at)
+    hits: dict[int, list[tuple[int, bool]]] = {}
+    for p, g in items.found(words):
+        for k, at in items.owners[g]:
+            hits.setdefault(k, []).append((p - at, k in items.rare[g]))
     found = []
     for k, starts in sorted(hits.items()):
         item = items.words[k]
@@ -154,26 +169,32 @@ def match(text: str, items: Items, least: float = LEAST) -> list[tuple]:
         starts.sort()
         best = None
         for group in _close(starts, slack):
-            # One seed alone is chance, unless an item has hardly more.
-            if len(group) < 2 and len(item) > 2 * GRAM:
+            if len(group) < 2 and not group[0][1]:
                 continue
-            low = max(0, group[0] - slack)
-            part = words[low:group[-1] + len(item) + slack]
+            low = max(0, group[0][0] - slack)
+            part = words[low:group[-1][0] + len(item) + slack]
+            if _most(part.tolist(), item.tolist(), items.sets[k]) * AGREE < least * len(item) - 1e-9:
+                continue  # even if all of them agreed in order
             score, last, ends = align(part, item)
             if score >= least * len(item) - 1e-9 and (best is None or score > best[1]):
                 _, first, _ = align(part[last::-1], item[ends::-1])
                 best = (k, score, low + last - first, low + last)
         if best:
             found.append(best)
-    for k, item in enumerate(items.words):
-        if len(item) < GRAM:
-            for p in range(len(words) - len(item) + 1):
-                if np.array_equal(words[p:p + len(item)], item):
-                    found.append((k, float(len(item)), p, p + len(item) - 1))
-                    break
+    for k in items.short:
+        item = items.words[k]
+        for p in range(len(words) - len(item) + 1):
+            if np.array_equal(words[p:p + len(item)], item):
+                found.append((k, float(len(item)), p, p + len(item) - 1))
+                break
     return found
 
 
+def _most(part: list[int], item: list[int], of_item: frozenset[int]) -> int:
+    """No alignment of the two has more words that agree."""
+    return min(sum(map(of_item.__contains__, part)), sum(map(set(part).__contains__, item)))
+
+
 def _slack(item: np.ndarray) -> int:
     """How far a copy may shift a seed against the others."""
     return len(item) // 2 + 4
@@ -182,7 +203,7 @@ def _slack(item: np.ndarray) -> int:
 def by_chance(text: str, items: Items) -> set[int]:
     """Trigrams that a text holds without another one of the same item near."""
     places: dict[int, list[tuple[int, int]]] = {}
-    for p, g in items.found(items.keys(items.numbers(text))):
+    for p, g in items.found(items.numbers(text)):
         for k, at in items.owners[g]:
             places.setdefault(k, []).append((p - at, g))
     alone = set()
@@ -195,36 +216,32 @@ def by_chance(text: str, items: Items) -> set[int]:
     return alone
 
 
-def _close(starts: list[int], slack: int) -> Iterator[list[int]]:
-    """Runs of sorted numbers whose neighbours are at most ``slack`` apart."""
-    run = [starts[0]]
-    for s in starts[1:]:
-        if s - run[-1] > slack:
+def _close(hits: list[tuple[int, bool]], slack: int) -> Iterator[list[tuple[int, bool]]]:
+    """Runs of sorted (place, rare) whose neighbours are at most ``slack`` apart."""
+    run = [hits[0]]
+    for hit in hits[1:]:
+        if hit[0] - run[-1][0] > slack:
             yield run
             run = []
-        run.append(s)
+        run.append(hit)
     yield run
 
 
 def prepare_items(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id",
-                  item_text: str = "text") -> list[Items]:
-    """Items with seeds, in parts of bounded size. Counts cover all of ``docs``."""
-    rows = benchmark.select(F.col(item_id).cast("string"), F.col(item_text)).where(F.length(item_text) > 0)
-    parts: list[list[tuple]] = [[]]
-    size = 0
-    # Items come one Spark partition at a time and leave as bounded parts.
-    for row in sorted(map(tuple, rows.toLocalIterator()), key=lambda r: (r[0] is None, r[0] or "", r[1])):
-        n = len(_WORD.findall(row[1]))
-        if size + n > PART and parts[-1]:
-            parts.append([])
-            size = 0
-        parts[-1].append(row)
-        size += n
-    found = [read_items(part) for part in parts]
-    for items in found:
+                  item_text: str = "text") -> Iterator[Items]:
+    """Items with seeds, one part of about ``PART`` words after the other. Counts
+    cover all of ``docs``."""
+    rows = benchmark.select(benchmark[item_id].cast("string").alias("item"), benchmark[item_text].alias("text"))
+    rows = rows.where(F.length("text") > 0).withColumn("n", F.size(F.split("text", r"(?U)\W+")))
+    rows = stage(rows.withColumn("deal", F.xxhash64(F.monotonically_increasing_id())), "items")
+    parts = int(rows.agg(F.sum("n")).first()[0] or 0) // PART + 1
+    documents = docs.count()
+    for part in range(parts):
+        mine = rows.where(F.pmod("deal", F.lit(parts)) == part).select("item", "text").collect()
+        items = read_items(sorted(map(tuple, mine), key=lambda r: (r[0] is None, r[0] or "", r[1])))
         if items.ids:
-            choose_seeds(items, _document_counts(docs.select(text), items))
-    return [x for x in found if x.ids]
+            choose_seeds(items, _document_counts(docs.select(text), items), documents)
+            yield items
 
 
 def _document_counts(texts: DataFrame, items: Items) -> np.ndarray:

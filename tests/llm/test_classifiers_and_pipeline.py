@@ -271,6 +271,29 @@ def test_edited_copies_are_found_and_clean_texts_stay(spark):
     assert sorted(r.doc_id for r in left.collect()) == [20, 21, 22, 23, 24, 25, 40, 41]
 
 
+def test_matches_equal_the_alignment_of_all_pairs(spark):
+    draw, items, texts = random.Random(11), _items(), []
+    for n, share in enumerate((0.1, 0.2, 0.3, 0.4, 0.6)):
+        for i, (_, item) in enumerate(items):
+            cut = item.split()
+            for k in draw.sample(range(len(cut)), int(share * len(cut))):
+                cut[k] = draw.choice(["edited", "", "two more"])
+            filler = words(300 + 10 * n + i, 120)
+            texts.append((100 * n + i, " ".join(filler[:60] + cut + filler[60:])))
+    # Every third word edited: no three words in a row are left.
+    texts += [(900 + i, " ".join(w if k % 3 else "edited" for k, w in enumerate(item.split()))) for i, (_, item) in enumerate(items)]
+    known = decontam.read_items(items)
+    want = {}
+    for doc, text in texts:
+        for k, item in enumerate(known.words):
+            score = decontam.align(known.numbers(text), item)[0] / len(item)
+            if score >= decontam.LEAST - 1e-9:
+                want[doc, known.ids[k]] = round(score, 9)
+    got = {(r.doc_id, r.item_id): round(r.score, 9) for r in decontam.matches(frame(spark, texts), _benchmark(spark)).collect()}
+    assert got == want
+    assert len([d for d, _ in want if d < 400]) >= 0.9 * 24 and len([d for d, _ in want if d >= 900]) == 6
+
+
 def test_decontamination_in_parts_and_of_empty_tables(spark, monkeypatch):
     monkeypatch.setattr(decontam, "PART", 50)
     docs = frame(spark, [(i, item) for i, (_, item) in enumerate(_items())])
