@@ -1,20 +1,21 @@
 """Exact dedup with compressed radix tries (operator 7).
 
-A key is the length of the text, its SHA-256 and the whole text as bytes, so
-texts of one length and hash share a subtree and equal texts share a terminal.
+A key is the whole text as bytes, so texts with a common beginning share its
+edges and equal texts share a terminal.
 
 1. Where documents are read, each task inserts them into its own trie. A
    terminal stores the row that stays so far and how many rows it stands for.
    So a text with a third of all rows leaves each task as one entry.
 2. These entries, the only rows that carry texts, go to owners by length and
-   hash. An owner gets them in key order and inserts the full byte strings; a
-   subtree is complete as soon as the next length and hash begins, is handed on
-   and freed. Spark's sort keeps on disk what does not fit.
+   hash. An owner gets them in this order and inserts the full byte strings. When
+   its trie is full and the next length and hash begins, all its texts are
+   complete: they are handed on and freed. Spark's sort keeps on disk what does
+   not fit.
 3. Each row looks up what its terminal says.
 
-Spill in step 1: when a trie holds more than ``budget`` bytes, its largest
-subtrees are handed on and forgotten; copies that come later make a new entry,
-which the owner joins with the first. Results do not depend on it.
+Spill in step 1: when a trie holds more than ``budget`` bytes, edges and nodes
+counted, or has a path of more than ``DEPTH`` nodes, its largest subtrees are handed on and forgotten; copies that come later
+make a new entry, which the owner joins with the first. Results do not depend on it.
 
 Equality of groups is decided by the byte strings, never by the hash alone;
 ``drop_copies`` finds the rows that stay by id and SHA-256. A very long text is
@@ -42,26 +43,34 @@ from parcelmill.llm.common import bytes_of, drop_shared, map_batches, stage, wri
 #: Only A-Z become small letters.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 BUDGET = 48 << 20
+#: Bytes that a node takes beside its edge: list, dictionary, row, digest. An estimate
+#: from above for terminals; measured 570 on short rows.
+NODE = 600
+#: A trie with a path of more nodes is cut, as texts that are beginnings of each other
+#: would make every insertion walk through all of them.
+DEPTH = 512
 
 
 class Trie:
     """A radix trie with compressed edges. A node is [edge, children, value]."""
 
-    __slots__ = ("root", "held")
+    __slots__ = ("root", "held", "depth")
 
     def __init__(self) -> None:
         self.root: list = [b"", {}, None]
-        self.held = 0
+        self.held = self.depth = 0
 
     def insert(self, key: bytes) -> list:
         """The terminal node of ``key``; its value is None when it is new."""
-        node, at = self.root, 0
+        node, at, steps = self.root, 0, 0
         while at < len(key):
+            steps += 1
             child = node[1].get(key[at])
             if child is None:
                 new = [key[at:], {}, None]
                 node[1][key[at]] = new
-                self.held += len(new[0])
+                self.depth = max(self.depth, steps)
+                self.held += len(new[0]) + NODE
                 return new
             edge = child[0]
             if key.startswith(edge, at):
@@ -71,6 +80,7 @@ class Trie:
             middle = [edge[:same], {edge[same]: child}, None]
             child[0] = edge[same:]
             node[1][key[at]] = middle
+            self.held += NODE
             node, at = middle, at + same
         return node
 
@@ -83,22 +93,37 @@ class Trie:
                 yield key, node[2]
             todo += [(child, key) for child in node[1].values()]
 
+    def full(self, budget: int) -> bool:
+        return self.held > budget or self.depth > DEPTH
+
     def split_off(self, most: int) -> Iterator[tuple[bytes, object]]:
-        """Hand on and forget whole subtrees, largest first, until at most
-        ``most`` bytes of edges are held."""
-        sizes = []
-        for first, child in self.root[1].items():
-            total, todo = 0, [child]
-            while todo:
-                node = todo.pop()
-                total += len(node[0])
-                todo += node[1].values()
-            sizes.append((total, first))
-        for total, first in sorted(sizes, reverse=True):
+        """Hand on and forget whole subtrees, largest first, until at most ``most``
+        bytes are held. A subtree with more than half of all is cut further down."""
+        self.depth = 0
+        node, prefix = self.root, b""
+        for _ in range(64):
+            sizes = sorted(((_size(child), first) for first, child in node[1].items()), reverse=True)
+            prefix += node[0]
+            if not sizes or sizes[0][0] <= self.held // 2 or not node[1][sizes[0][1]][1]:
+                break
+            node = node[1][sizes[0][1]]
+        else:
+            sizes = sorted(((_size(child), first) for first, child in node[1].items()), reverse=True)
+            prefix += node[0]
+        for size, first in sizes:
             if self.held <= most:
                 return
-            self.held -= total
-            yield from self.terminals(self.root[1].pop(first))
+            self.held -= size
+            yield from self.terminals(node[1].pop(first), prefix)
+
+
+def _size(node: list) -> int:
+    total, todo = 0, [node]
+    while todo:
+        node = todo.pop()
+        total += len(node[0]) + NODE
+        todo += node[1].values()
+    return total
 
 
 def _common(edge: bytes, key: bytes, at: int) -> int:
@@ -113,15 +138,6 @@ def _common(edge: bytes, key: bytes, at: int) -> int:
     return low
 
 
-#: Where the text begins in a key: after 8 bytes of hash, 8 of length, 24 of hash.
-#: The hash comes first so that the subtrees below the root are of like size.
-_HEAD = 40
-
-
-def _key(text: bytes, digest: bytes) -> bytes:
-    return digest[:8] + len(text).to_bytes(8, "big") + digest[8:] + text
-
-
 def _better(a: tuple, b: tuple, largest: bool) -> tuple:
     """Of (id, row), the one that stays; a null id counts as the smallest id."""
     order = lambda x: (x[0] is not None, x[0] if x[0] is not None else 0, -x[1])
@@ -147,7 +163,7 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ke
     def entries(found: Iterator[tuple[bytes, list]], size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
         part, held = [], 0
         for key, (best, rep, count, digest) in found:
-            part.append((best[0], best[1], rep, digest, key[_HEAD:], count))
+            part.append((best[0], best[1], rep, digest, key, count))
             held += len(key)
             if held >= size:
                 yield _batch(part, types)
@@ -162,7 +178,7 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ke
             for row, data in zip(batch.column(0).to_pylist(), bytes_of(batch.column(1))):
                 data = data.translate(LOWER)
                 digest = hashlib.sha256(data).digest()
-                node = trie.insert(_key(data, digest))
+                node = trie.insert(data)
                 seq += 1
                 if node[2] is None:
                     node[2] = [(row, seq), seq, 1, digest]
@@ -171,8 +187,8 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ke
                     node[2][2] += 1
                 out.append((row, seq, node[2][1], digest, None, None))
             yield _batch(out, types)
-            if trie.held > budget:
-                yield from entries(trie.split_off(budget // 2))
+            if trie.full(budget):
+                yield from entries(trie.split_off(min(budget, trie.held) // 2))
         yield from entries(trie.terminals())
 
     path = write_shared(map_batches(rows, in_tasks, local), "tries")
@@ -195,9 +211,11 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ke
             out = []
             for row, seq, rep, digest, data, count in zip(*(c.to_pylist() for c in batch.columns)):
                 if (digest, len(data)) != now:
-                    out += done()
-                    trie, now = Trie(), (digest, len(data))
-                node = trie.insert(_key(data, digest))
+                    if trie.full(budget // 4):  # complete: no later row has one of its texts
+                        out += done()
+                        trie = Trie()
+                    now = digest, len(data)
+                node = trie.insert(data)
                 if node[2] is None:
                     node[2] = [(row, seq), [rep], count]
                 else:

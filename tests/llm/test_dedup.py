@@ -62,6 +62,34 @@ def test_trie_keeps_all_keys_and_spills_subtrees():
     assert gone and not gone.keys() & left.keys() and {**gone, **left} == keys
 
 
+def test_tries_count_their_nodes_and_cut_long_paths():
+    draw = random.Random(4)
+    short = lambda i: b"%d" % draw.randint(0, 10**9)
+    shared = lambda i: b"one beginning of all " + short(i)
+    nested = lambda i: b"a" * (i % 700)
+    for make in (short, shared, nested):
+        trie, keys, gone = exactdup.Trie(), set(), []
+        for i in range(5000):
+            key = make(i)
+            keys.add(key)
+            node = trie.insert(key)
+            node[2] = 1
+            if trie.full(400 * exactdup.NODE):
+                before, some = trie.held, dict(trie.split_off(trie.held // 2))
+                gone += some
+                assert trie.held <= before // 2 + 65 * 2 * exactdup.NODE and trie.depth == 0
+        assert set(gone) | {k for k, _ in trie.terminals()} == keys
+        assert exactdup._size(trie.root) == trie.held + exactdup.NODE
+
+
+def test_texts_that_begin_each_other_are_grouped(spark, monkeypatch):
+    monkeypatch.setattr(exactdup, "DEPTH", 20)
+    texts = [(i, "Ab" * (i % 90)) for i in range(400)]
+    got = exactdup.exact_groups(frame(spark, texts)).collect()
+    assert len(got) == 400 and sum(r.kept for r in got) == 90
+    assert all(r.keep_id == max(range(r.doc_id % 90, 400, 90)) for r in got)
+
+
 def _set(text):
     w = [x for x in re.split(r"[\x20\x09-\x0D]+", _lower(text)) if x]
     return {tuple(w[i:i + 5]) for i in range(max(len(w) - 4, 1))} if w else set()
