@@ -45,7 +45,7 @@ from pyspark.sql import types as T
 from parcelmill.llm.common import map_batches, stage, texts_of
 
 GRAM, PART = 3, 1_000_000
-#: Places of the words of a trigram, by shape.
+#: Places of the words of a trigram, by shape; the first two are the same.
 SHAPES = ((0, 1, 2), (0, 1, 3))
 #: Share of all documents in which a rare trigram may occur by chance.
 RARE = 1e-3
@@ -68,31 +68,30 @@ class Items:
     rare: list[set[int]]  # per key: the items that have it as a rare seed
     short: list[int]  # items of fewer words than a trigram
 
-    def keys(self, words: np.ndarray) -> list[np.ndarray]:
-        """For each shape a key per place of a text; -1 where a word is in no item."""
-        base, found = len(self.names) + 2, []
-        padded = np.concatenate([words, np.full(SHAPES[-1][-1], -1)]) + 1
-        for shape, places in enumerate(SHAPES):
-            key = np.full(len(words), shape + 1, np.int64)
-            whole = np.ones(len(words), bool)
-            for i in places:
-                part = padded[i:i + len(words)]
-                key = key * base + part
-                whole &= part > 0
-            found.append(np.where(whole, key, -1))
-        return found
+    def keys(self, words: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each shape the places of a text where all its words are in items,
+        and their keys."""
+        base, n = len(self.names) + 1, len(words)
+        known = words >= 0
+        # Both shapes begin with two words in a row.
+        two = np.flatnonzero(known[:-1] & known[1:])
+        begun = words[two] * base + words[two + 1] if len(two) else two
+        for shape, (_, _, last) in enumerate(SHAPES):
+            some = two + last < n
+            places, key = two[some], begun[some]
+            third = words[places + last]
+            some = third >= 0
+            yield places[some], (key[some] * base + third[some]) * len(SHAPES) + shape
 
     def found(self, words: np.ndarray) -> list[tuple[int, int]]:
         """(place, trigram) of the trigrams of a text that the items have."""
         hits: list[tuple[int, int]] = []
-        if not len(self.grams):
-            return hits
-        for keys in self.keys(words):
-            some = np.flatnonzero(keys >= 0)
-            keys = keys[some]
+        for places, keys in self.keys(words):
+            if not len(self.grams) or not len(keys):
+                continue
             where = np.minimum(np.searchsorted(self.grams, keys), len(self.grams) - 1)
             same = self.grams[where] == keys
-            hits += zip(some[same].tolist(), where[same].tolist())
+            hits += zip(places[same].tolist(), where[same].tolist())
         return hits
 
     def numbers(self, text: str) -> np.ndarray:
@@ -113,10 +112,9 @@ def read_items(rows: list[tuple]) -> Items:
                   [k for k, w in enumerate(words) if len(w) < GRAM])
     owners: dict[int, list[tuple[int, int]]] = {}
     for k, w in enumerate(words):
-        for keys in items.keys(w):
-            for at, key in enumerate(keys.tolist()):
-                if key >= 0:
-                    owners.setdefault(key, []).append((k, at))
+        for places, keys in items.keys(w):
+            for at, key in zip(places.tolist(), keys.tolist()):
+                owners.setdefault(key, []).append((k, at))
     items.grams = np.array(sorted(owners), np.int64)
     items.owners = [owners[k] for k in items.grams.tolist()]
     items.rare = [set() for _ in items.owners]
