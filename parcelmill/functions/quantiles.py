@@ -1,8 +1,9 @@
 """Grouped aggregates with exact quantiles.
 
 Spark's ``percentile`` keeps every distinct value of a group in one buffer.
-That is the fastest way while groups are small, and it is used behind a check
-of the largest group. Beyond the check the quantiles are found by narrowing:
+That is the fastest way while groups are small, and it is used for all groups
+up to a size. The quantiles of larger groups are found by narrowing, so that the
+tables of bins grow with the number of large groups, not of all:
 
 1. count rows per coarse value bin, a small result because the counts combine
    before the shuffle, however large the group is;
@@ -69,8 +70,19 @@ def summarise(
         return df.groupBy(*keys).agg(*measures)
     if not exact:
         return _one_pass(df, keys, measures, quantiles, approximate=True)
-    if largest_group(df, keys) <= group_rows:
+    sizes = group_sizes(df, keys)
+    seen = sizes.agg(F.count(F.lit(1)).alias("groups"), F.count_if(F.col("_n") > group_rows).alias("large")).first()
+    if not seen["large"]:
         return _one_pass(df, keys, measures, quantiles, approximate=False)
+    if seen["large"] < seen["groups"]:
+        # At most one key tuple per ``group_rows`` rows.
+        large = F.broadcast(stage(sizes.filter(F.col("_n") > group_rows).select(*keys), "large-groups"))
+        return _one_pass(df.join(large, keys, "left_anti"), keys, measures, quantiles, approximate=False).unionByName(
+            _narrowed(df.join(large, keys, "left_semi"), keys, measures, quantiles))
+    return _narrowed(df, keys, measures, quantiles)
+
+
+def _narrowed(df, keys, measures, quantiles) -> DataFrame:
     found = narrowed_quantiles(df, keys, quantiles)
     if keys:
         base = df.groupBy(*keys).agg(*measures) if measures else df.select(*keys).distinct()
@@ -84,12 +96,14 @@ def summarise(
     )
 
 
+def group_sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(*keys, _n) with the rows of each group."""
+    return _known_keys(df, keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+
+
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     """Rows in the largest group; one small job over the key columns."""
-    if not keys:
-        return df.count()
-    sizes = _known_keys(df, keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
+    return group_sizes(df, keys).agg(F.max("_n")).first()[0] or 0
 
 
 def _known_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -81,3 +81,20 @@ def test_approximate_needs_no_check(spark, rows):
     df = spark.createDataFrame(rows)
     got = summarise(df, [], [], [median("skewed", "m")], exact=False).first()["m"]
     assert abs(got - rows["skewed"].median()) / rows["skewed"].median() < 0.05
+
+
+def test_only_large_groups_are_narrowed(spark, rows, monkeypatch):
+    from parcelmill.functions import quantiles
+
+    narrowed, narrow = [], quantiles.narrowed_quantiles
+
+    def noted(df, keys, wanted):
+        narrowed.extend(r["g"] for r in df.select("g").distinct().collect())
+        return narrow(df, keys, wanted)
+
+    monkeypatch.setattr(quantiles, "narrowed_quantiles", noted)
+    got = summarise(spark.createDataFrame(rows), ["g"], [F.count(F.lit(1)).alias("n")], WANTED, group_rows=500)
+    assert narrowed == ["hot"]
+    got, want = got.toPandas().set_index("g").sort_index(), expected(rows, ["g"]).sort_index()
+    assert list(got["n"]) == list(rows.groupby("g").size().sort_index())
+    np.testing.assert_allclose(got[want.columns].to_numpy(), want.to_numpy(), rtol=1e-12)
