@@ -25,12 +25,14 @@ def row_sets(df: DataFrame) -> DataFrame:
     return df.select(_cells(df).alias("cells")).distinct()
 
 
-def compare_results(left: DataFrame, right: DataFrame) -> DataFrame:
-    """(left_only, right_only, shared, same) of two results as row sets."""
-    sides = row_sets(left).withColumn("_side", F.lit(1)).unionByName(
-        row_sets(right).withColumn("_side", F.lit(2))
-    )
-    seen = sides.groupBy("cells").agg(F.sum("_side").alias("seen"))
+def compare_results(left: DataFrame, right: DataFrame, tasks: int | None = None) -> DataFrame:
+    """(left_only, right_only, shared, same) of two results as row sets. With
+    ``tasks`` the rows are dealt into so many before they are grouped."""
+    sides = left.select(_cells(left).alias("cells"), F.lit(1).alias("_side")).unionByName(
+        right.select(_cells(right).alias("cells"), F.lit(2).alias("_side")))
+    if tasks:
+        sides = sides.repartition(tasks, "cells")
+    seen = sides.groupBy("cells").agg(F.bit_or("_side").alias("seen"))
     return seen.agg(
         F.count_if(F.col("seen") == 1).alias("left_only"),
         F.count_if(F.col("seen") == 2).alias("right_only"),
@@ -40,6 +42,8 @@ def compare_results(left: DataFrame, right: DataFrame) -> DataFrame:
 
 #: Most buckets of a fingerprint, so that it fits the driver whatever the rows.
 BUCKETS = 4096
+#: Rows that one task compares, so that its memory does not grow with the results.
+TASK_ROWS = 100_000
 
 
 def _bucket(df: DataFrame, buckets: int) -> Column:
@@ -62,25 +66,35 @@ def fingerprints(df: DataFrame, buckets: int = BUCKETS) -> DataFrame:
             (f"{h}_low", F.col(h).bitwiseAND(low)), (f"{h}_high", F.floor(F.col(h) / half)))])
 
 
-def differing_buckets(left: DataFrame, right: DataFrame, buckets: int = BUCKETS) -> list[int]:
-    """Buckets whose rows are not the same with the same repeats. The list is
-    no longer than ``buckets``."""
+def _uneven(left: DataFrame, right: DataFrame, buckets: int) -> dict[int, int]:
+    """Rows of both sides in each bucket whose rows are not the same."""
     sides = fingerprints(left, buckets).unionByName(fingerprints(right, buckets))
     facts = [c for c in sides.columns if c != "bucket"]
-    uneven = sides.groupBy("bucket").agg(F.count(F.lit(1)).alias("_sides"), *[
+    seen = sides.groupBy("bucket").agg(F.count(F.lit(1)).alias("_sides"), F.sum("rows").alias("_rows"), *[
         (F.min(c) != F.max(c)).alias(c) for c in facts])
-    found = uneven.filter((F.col("_sides") == 1) | F.greatest(*[F.col(c).cast("int") for c in facts]).cast("boolean"))
-    return sorted(r["bucket"] for r in found.select("bucket").collect())
+    found = seen.filter((F.col("_sides") == 1) | F.greatest(*[F.col(c).cast("int") for c in facts]).cast("boolean"))
+    return {r["bucket"]: r["_rows"] for r in found.select("bucket", "_rows").collect()}
+
+
+def differing_buckets(left: DataFrame, right: DataFrame, buckets: int = BUCKETS) -> list[int]:
+    """Buckets whose rows are not the same with the same repeats. The list is
+    no longer than ``buckets``."""
+    return sorted(_uneven(left, right, buckets))
 
 
-def differences(left: DataFrame, right: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+def differences(left: DataFrame, right: DataFrame, buckets: int = BUCKETS, task_rows: int = TASK_ROWS) -> DataFrame:
     """(left_only, right_only, same) as ``compare_results`` gives them. Only
     buckets with another fingerprint are compared row by row, so equal results
     shuffle no rows; repeats alone make a bucket differ, and comparing it then
-    finds nothing."""
-    uneven = differing_buckets(left, right, buckets)
-    kept = [df.filter(_bucket(df, buckets).isin(uneven)) if uneven else df.limit(0) for df in (left, right)]
-    return compare_results(*kept).select("left_only", "right_only", "same")
+    finds nothing. The rows compared are dealt into tasks of about ``task_rows``."""
+    uneven = _uneven(left, right, buckets)
+    sides = left, right
+    if not uneven:
+        sides = [df.limit(0) for df in sides]
+    elif len(uneven) < buckets:
+        sides = [df.filter(_bucket(df, buckets).isin(sorted(uneven))) for df in sides]
+    tasks = sum(uneven.values()) // task_rows + 1
+    return compare_results(*sides, tasks).select("left_only", "right_only", "same")
 
 
 def score_attempts(attempts: DataFrame) -> DataFrame:

@@ -97,6 +97,23 @@ def test_few_changed_rows_leave_most_buckets_alone(spark):
     assert tuple(matching.differences(a, b).first()) == (2, 2, False)
 
 
+def test_compared_rows_are_dealt_by_their_number(spark, monkeypatch):
+    told, compare = [], matching.compare_results
+
+    def noted(left, right, tasks=None):
+        told.append(tasks)
+        return compare(left, right, tasks)
+
+    monkeypatch.setattr(matching, "compare_results", noted)
+    one = spark.range(400).selectExpr("concat('k', id) AS k", "id AS v")
+    two = one.selectExpr("CASE WHEN v % 2 = 0 THEN v + 1000 ELSE v END AS v", "k").unionByName(one.filter("v = 1"))
+    got = matching.differences(one, two, task_rows=100).first()
+    assert (got["left_only"], got["right_only"], got["same"]) == (200, 200, False)
+    wide = matching.differences(one, two, 1, task_rows=100).first()
+    assert wide == got and told[1] == 9
+    assert matching.differences(one, one, task_rows=100).first()["same"] and told[2] == 1
+
+
 def test_only_sums_of_buckets_are_shuffled(spark):
     df = spark.range(100).select(F.col("id").alias("x"))
     plan = matching.fingerprints(df)._jdf.queryExecution().executedPlan().toString()
