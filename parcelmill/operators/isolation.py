@@ -102,6 +102,36 @@ def grow_forest(df: DataFrame, features: list[str], trees: int = FOREST_TREES,
     return bags.groupBy("tree").applyInPandas(one, NODE_SCHEMA)
 
 
+def full_trees(table: pd.DataFrame, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Feature, threshold and path length by tree and node, with every leaf
+    carried down to the last level: all rows go left below it."""
+    trees = int(table["tree"].max()) + 1
+    feature = np.full((trees, 2 << depth), -1, dtype=np.int64)
+    threshold = np.zeros((trees, 2 << depth))
+    length = np.zeros((trees, 2 << depth), dtype=np.int64)
+    at = (table["tree"].to_numpy(), table["node"].to_numpy())
+    feature[at], threshold[at], length[at] = table["feature"], table["threshold"], table["length"]
+    for node in range(1, 1 << depth):
+        ends = feature[:, node] < 0
+        length[ends, 2 * node] = length[ends, node]
+    threshold[feature < 0] = np.inf
+    return np.maximum(feature, 0), threshold, length
+
+
+def path_lengths(x: np.ndarray, feature: np.ndarray, threshold: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Sum over the trees of the path lengths of each row, in parts of ``STEP``."""
+    values, first = x.ravel(), np.arange(len(x)) * x.shape[1]
+    total = np.zeros(len(x), dtype=np.int64)
+    for f, cut, ends in zip(feature, threshold, length):
+        node = np.ones(len(x), dtype=np.int64)
+        for _ in range(len(f).bit_length() - 2):
+            right = values.take(f.take(node) + first) > cut.take(node)
+            node += node
+            node += right
+        total += ends.take(node)
+    return total
+
+
 def score_column(nodes: DataFrame, features: list[str], bag: int) -> Column:
     """Anomaly score of a row, -1 (most anomalous) to 0; a value that is not a
     number goes left.
@@ -113,14 +143,8 @@ def score_column(nodes: DataFrame, features: list[str], bag: int) -> Column:
     ship(nodes.sparkSession)
     # Bounded by trees x 2 x bag, whatever the size of the scored table.
     table = nodes.toPandas()
-    width = int(table["node"].max()) + 1
-    trees = int(table["tree"].max()) + 1
-    feature = np.full((trees, width), -1, dtype=np.int32)
-    threshold = np.zeros((trees, width))
-    length = np.zeros((trees, width), dtype=np.int64)
-    at = (table["tree"].to_numpy(), table["node"].to_numpy())
-    feature[at], threshold[at], length[at] = table["feature"], table["threshold"], table["length"]
     depth = int(table["node"].max()).bit_length() - 1
+    feature, threshold, length = full_trees(table, depth)
     scale = expected_length(bag) or 1.0
     shared = nodes.sparkSession.sparkContext.broadcast((feature, threshold, length))
 
@@ -128,18 +152,7 @@ def score_column(nodes: DataFrame, features: list[str], bag: int) -> Column:
     def score(*columns: pd.Series) -> pd.Series:
         feature, threshold, length = shared.value
         x = np.column_stack([c.to_numpy(dtype=float) for c in columns])
-        rows = np.arange(len(x))
-        total = np.zeros(len(x), dtype=np.int64)
-        for t in range(len(feature)):
-            node = np.ones(len(x), dtype=np.int64)
-            for _ in range(depth):
-                f = feature[t, node]
-                inner = f >= 0
-                if not inner.any():
-                    break
-                right = x[rows, np.maximum(f, 0)] > threshold[t, node]
-                node = np.where(inner, 2 * node + right, node)
-            total += length[t, node]
+        total = path_lengths(x, feature, threshold, length)
         return pd.Series(-np.power(2.0, -total / STEP / len(feature) / scale))
 
     return score(*[F.col(f).cast("double") for f in features])

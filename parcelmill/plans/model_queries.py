@@ -213,9 +213,11 @@ def forecast_error(spark, folder):
 _SALE_KEY = ["ListingKey", "CloseDate", "ListOfficeName"]
 
 
-def scored_sales(spark, folder):
-    rows = stages.sold_flagged(
-        spark, folder, [*_SALE_KEY, "City", "CountyOrParish", "PropertySubType", *FOREST_FEATURES])
+def scored_sales(spark, folder, *shown):
+    """Scored sales with the columns ``shown`` beside the key, the features and the flag."""
+    wanted = [*_SALE_KEY, *shown, *FOREST_FEATURES]
+    # The rule flags are left behind: the rows are written twice on the way.
+    rows = stages.sold_flagged(spark, folder, wanted).select(*wanted, "quality_issue_flag")
     return isolation.isolation_scores(rows, key=_SALE_KEY)
 
 
@@ -302,7 +304,8 @@ SELECT ListingKey, City, CountyOrParish, PropertySubType, round(ClosePrice, 4) A
 FROM (SELECT * FROM forest_labels WHERE is_anomaly AND quality_issue_flag = 0
   ORDER BY forest_labels.anomaly_score, ListingKey LIMIT {FOREST_EXAMPLES}) t""", needs=("sold_flagged",), **_forest_steps())
 def novel_anomalies(spark, folder):
-    return isolation.most_anomalous(scored_sales(spark, folder), "ListingKey").select(
+    scored = scored_sales(spark, folder, "City", "CountyOrParish", "PropertySubType")
+    return isolation.most_anomalous(scored, "ListingKey").select(
         "ListingKey", "City", "CountyOrParish", "PropertySubType", "ClosePrice", "LivingArea",
         "BedroomsTotal", "BathroomsTotalInteger", "price_per_sqft", "YearBuilt", "anomaly_score")
 

@@ -183,6 +183,28 @@ def test_scores_equal_a_walk_down_each_tree(spark):
     np.testing.assert_allclose(got["s"], want)
 
 
+def test_full_trees_give_the_walk_of_each_row():
+    rng = np.random.default_rng(5)
+    x = np.round(rng.normal(size=(300, 3)), 1)
+    nodes = [(t, *n) for t in range(7) for n in isolation.grow_tree(x[rng.integers(0, 300, 40 if t else 1)], 1, t)]
+    table = pd.DataFrame(nodes, columns=["tree", "node", "feature", "threshold", "length"])
+    by = {(r.tree, r.node): r for r in table.itertuples()}
+    x[3, 1], x[4, 0], x[5] = np.nan, np.inf, -np.inf
+    want = []
+    for row in x:
+        total = 0
+        for t in range(7):
+            n = 1
+            while by[t, n].feature >= 0:
+                n = 2 * n + bool(row[by[t, n].feature] > by[t, n].threshold)
+            total += by[t, n].length
+        want.append(total)
+    depth = int(table["node"].max()).bit_length() - 1
+    assert list(isolation.path_lengths(x, *isolation.full_trees(table, depth))) == want
+    single = table[(table["tree"] == 0)]
+    assert len(single) == 1 and set(isolation.path_lengths(x, *isolation.full_trees(single, 0))) == {0}
+
+
 def test_a_threshold_leaves_rows_on_both_sides():
     close = np.array([[1.0], [np.nextafter(1.0, 2)]])
     for seed in range(20):
