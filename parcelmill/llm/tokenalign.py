@@ -52,6 +52,8 @@ from parcelmill.llm.pieces import Memory, read_model
 SPACE = "▁"
 #: Parts that a task remembers, twice this at most, and the longest of them.
 PARTS, LONGEST_PART = 120_000, 64
+#: Parts that are encoded as one text, and the word in front of them.
+TOGETHER, FIRST = 1000, "a"
 MARKS = frozenset(".,;:!?")
 _LOOSE = re.compile(rf"\s\s|^\s|\s$|{SPACE}")
 #: Characters that the libraries are given at once.
@@ -208,6 +210,39 @@ def _aligned(a: list[int], b: list[int], pair: Pair) -> Aligned:
     return len(a), len(b), len(groups), ";".join(groups), codes.tobytes()
 
 
+def align_parts(parts: list[str], pair: Pair) -> list[Aligned]:
+    """Each part aligned, see ``_segments``. They are encoded as one text, whose
+    groups end wherever a part does; where that text does not come back, one by one."""
+    text = "".join([p if p[:1] == "\n" else " " + p for p in (FIRST, *parts)])
+    (a, b), = pair.encode([text[1:]])
+    found = _split(a, b, list(accumulate([len(p.encode()) + (p[:1] != "\n") for p in (FIRST, *parts)])), pair) if a else []
+    if len(found) != len(parts) + 1:
+        return [_aligned(a, b, pair) for a, b in pair.encode_parts(parts)]
+    return found[1:]
+
+
+def _split(a: list[int], b: list[int], ends: list[int], pair: Pair) -> list[Aligned]:
+    """The aligned pieces of one text that end at ``ends``, up to the first end that is none of a group."""
+    a_cuts, b_cuts, a_ends, b_ends = cuts(list(map(pair.a_sizes.__getitem__, a)), list(map(pair.b_sizes.__getitem__, b)))
+    found, codes, groups = [], [], []
+    i = j = a_from = b_from = 0
+    left = iter(ends)
+    end = next(left)
+    for m, n in zip(a_cuts, b_cuts):
+        if m - i == 1 and n - j == 1:
+            codes.append(a[i] << 32 | b[j])
+            groups.append(f"{a[i]}|{b[j]}")
+        else:
+            x, y = a[i:m], b[j:n]
+            codes += links_of(x, y, a_ends[i:m], b_ends[j:n])
+            groups.append(",".join(map(str, x)) + "|" + ",".join(map(str, y)))
+        i, j = m, n
+        if a_ends[m - 1] == end:
+            found.append((m - a_from, n - b_from, len(groups), ";".join(groups), array("q", codes).tobytes()))
+            a_from, b_from, codes, groups, end = m, n, [], [], next(left, 0)
+    return found
+
+
 def _joined(parts: Iterable[Aligned]) -> Aligned:
     a, b, groups, names, codes = zip(*parts)
     # A part that does not come back has no tokens.
@@ -240,11 +275,13 @@ def align_texts(texts: list[str], pair: Pair) -> list[Aligned]:
     heads = {h: pair.parts.get(h) for h in set(marked.values()) if h not in known}
     new = [p for p in new if p not in marked and p not in heads] + [h for h, told in heads.items() if told is None]
     known.update((h, told) for h, told in heads.items() if told is not None)
-    for k in range(0, len(new), 4000):
-        for part, (a, b) in zip(new[k:k + 4000], pair.encode_parts(new[k:k + 4000])):
-            known[part] = told = _aligned(a, b, pair)
-            if len(part) <= LONGEST_PART:
-                pair.parts.put(part, told)
+    short = [p for p in new if len(p) <= LONGEST_PART]
+    for k in range(0, len(short), TOGETHER):
+        for part, told in zip(short[k:k + TOGETHER], align_parts(short[k:k + TOGETHER], pair)):
+            known[part] = told
+            pair.parts.put(part, told)
+    long = [p for p in new if len(p) > LONGEST_PART]
+    known.update((p, _aligned(a, b, pair)) for p, (a, b) in zip(long, pair.encode_parts(long)))
     for part, head in marked.items():
         known[part] = told = _joined([known[head], pair.mark(part[-1])])
         if len(part) <= LONGEST_PART:
