@@ -287,6 +287,27 @@ def test_model_learns_and_ranks_its_drivers(spark, homes, tmp_path):
     assert PipelineModel.load(str(tmp_path / "model")).transform(test.limit(1)).count() == 1
 
 
+def test_trees_grow_from_staged_vectors_in_even_pieces(spark, homes, monkeypatch):
+    seen = []
+
+    class Watched(valuation.GBTRegressor):
+        def fit(self, dataset, params=None):
+            seen.append(dataset)
+            return super().fit(dataset, params)
+
+    monkeypatch.setattr(valuation, "GBTRegressor", Watched)
+    train = valuation.split_by_month(homes)[0].coalesce(1)
+    model = valuation.fit_value_model(train, maxIter=2, maxDepth=2)
+    grown, = seen
+    assert grown.columns == ["features", "label"]
+    assert all("/value-vectors-" in path for path in grown.inputFiles())
+    sizes = [r["count"] for r in grown.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= spark.sparkContext.defaultParallelism and max(sizes) - min(sizes) <= len(sizes)
+    built = model.transform(train).select("features", "label")
+    assert grown.exceptAll(built).isEmpty() and built.exceptAll(grown).isEmpty()
+    assert grown.schema["features"].metadata == built.schema["features"].metadata != {}
+
+
 class Formula:
     """Stands for a model: predicts 3 a + b * c and keeps what it is given."""
 
