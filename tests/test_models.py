@@ -388,6 +388,28 @@ def test_attributions_equal_all_subsets(spark, homes, bits, monkeypatch):
     assert sum(t.mean() for t in trees) == pytest.approx(sum(_shapley_by_subsets(rows, vectors[0])[1] for rows in by_tree.values()))
 
 
+def test_paths_of_one_length_share_their_points(monkeypatch):
+    rng = np.random.default_rng(5)
+    splits = tuple((k, k % 3, float(rng.normal()), None) for k in range(7))
+    leaves = tuple(
+        attribution.Leaf(float(rng.normal()), (0, 1, 2), tuple(rng.random(3)),
+                         tuple(tuple((k, bool(leaf >> k & 1)) for k in range(f, 7, 3)) for f in range(3)))
+        for leaf in range(40))
+    x = rng.normal(size=(50, 4))
+    asked, points = [], np.polynomial.legendre.leggauss
+    monkeypatch.setattr(np.polynomial.legendre, "leggauss", lambda n: asked.append(n) or points(n))
+    if hasattr(attribution, "_points"):
+        attribution._points.cache_clear()
+    got = attribution.explain([attribution.Tree(splits, leaves)], x)
+    assert len(asked) <= 1
+    want = np.zeros(x.shape)
+    for leaf in leaves:
+        for row, values in zip(want, x):
+            bits = [[float(all((values[splits[k][1]] <= splits[k][2]) == left for k, left in tests)) for tests in leaf.tests]]
+            row[:3] += attribution.leaf_table(leaf, np.array(bits))[0]
+    assert got == pytest.approx(want, abs=1e-12)
+
+
 def test_effects_add_up_and_rank(spark, homes):
     train, test = valuation.split_by_month(homes)
     model = valuation.fit_value_model(train, maxIter=5, maxDepth=4, stepSize=0.3)
