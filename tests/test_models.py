@@ -410,6 +410,46 @@ def test_paths_of_one_length_share_their_points(monkeypatch):
     assert got == pytest.approx(want, abs=1e-12)
 
 
+def _random_tree(rng, depth, features):
+    splits, leaves = [], []
+
+    def grow(path, node, level):
+        if level == depth or level > 3 and rng.random() < 0.2:
+            parts = sorted(path.items())
+            leaves.append(attribution.Leaf(float(rng.normal()), tuple(f for f, _ in parts),
+                                           tuple(p[0] for _, p in parts), tuple(p[1] for _, p in parts)))
+            return
+        f = int(rng.integers(features))
+        kinds = (0.0,) if f % 3 == 0 else (0.0, 2.0) if f % 3 == 1 else None
+        splits.append((node, f, float(rng.normal()), kinds))
+        share, tests = path.get(f, (1.0, ()))
+        left = float(rng.choice([0.0, 0.3, 0.8, 1.0]))
+        grow({**path, f: (share * left, (*tests, (node, True)))}, 2 * node + 1, level + 1)
+        grow({**path, f: (share * (1 - left), (*tests, (node, False)))}, 2 * node + 2, level + 1)
+
+    grow({}, 0, 0)
+    return attribution.Tree(tuple(splits), tuple(leaves))
+
+
+@pytest.mark.parametrize("depth,features", [(8, 6), (8, 40), (0, 3), (13, 40)])
+def test_leaves_beside_each_other_share_a_code(depth, features):
+    rng = np.random.default_rng(depth + features)
+    tree = _random_tree(rng, depth, features)
+    kinds = np.arange(features) % 3 < 2
+    x = np.where(kinds, rng.integers(0, 3, (60, features)), rng.normal(size=(60, features)))
+    goes = {k: x[:, f] <= cut if kind is None else np.isin(x[:, f], kind) for k, f, cut, kind in tree.splits}
+    want = np.zeros(x.shape)
+    for leaf in tree.leaves:
+        if leaf.features:
+            bits = np.stack([np.all([goes[k] == left for k, left in tests], axis=0) for tests in leaf.tests], axis=1)
+            want[:, leaf.features] += attribution.leaf_table(leaf, bits.astype(float))
+    assert attribution.explain([tree], x) == pytest.approx(want, abs=1e-9)
+    grouped = [leaf for g in tree.groups for leaf in g.leaves]
+    assert grouped == [leaf for leaf in tree.leaves if leaf.features]
+    assert all(len(g.bits) <= attribution.GROUP_BITS or len(g.leaves) == 1 for g in tree.groups)
+    assert depth != 8 or 2 * len(tree.groups) < len(tree.leaves)
+
+
 def test_effects_add_up_and_rank(spark, homes):
     train, test = valuation.split_by_month(homes)
     model = valuation.fit_value_model(train, maxIter=5, maxDepth=4, stepSize=0.3)
