@@ -450,6 +450,20 @@ def test_leaves_beside_each_other_share_a_code(depth, features):
     assert depth != 8 or 2 * len(tree.groups) < len(tree.leaves)
 
 
+def test_trees_are_made_one_at_a_time(spark, homes, monkeypatch):
+    """500 trees as Python objects are more than a small driver holds."""
+    train, test = valuation.split_by_month(homes)
+    model = valuation.fit_value_model(train, maxIter=5, maxDepth=4)
+    monkeypatch.setattr(attribution, "trees_of", lambda nodes: pytest.fail("all trees at once on the driver"))
+    explained, mean = attribution.attributions(model, test, [*VALUE_NUMERIC, *VALUE_BOOLEAN, *VALUE_CATEGORY])
+    assert explained.count() == test.count()
+    monkeypatch.undo()
+    nodes = attribution.node_table(model, spark)
+    made = attribution.each_tree(nodes.orderBy(F.rand(3)).toArrow())
+    assert iter(made) is made and list(made) == attribution.trees_of(nodes)
+    assert mean == pytest.approx(sum(t.mean() for t in attribution.trees_of(nodes)))
+
+
 def test_effects_add_up_and_rank(spark, homes):
     train, test = valuation.split_by_month(homes)
     model = valuation.fit_value_model(train, maxIter=5, maxDepth=4, stepSize=0.3)
